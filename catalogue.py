@@ -7,6 +7,7 @@ return what its sink holds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,13 @@ from tidelog.operators.debezium import (
     to_debezium_json,
 )
 from tidelog.operators.windows import tumble, word_counts
-from tidelog.plans import feeds, logs, revenue
+from tidelog.plans import catalog, feeds, logs, revenue, streams
+from tidelog.session import scratch_dir
 from tidelog.sources import rebuilt, synthetic
+from tidelog.sources.files import WAREHOUSE_SCHEMA, from_name, read_partitioned_json
+from tidelog.sources.topics import json_rows, recorded_topic
+from tidelog.streaming.keyed import KeyedFiles
+from tidelog.streaming.sinks import json_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,8 +220,6 @@ def _(spark, sf):
       || '","requests":' || requests || '}}' AS value FROM counted""",
 )
 def _(spark, sf):
-    from tidelog.streaming.sinks import json_records
-
     counts = logs.status_counts(_view(spark, sf), "10 seconds")
     return json_records(logs.realtime_columns(counts))
 
@@ -466,3 +470,225 @@ def _(spark, sf):
     return synthetic.random_logs(
         _events(spark, sf), "event_id", now=F.col("ts"), max_age_ms=65000
     )
+
+
+# --- streams: run to the end of the input, then read the sink ---------------------------
+
+# Files per micro-batch: bounds what one batch has to shuffle and hold as state.
+MAX_FILES = 1000
+
+
+def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
+    events = rebuilt.stream_table(
+        spark, f"{sf}/events.parquet", rebuilt.EVENTS_SCHEMA, MAX_FILES
+    )
+    return rebuilt.server_logs(events)
+
+
+def _recorded_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The change messages, first recorded as a topic, then read as a stream."""
+    folder = scratch_dir(spark, "feed")
+    rebuilt.topic_records(_messages(spark, sf)).write.parquet(folder)
+    return recorded_topic(spark, folder, max_files=MAX_FILES)
+
+
+# The tables have some ten events an hour: longer windows make the same folders
+# (dt, hour, minute) without a file per row.
+FILE_WINDOW = "6 hours"
+_CLOSED_6H = sql.closed_windows(FILE_WINDOW, "0 seconds")
+_CLOSED_10S = sql.closed_windows("10 seconds", "0 seconds")
+
+
+@register("stream_client_errors", ORACLES["client_errors"])
+def _(spark, sf):
+    root = scratch_dir(spark, "errors")
+    streams.client_errors(_log_stream(spark, sf), root).awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
+@register(
+    "stream_browser_counts_ordered",
+    sql.browser_counts("1 minute", sql.closed_windows("1 minute", "15 seconds")),
+)
+def _(spark, sf):
+    root = scratch_dir(spark, "ordered")
+    streams.ordered_browser_counts(_log_stream(spark, sf), root).awaitTermination()
+    rows = spark.read.parquet(f"{root}/data")
+    return rows.select(
+        wall_clock("window_time").alias("window_time"), "browser", "cnt_browser"
+    ).orderBy("window_time", F.desc("cnt_browser"))
+
+
+@register("stream_realtime_counts", sql.status_counts("10 seconds", _CLOSED_10S))
+def _(spark, sf):
+    root = scratch_dir(spark, "realtime")
+    view = streams.timed_view(_log_stream(spark, sf))
+    streams.realtime_counts(view, root).awaitTermination()
+    return _realtime_rows(spark.read.text(f"{root}/data"))
+
+
+def _realtime_rows(records: DataFrame) -> DataFrame:
+    return json_rows(
+        records,
+        "browser string, status_code string, end_time timestamp_ntz, requests bigint",
+    )
+
+
+@register("stream_dw_files", sql.warehouse(FILE_WINDOW, _CLOSED_6H))
+def _(spark, sf):
+    root = scratch_dir(spark, "files")
+    view = streams.timed_view(_log_stream(spark, sf))
+    streams.warehouse_files(view, root, FILE_WINDOW).awaitTermination()
+    return _warehouse_rows(spark, f"{root}/data")
+
+
+def _warehouse_rows(spark: SparkSession, path: str) -> DataFrame:
+    return read_partitioned_json(spark, path, WAREHOUSE_SCHEMA).select(
+        "browser", "status_code", "dt", "hour", "minute", "requests"
+    )
+
+
+@register(
+    "stream_two_sinks",
+    f"""SELECT 'topic' AS sink, browser, status_code, requests
+      FROM ({sql.status_counts('10 seconds', _CLOSED_10S)}) t
+    UNION ALL SELECT 'files', browser, status_code, requests
+      FROM ({sql.warehouse(FILE_WINDOW, _CLOSED_6H)}) f""",
+)
+def _(spark, sf):
+    root = scratch_dir(spark, "two")
+    for query in streams.two_sinks(_log_stream(spark, sf), root, FILE_WINDOW):
+        query.awaitTermination()
+    topic = _realtime_rows(spark.read.text(f"{root}/topic/data"))
+    stored = _warehouse_rows(spark, f"{root}/files/data")
+    columns = ["browser", "status_code", "requests"]
+    return topic.select(F.lit("topic").alias("sink"), *columns).unionAll(
+        stored.select(F.lit("files"), *columns)
+    )
+
+
+@register(
+    "stream_lake_counts",
+    sql.warehouse("5 seconds", sql.closed_windows("5 seconds", "0 seconds")),
+)
+def _(spark, sf):
+    root = scratch_dir(spark, "lake")
+    table = f"lake_counts_{uuid.uuid4().hex}"
+    catalog.create_table(spark, table, catalog.WAREHOUSE_TABLE, ["dt"], f"{root}/data")
+    view = streams.timed_view(_log_stream(spark, sf))
+    streams.lake_counts(view, root, table).awaitTermination()
+    return from_name(spark, table).select(
+        "browser", "status_code", "dt", "hour", "minute", "requests"
+    )
+
+
+@register("stream_distinct_ips", sql.distinct_ips("10 seconds", closed=_CLOSED_10S))
+def _(spark, sf):
+    root = scratch_dir(spark, "distinct")
+    streams.distinct_ips(_log_stream(spark, sf), root).awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
+@register(
+    "stream_word_count",
+    f"""WITH {sql.LOGS}, ones AS (
+      SELECT unnest({sql.words('request_line')}) AS word, log_time FROM logs)
+    SELECT word, time_bucket(INTERVAL '30 seconds', log_time) AS window_start,
+      CAST(count(*) AS INTEGER) AS n
+    FROM ones GROUP BY 1, 2 {sql.closed_windows('30 seconds', '0 seconds')}""",
+)
+def _(spark, sf):
+    root = scratch_dir(spark, "words")
+    lines = _log_stream(spark, sf).select("request_line", "log_time")
+    streams.windowed_words(lines, root, "request_line", "log_time").awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
+@register("stream_total_count", ORACLES["total_count"])
+def _(spark, sf):
+    root = scratch_dir(spark, "counter")
+    view = logs.browsers_view(_log_stream(spark, sf))
+    streams.live_counter(view, root).awaitTermination()
+    return KeyedFiles(spark, f"{root}/data", ["id"]).read()
+
+
+@register("stream_cdc_append_log", _APPEND)
+def _(spark, sf):
+    root = scratch_dir(spark, "append")
+    streams.append_log(_recorded_feed(spark, sf), root).awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
+@register("stream_cdc_topic", f"""SELECT value FROM ({ORACLES['cdc_to_debezium_json']}) t""")
+def _(spark, sf):
+    root = scratch_dir(spark, "changelog")
+    streams.changelog_topic(_recorded_feed(spark, sf), root).awaitTermination()
+    return spark.read.text(f"{root}/data")
+
+
+@register("stream_cdc_upsert", _LATEST)
+def _(spark, sf):
+    root = scratch_dir(spark, "keyed")
+    table = KeyedFiles(spark, f"{root}/data", ["id"])
+    streams.keyed_table(_recorded_feed(spark, sf), table, root).awaitTermination()
+    return table.read()
+
+
+@register("stream_revenue_retractions", ORACLES["revenue_retractions"])
+def _(spark, sf):
+    root = scratch_dir(spark, "retract")
+    orders = rebuilt.stream_table(
+        spark, f"{sf}/orders.parquet", rebuilt.ORDERS_SCHEMA, MAX_FILES
+    )
+    streams.revenue_retractions(rebuilt.revenue_orders(orders), root).awaitTermination()
+    return spark.read.parquet(f"{root}/data/changes").drop("batch")
+
+
+# --- tables and files: write, insert, read back ------------------------------------------
+
+
+@register("dw_files_read_back", sql.warehouse(FILE_WINDOW))
+def _(spark, sf):
+    folder = scratch_dir(spark, "warehouse")
+    counts = logs.warehouse_columns(logs.status_counts(_view(spark, sf), FILE_WINDOW))
+    partitions = ["dt", "hour", "minute"]
+    counts.repartition(*partitions).write.partitionBy(*partitions).json(folder)
+    return _warehouse_rows(spark, folder)
+
+
+@register("lake_table_read_back", sql.warehouse("5 seconds"))
+def _(spark, sf):
+    folder, table = scratch_dir(spark, "lake"), f"lake_{uuid.uuid4().hex}"
+    catalog.create_table(spark, table, catalog.WAREHOUSE_TABLE, ["dt"], folder)
+    catalog.insert_rows(
+        logs.warehouse_columns(logs.status_counts(_view(spark, sf), "5 seconds")), table
+    )
+    return from_name(spark, table)
+
+
+@register(
+    "literal_row",
+    f"""{_APPEND} UNION ALL
+    SELECT CAST(1 AS INTEGER), CAST(1 AS INTEGER), 'c', TIMESTAMP '2021-01-01 00:00:00'""",
+)
+def _(spark, sf):
+    folder, table = scratch_dir(spark, "append"), f"append_{uuid.uuid4().hex}"
+    catalog.create_table(spark, table, catalog.APPEND_TABLE, [], folder)
+    catalog.insert_rows(feeds.append_rows(_messages(spark, sf)), table)
+    catalog.insert_values(
+        spark, table, ["1", "1", "'c'", "timestamp_ntz'2021-01-01 00:00:00'"]
+    )
+    return from_name(spark, table)
+
+
+@register(
+    "insert_values",
+    f"""WITH {sql.LOGS} SELECT CAST(count(*) AS INTEGER) AS num FROM browsers
+    UNION ALL SELECT CAST(3 AS INTEGER)""",
+)
+def _(spark, sf):
+    folder, table = scratch_dir(spark, "counter"), f"counter_{uuid.uuid4().hex}"
+    catalog.create_table(spark, table, "num int", [], folder)
+    catalog.insert_rows(logs.total_count(_view(spark, sf)).select("num"), table)
+    catalog.insert_values(spark, table, ["3"])
+    return from_name(spark, table)

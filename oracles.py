@@ -92,7 +92,8 @@ FROM counted"""
 def distinct_ips(size: str, legacy: bool = False, closed: str = "") -> str:
     clock = ", window_end AS window_interval" if legacy else ""
     return f"""WITH {LOGS}, bucketed AS (
-  SELECT time_bucket(INTERVAL '{size}', log_time) AS window_start, client_ip FROM logs),
+  SELECT time_bucket(INTERVAL '{size}', log_time) AS window_start, client_ip, log_time
+  FROM logs),
 counted AS (
   SELECT window_start, window_start + INTERVAL '{size}' AS window_end,
     count(DISTINCT client_ip) AS ip_addresses FROM bucketed GROUP BY 1 {closed})

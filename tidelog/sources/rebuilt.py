@@ -39,11 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stream_table(
     spark: SparkSession, path: str, schema: str, max_files: int | None = None
 ) -> DataFrame:
-    """Parquet files of ``path`` as a stream, ``max_files`` per micro-batch."""
+    """A table's Parquet files as a stream, ``max_files`` per micro-batch.
+
+    The path goes in as a pattern that matches only itself: a plain path must be
+    a folder, and a small table may be a single file.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def pick(values: tuple[str, ...], position: Column) -> Column:
@@ -136,6 +140,18 @@ def text_lines(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode(F.split("text", "\n", -1)).alias("value"))
 
 
+def topic_records(messages: DataFrame, topic: str = "test") -> DataFrame:
+    """Messages with all the columns a topic source has."""
+    return messages.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        "offset",
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+
+
 def broken_messages(events: DataFrame) -> DataFrame:
     """The change messages with every kind of damage mixed in, by event id.
 
