@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "8g",
@@ -27,4 +27,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def folder(tmp_path):
-    return str(tmp_path)
+    return str(tmp_path / "data")

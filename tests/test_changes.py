@@ -1,0 +1,139 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog.operators.changes import latest_by_key, merge_latest, retract_sum, retract_totals
+
+NAMES = "seq bigint, kind string, id int, num int"
+
+
+def changes_of(spark, rows, names=NAMES):
+    return spark.createDataFrame(rows, names)
+
+
+def random_changes(seed):
+    rng, rows, table = random.Random(seed), [], {}
+    for offset in range(200):
+        key = 1 if rng.random() < 0.4 else rng.randrange(2, 9)
+        if key in table and rng.random() < 0.3:
+            rows.append((2 * offset, "-D", key, table.pop(key)))
+        elif key in table:
+            rows += [(2 * offset, "-U", key, table[key]), (2 * offset + 1, "+U", key, offset)]
+            table[key] = offset
+        else:
+            rows.append((2 * offset + 1, "+I", key, offset))
+            table[key] = offset
+    rng.shuffle(rows)
+    return rows, table
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_latest_by_key_in_any_arrival_order(spark, seed):
+    rows, table = random_changes(seed)
+    latest = latest_by_key(changes_of(spark, rows), ["id"])
+    assert dict(map(tuple, latest.collect())) == table
+
+
+def test_latest_by_key_with_text_columns(spark):
+    rows = [(1, "+I", 1, "a"), (3, "+U", 1, None), (2, "-U", 1, "a"), (5, "+I", 2, "z"),
+            (6, "-D", 2, "z")]
+    df = changes_of(spark, rows, "seq bigint, kind string, id int, name string")
+    assert [tuple(r) for r in latest_by_key(df, ["id"]).collect()] == [(1, None)]
+    kept = latest_by_key(df, ["id"], keep_deleted=True)
+    assert sorted(map(tuple, kept.collect())) == [(1, None, 3, False), (2, "z", 6, True)]
+
+
+def test_fixed_width_rows_need_no_sort(spark):
+    plan = latest_by_key(changes_of(spark, [(1, "+I", 1, 1)]), ["id"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in text and "SortAggregate" not in text
+
+
+def test_late_older_row_does_not_revive_a_key(spark):
+    first = latest_by_key(changes_of(spark, [(9, "-D", 1, 5)]), ["id"], keep_deleted=True)
+    late = latest_by_key(changes_of(spark, [(3, "+U", 1, 4)]), ["id"], keep_deleted=True)
+    merged = merge_latest(first.unionByName(late), ["id"]).collect()
+    assert [(r.id, r.seq, r.deleted) for r in merged] == [(1, 9, True)]
+
+
+def brute_retractions(rows, opening=None):
+    sums, out = dict(opening or {}), []
+    for seq, name, value in sorted(rows):
+        known, old = name in sums, sums.get(name)
+        new = old if value is None else (old or 0) + value
+        if not known:
+            out.append((seq, "+I", True, name, new))
+        elif new != old:
+            out += [(seq, "-U", False, name, old), (seq, "+U", True, name, new)]
+        sums[name] = new
+    return out, sums
+
+
+def revenue(seed, n=120):
+    rng = random.Random(seed)
+    return [
+        (i, "hot" if i % 3 == 0 else rng.choice(["a", "b", None]), rng.choice([None, 0, 5, -5, 7]))
+        for i in range(n)
+    ]
+
+
+def collected(df):
+    rank = F.when(F.col("kind") == "-U", 0).otherwise(1)
+    return [tuple(r) for r in df.orderBy("seq", rank).collect()]
+
+
+ROWS = "seq bigint, name string, value bigint"
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1 << 20])
+def test_retractions_match_brute_force(spark, hot_rows):
+    rows = revenue(1)
+    df = spark.createDataFrame(rows, ROWS)
+    got = retract_sum(df, ["name"], "value", "seq", hot_rows=hot_rows)
+    assert collected(got) == brute_retractions(rows)[0]
+
+
+def test_inline_example(spark):
+    rows = [(1, "Jack", 10), (2, "Rose", 30), (3, "Jack", 20)]
+    got = retract_sum(spark.createDataFrame(rows, ROWS), ["name"], "value", "seq")
+    assert collected(got) == [
+        (1, "+I", True, "Jack", 10), (2, "+I", True, "Rose", 30),
+        (3, "-U", False, "Jack", 10), (3, "+U", True, "Jack", 30),
+    ]
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1 << 20])
+def test_retractions_continue_from_earlier_sums(spark, hot_rows):
+    rows = revenue(2)
+    _, sums = brute_retractions(rows[:50])
+    opening = spark.createDataFrame(list(sums.items()), "name string, total bigint")
+    got = retract_sum(
+        spark.createDataFrame(rows[50:], ROWS), ["name"], "value", "seq",
+        opening=opening, hot_rows=hot_rows,
+    )
+    assert collected(got) == brute_retractions(rows[50:], sums)[0]
+
+
+def test_withdrawn_doubles_equal_the_added_ones(spark):
+    rows = [(i, "a", 0.1 * i) for i in range(50)]
+    df = spark.createDataFrame(rows, "seq bigint, name string, value double")
+    got = collected(retract_sum(df, ["name"], "value", "seq"))
+    added = [r[4] for r in got if r[1] != "-U"]
+    withdrawn = [r[4] for r in got if r[1] == "-U"]
+    # The first value is 0.0 and the second row changes it, so every sum but the
+    # last is withdrawn once.
+    assert withdrawn == added[:-1]
+
+
+def test_compact_form(spark):
+    opening = spark.createDataFrame(
+        [("a", 5), ("b", 7), ("z", 1)], "name string, total bigint"
+    )
+    rows = [(1, "a", 2), (2, "a", 3), (3, "b", 4), (4, "b", -4), (5, "c", 1)]
+    got = retract_totals(
+        spark.createDataFrame(rows, ROWS), ["name"], "value", opening=opening
+    )
+    assert sorted(map(tuple, got.collect())) == [
+        ("+I", True, "c", 1), ("+U", True, "a", 10), ("-U", False, "a", 5)
+    ]

@@ -1,0 +1,285 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog.plans import catalog, logs, revenue
+from tidelog.session import scratch_dir
+from tidelog.sources import rebuilt, synthetic
+from tidelog.sources.files import from_name, from_rows, read_partitioned_json
+from tidelog.sources.topics import RECORD_SCHEMA, Topic, drop_replays, json_rows, recorded_topic
+from tidelog.streaming.keyed import LakeUpsert, merge_sql
+from tidelog.streaming.run import run_to_end
+from tidelog.streaming.sinks import (
+    EXACTLY_ONCE_OPTIONS,
+    JdbcUpsert,
+    json_records,
+    message_id,
+    text_records,
+)
+
+# --- inline rows, tables, catalogs ---------------------------------------------------
+
+
+def test_inline_rows_three_ways(spark, capsys):
+    orders = from_rows(
+        spark,
+        [("Jack", "FRANCE", 10), ("Rose", "ENGLAND", 30), ("Jack", "FRANCE", 20)],
+        ["name", "country", "revenue"],
+    )
+    expected = {"Jack": 30, "Rose": 30}
+    assert dict(map(tuple, revenue.by_api(orders).collect())) == expected
+    by_sql = revenue.by_sql(orders, "inline_orders")
+    assert dict(map(tuple, by_sql.toLocalIterator())) == expected
+    assert "HashAggregate" in revenue.plan_text(by_sql)
+    by_sql.show()
+    assert "rev_sum" in capsys.readouterr().out
+    assert from_name(spark, "inline_orders").count() == 3
+
+
+def test_tables_and_catalogs(spark, folder):
+    catalog.drop_table(spark, "append_rows")
+    catalog.create_table(spark, "append_rows", catalog.APPEND_TABLE, (), f"{folder}/t")
+    catalog.create_table(spark, "append_rows", catalog.APPEND_TABLE, (), f"{folder}/t")
+    catalog.insert_values(
+        spark, "append_rows", ["1", "1", "'c'", "timestamp_ntz'2021-01-01 00:00:00'"]
+    )
+    shuffled = spark.sql(
+        "SELECT 'd' AS op, 2 AS id, timestamp_ntz'2021-01-02 00:00:00' AS op_ts, 5 AS num"
+    )
+    catalog.insert_rows(shuffled, "append_rows")
+    assert sorted((r.id, r.num, r.op) for r in spark.table("append_rows").collect()) == [
+        (1, 1, "c"), (2, 5, "d")
+    ]
+    with pytest.raises(ValueError, match="don't fit"):
+        catalog.insert_rows(shuffled.drop("num"), "append_rows")
+    assert catalog.preview(spark, "append_rows", 1).count() == 1
+    names = [r.tableName for r in catalog.show_tables(spark, "default").collect()]
+    assert "append_rows" in names
+    assert "default" in [r[0] for r in catalog.show_databases(spark).collect()]
+    catalog.use_catalog(spark, "spark_catalog")
+    assert spark.catalog.currentCatalog() == "spark_catalog"
+    catalog.drop_table(spark, "append_rows")
+    assert not spark.catalog.tableExists("append_rows")
+
+
+def test_registering_a_catalog_sets_its_options(spark):
+    catalog.register_catalog(
+        spark, "lake", "org.example.LakeCatalog", type="hadoop", format_version="2"
+    )
+    assert spark.conf.get("spark.sql.catalog.lake") == "org.example.LakeCatalog"
+    assert spark.conf.get("spark.sql.catalog.lake.format-version") == "2"
+    for key in ("", ".type", ".format-version"):
+        spark.conf.unset(f"spark.sql.catalog.lake{key}")
+
+
+def test_scratch_folder_is_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second
+
+
+def test_partition_values_stay_text_and_prune(spark, folder):
+    rows = spark.createDataFrame(
+        [("a", 1, "2024-01-01", "05", "09"), ("b", 2, "2024-01-01", "06", "09")],
+        "browser string, requests bigint, dt string, hour string, minute string",
+    )
+    rows.write.partitionBy("dt", "hour", "minute").json(folder)
+    back = read_partitioned_json(
+        spark, folder, "browser string, requests bigint, dt string, hour string, minute string"
+    )
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    hour = back.where("hour = '05'")
+    assert [r.browser for r in hour.collect()] == ["a"]
+    assert "PartitionFilters: [isnotnull(hour" in revenue.plan_text(hour)
+
+
+# --- topics ----------------------------------------------------------------------------
+
+
+def test_topic_options():
+    topic = Topic("test", "broker:1", group="g", max_per_trigger=5, extra={"includeHeaders": "true"})
+    assert topic.read_options() == {
+        "kafka.bootstrap.servers": "broker:1", "subscribe": "test",
+        "startingOffsets": "latest", "failOnDataLoss": "true", "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "5", "includeHeaders": "true",
+    }
+    assert Topic("t", start="earliest").read_options()["startingOffsets"] == "earliest"
+    writer = Topic("out", "broker:1", extra=dict(EXACTLY_ONCE_OPTIONS)).write_options()
+    assert writer["topic"] == "out" and writer["kafka.transaction.timeout.ms"] == "60000"
+
+
+def record(value, offset=0):
+    return (None, value.encode() if value is not None else None, "test", 0, offset, None)
+
+
+def test_json_topic(spark):
+    records = spark.createDataFrame(
+        [record('{"a":1,"t":"2024-01-01 00:00:09.999"}'), record("{bad", 1)], RECORD_SCHEMA
+    )
+    rows = json_rows(records, "a int, t timestamp_ntz", ("offset",)).orderBy("offset").collect()
+    assert [r.a for r in rows] == [1, None] and rows[0].t.microsecond == 999000
+
+
+def test_json_records_keep_nulls(spark):
+    rows = spark.sql("SELECT CAST(NULL AS STRING) AS browser, 2L AS requests")
+    assert json_records(rows).first().value == '{"browser":null,"requests":2}'
+
+
+def test_repeated_messages_are_dropped_by_their_id(spark, folder):
+    sent = spark.createDataFrame([record("x", 1), record("y", 2), record(None, 3)], RECORD_SCHEMA)
+    written = text_records(sent, message_id=["topic", "partition", "offset"])
+    assert [r.value for r in text_records(sent).orderBy("value").collect()] == [None, "x", "y"]
+    twice = written.union(written).withColumn("message_id", message_id())
+    assert sorted(r.message_id for r in drop_replays(twice).collect()) == [
+        "test-0-1", "test-0-2", "test-0-3"
+    ]
+    timed = twice.withColumn("at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    timed.drop("headers").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("value string, message_id string, at timestamp").parquet(
+        f"{folder}/in"
+    )
+    with pytest.raises(ValueError):
+        drop_replays(stream)
+    run_to_end(drop_replays(stream, event_time="at"), f"{folder}/c", path=f"{folder}/out")
+    assert spark.read.parquet(f"{folder}/out").count() == 3
+
+
+def test_recorded_topic_reads_as_batch_and_stream(spark, folder):
+    spark.createDataFrame([record("x")], RECORD_SCHEMA).write.parquet(f"{folder}/t")
+    assert recorded_topic(spark, f"{folder}/t", streaming=False).count() == 1
+    stream = recorded_topic(spark, f"{folder}/t")
+    assert stream.isStreaming
+    assert stream.schema == recorded_topic(spark, f"{folder}/t", streaming=False).schema
+
+
+# --- upserts -----------------------------------------------------------------------------
+
+
+def test_jdbc_upsert_statement():
+    upsert = JdbcUpsert("jdbc:x", "test", ["id"])
+    assert upsert.merge_sql(["id", "num"]) == (
+        'MERGE INTO test t USING test_staging s ON t."id" = s."id" '
+        'WHEN MATCHED THEN UPDATE SET "num" = s."num" '
+        'WHEN NOT MATCHED THEN INSERT ("id", "num") VALUES (s."id", s."num")'
+    )
+    assert "WHEN MATCHED" not in upsert.merge_sql(["id"])
+
+
+def test_jdbc_upsert_stages_then_merges():
+    """Without a database: the order of the two steps and what they are given."""
+    steps = []
+
+    class Writer:
+        def mode(self, m):
+            steps.append(("mode", m))
+            return self
+
+        def option(self, *o):
+            steps.append(("option", *o))
+            return self
+
+        def jdbc(self, url, table, properties):
+            steps.append(("jdbc", url, table, properties))
+
+    class Batch:
+        columns = ["id", "num"]
+        sparkSession = "session"
+        write = Writer()
+
+    upsert = JdbcUpsert(
+        "jdbc:x", "test", ["id"], {"user": "u"}, execute=lambda s, q: steps.append((s, q[:15]))
+    )
+    upsert(Batch(), 0)
+    assert steps == [
+        ("mode", "overwrite"), ("option", "truncate", "true"),
+        ("jdbc", "jdbc:x", "test_staging", {"user": "u"}), ("session", "MERGE INTO test"),
+    ]
+
+
+def test_lake_merge_statement(spark):
+    assert merge_sql("lake.db.t", "s", ["id"], ["id", "num"]) == (
+        "MERGE INTO lake.db.t t USING s s ON t.id <=> s.id "
+        "WHEN MATCHED AND s.seq > t.seq THEN UPDATE SET "
+        "t.num = s.num, t.seq = s.seq, t.deleted = s.deleted "
+        "WHEN NOT MATCHED THEN INSERT (id, num, seq, deleted) "
+        "VALUES (s.id, s.num, s.seq, s.deleted)"
+    )
+    # Plain Parquet tables can't merge; Spark parses and resolves the statement.
+    batch = spark.createDataFrame([(1, "+I", 1, 5)], "seq bigint, kind string, id int, num int")
+    spark.sql("CREATE OR REPLACE TEMP VIEW merge_target AS SELECT 1 id, 2 num, 0L seq, false deleted")
+    with pytest.raises(Exception) as refused:
+        LakeUpsert("merge_target", ["id"])(batch, 0)
+    assert "PARSE_SYNTAX_ERROR" not in str(refused.value)
+
+
+# --- synthetic rows --------------------------------------------------------------------
+
+
+def test_random_rows_repeat_and_follow_the_schema(spark):
+    schema = (
+        "a tinyint, b smallint, c int, d bigint, e decimal(32,2), f double, g boolean,"
+        " h string, i date, j timestamp, k timestamp_ntz"
+    )
+    now = F.lit("2024-01-01 00:00:00.123456").cast("timestamp")
+    rows = synthetic.random_rows(spark.range(200), schema, now=now)
+    assert rows.schema.simpleString().replace(",", ", ") == (
+        "struct<a:tinyint, b:smallint, c:int, d:bigint, e:decimal(32, 2), f:double, "
+        "g:boolean, h:string, i:date, j:timestamp, k:timestamp_ntz>"
+    )
+    again = synthetic.random_rows(spark.range(0, 200, 1, 7), schema, now=now)
+    assert rows.exceptAll(again).isEmpty()
+    other = synthetic.random_rows(spark.range(200), schema, now=now, seed=1)
+    assert rows.intersect(other).isEmpty()
+    assert rows.select("d").distinct().count() == 200
+    assert rows.first().j.microsecond == 123000
+    with pytest.raises(ValueError, match="no generator"):
+        synthetic.random_rows(spark.range(1), "x array<int>")
+
+
+def test_random_logs_stay_in_their_ranges(spark):
+    now = F.lit("2024-01-01 00:00:30").cast("timestamp")
+    logs_df = synthetic.random_logs(spark.range(5000), now=now)
+    assert tuple(logs_df.columns) == rebuilt.LOG_COLUMNS
+    age = F.unix_millis(now) - F.unix_millis("log_time")
+    octets = F.split("client_ip", "[.]")
+    low = logs_df.agg(
+        F.min(age), F.max(age), F.min("size"), F.max("size"),
+        F.bool_or(octets[0].cast("int").isin(*synthetic.RESERVED_OCTETS)),
+        F.max(octets[0].cast("int")), F.max(F.size(octets)),
+    ).first()
+    assert low[0] >= 5000 and low[1] < 15000 and low[2] >= 100 and low[3] < 10000000
+    assert low[4] is False and low[5] <= 223 and low[6] == 4
+    codes = {r[0] for r in logs_df.select("status_code").distinct().collect()}
+    assert codes == set(rebuilt.STATUS_CODES)
+    assert logs.client_errors(logs_df).count() > 0
+
+
+def test_random_log_stream(spark, folder):
+    stream = synthetic.random_log_stream(spark, rows_per_second=50)
+    assert stream.isStreaming and dict(stream.dtypes)["log_time"] == "timestamp"
+    query = (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/c")
+        .trigger(processingTime="1 second")
+        .start(f"{folder}/out")
+    )
+    try:
+        for _ in range(100):
+            if sum(p["numInputRows"] for p in query.recentProgress) > 0:
+                break
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{folder}/out").count() > 0
+
+
+def test_rebuilt_messages_with_a_hot_user(spark):
+    events = spark.range(3000).select(
+        F.col("id").alias("event_id"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("make_dt_interval(0,0,id)")).alias("ts"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 11).alias("user_id"),
+    )
+    split = rebuilt.debezium_messages(events, hot_rows=100)
+    whole = rebuilt.debezium_messages(events)
+    assert split.count() == 3000 and split.exceptAll(whole).isEmpty()
