@@ -230,3 +230,17 @@ def test_append_rows_in_a_zone(spark):
     messages = topic(spark, message("c", after=row(1, 2)))
     here = feeds.append_rows(messages, zone="Asia/Shanghai").first()
     assert tuple(here) == (1, 2, "c", datetime(1970, 1, 1, 8, 0, 1))
+
+
+@pytest.mark.parametrize("on_error", ["fail", "skip"])
+def test_each_message_is_parsed_once(spark, on_error):
+    messages = topic(spark, message("c", after=row(1, 2)))
+    jobs = [
+        append_log(messages, TABLE, ["op", "source.timestamp"], on_error=on_error),
+        changelog(messages, TABLE, ["source.timestamp"], on_error=on_error),
+        split_errors(decode(messages, TABLE, ["op"]))[0],
+        append_log(messages, TABLE, ["op"], on_error=on_error).where("num > 1"),
+    ]
+    for job in jobs:
+        plan = job._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1

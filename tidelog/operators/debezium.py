@@ -126,16 +126,27 @@ def decode(
 def split_errors(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable messages, and a side output of those that can't give a row."""
     bad = F.col("decode_error").isNotNull()
-    return decoded.where(~bad), decoded.where(bad)
+    return _keep(decoded, ~bad), _keep(decoded, bad)
 
 
-def check(decoded: DataFrame, on_error: str, value: str = "value") -> DataFrame:
-    """``fail``: any bad message or field ends the job. ``skip``: bad messages go.
+def _keep(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays above the parse.
 
-    The raise sits in the filter, where no later projection can prune it away.
+    Spark moves a plain filter below the projection that parses the JSON, and
+    parses once per use of a field in it. It doesn't move one past a generator.
+    """
+    once = F.explode(F.when(condition, F.array(F.lit(True))))
+    return df.select("*", once.alias("__kept")).drop("__kept")
+
+
+def _checked(entries: Column, on_error: str, value: str) -> Column:
+    """The array of rows a message gives, or what ``on_error`` asks for instead.
+
+    ``fail``: any bad message or field ends the job. ``skip``: bad messages give
+    no rows. As the argument of ``explode`` it can't be pruned away.
     """
     if on_error == "skip":
-        return decoded.where(F.col("decode_error").isNull())
+        return F.when(F.col("decode_error").isNull(), entries)
     if on_error != "fail":
         raise ValueError(f"on_error is 'fail' or 'skip', not {on_error!r}")
     reason = F.coalesce(F.col("decode_error"), F.lit("a field doesn't fit its type"))
@@ -144,9 +155,7 @@ def check(decoded: DataFrame, on_error: str, value: str = "value") -> DataFrame:
         F.col(value).cast("string"),
     )
     bad = F.col("decode_error").isNotNull() | F.col("bad_fields")
-    return decoded.where(
-        F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    )
+    return F.when(bad, F.raise_error(message)).otherwise(entries)
 
 
 def append_log(
@@ -169,16 +178,13 @@ def append_log(
         wrapped=wrapped, value=value, json_options=json_options,
     )
     op = F.col("change.op")
-    row = F.when(op.isin("c", "u"), F.col("change.after")).when(
-        op == "d", F.col("change.before")
+    rows = F.when(op.isin("c", "u"), F.array("change.after")).when(
+        op == "d", F.array("change.before")
     )
     names = list(_named(metadata))
-    return (
-        check(decoded, on_error, value)
-        .where(op.isin("c", "u", "d"))
-        .select(*keep, row.alias("row"), "change")
-        .select(*keep, "row.*", *[F.col(f"change.meta.{n}").alias(n) for n in names])
-    )
+    return decoded.select(
+        *keep, "change.meta", F.explode(_checked(rows, on_error, value)).alias("row")
+    ).select(*keep, "row.*", *[F.col(f"meta.{n}").alias(n) for n in names])
 
 
 def changelog(
@@ -214,13 +220,9 @@ def changelog(
         .when(op == "d", F.array(entry("-D", "before", first)))
     )
     names = list(_named(metadata))
-    return (
-        check(decoded, on_error, value)
-        .select("change.meta", F.explode(entries).alias("e"))
-        .select(
-            "e.seq", "e.kind", "e.row.*", *[F.col(f"meta.{n}").alias(n) for n in names]
-        )
-    )
+    return decoded.select(
+        "change.meta", F.explode(_checked(entries, on_error, value)).alias("e")
+    ).select("e.seq", "e.kind", "e.row.*", *[F.col(f"meta.{n}").alias(n) for n in names])
 
 
 def to_debezium_json(changes: DataFrame, columns: Sequence[str]) -> Column:
