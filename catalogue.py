@@ -28,9 +28,9 @@ from tidelog.plans import catalog, feeds, logs, revenue, streams
 from tidelog.session import scratch_dir
 from tidelog.sources import rebuilt, synthetic
 from tidelog.sources.files import WAREHOUSE_SCHEMA, from_name, read_partitioned_json
-from tidelog.sources.topics import json_rows, recorded_topic
+from tidelog.sources.topics import drop_replays, json_rows, recorded_topic
 from tidelog.streaming.keyed import KeyedFiles
-from tidelog.streaming.sinks import json_records
+from tidelog.streaming.sinks import json_records, message_id
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,10 +126,10 @@ def _(spark, sf):
 
 @register(
     "limit_ordered",
-    f"WITH {sql.LOGS} SELECT * FROM browsers ORDER BY log_time LIMIT 10",
+    f"WITH {sql.LOGS} SELECT * FROM browsers ORDER BY log_time, browser, status_code LIMIT 10",
 )
 def _(spark, sf):
-    return _view(spark, sf).orderBy("log_time").limit(10)
+    return _view(spark, sf).orderBy("log_time", "browser", "status_code").limit(10)
 
 
 # --- server logs: windows -----------------------------------------------------------
@@ -208,6 +208,14 @@ def _(spark, sf):
     return logs.total_count(_view(spark, sf))
 
 
+@register(
+    "total_count_bigint",
+    f"WITH {sql.LOGS} SELECT CAST(1 AS INTEGER) AS id, count(*) AS num FROM browsers",
+)
+def _(spark, sf):
+    return logs.total_count(_view(spark, sf), "bigint")
+
+
 @register(
     "realtime_topic_json",
     f"""WITH {sql.LOGS}, counted AS (
@@ -231,7 +239,7 @@ def _(spark, sf):
     "word_count_lines",
     f"""WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents),
     ones AS (SELECT unnest({sql.words('value')}) AS word FROM lines)
-    SELECT word, CAST(count(*) AS INTEGER) AS n FROM ones GROUP BY word""",
+    SELECT word, count(*) AS n FROM ones GROUP BY word""",
 )
 def _(spark, sf):
     return word_counts(rebuilt.text_lines(rebuilt.table(spark, sf, "documents")))
@@ -242,7 +250,7 @@ def _(spark, sf):
     f"""WITH {sql.LOGS}, ones AS (
       SELECT unnest({sql.words('request_line')}) AS word,
         time_bucket(INTERVAL '30 seconds', log_time) AS window_start FROM logs)
-    SELECT word, window_start, CAST(count(*) AS INTEGER) AS n FROM ones GROUP BY 1, 2""",
+    SELECT word, window_start, count(*) AS n FROM ones GROUP BY 1, 2""",
 )
 def _(spark, sf):
     counts = word_counts(_logs(spark, sf), "request_line", "log_time", "30 seconds")
@@ -251,7 +259,8 @@ def _(spark, sf):
 
 # --- grouped sums ---------------------------------------------------------------------
 
-_REVENUE = """SELECT o_orderpriority AS name, CAST(sum(o_orderkey) AS BIGINT) AS rev_sum
+_REVENUE = """SELECT o_orderpriority AS name,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS rev_sum
 FROM orders GROUP BY 1"""
 
 
@@ -272,8 +281,7 @@ def _(spark, sf):
 
 @register(
     "revenue_totals_compact",
-    """SELECT '+I' AS kind, true AS added, o_orderpriority AS name,
-      CAST(sum(o_orderkey) AS BIGINT) AS rev_sum FROM orders GROUP BY 3""",
+    f"SELECT '+I' AS kind, true AS added, name, rev_sum FROM ({_REVENUE}) r",
 )
 def _(spark, sf):
     return retract_totals(_orders(spark, sf), ["name"], "revenue", "rev_sum")
@@ -594,7 +602,7 @@ def _(spark, sf):
     f"""WITH {sql.LOGS}, ones AS (
       SELECT unnest({sql.words('request_line')}) AS word, log_time FROM logs)
     SELECT word, time_bucket(INTERVAL '30 seconds', log_time) AS window_start,
-      CAST(count(*) AS INTEGER) AS n
+      count(*) AS n
     FROM ones GROUP BY 1, 2 {sql.closed_windows('30 seconds', '0 seconds')}""",
 )
 def _(spark, sf):
@@ -612,6 +620,26 @@ def _(spark, sf):
     return KeyedFiles(spark, f"{root}/data", ["id"]).read()
 
 
+@register(
+    "stream_feed_to_topic",
+    f"""WITH {sql.CHANGES} SELECT 'test-0-' || "offset" AS message_id,
+      '{{"before":' || CASE WHEN op IN ('u', 'd')
+        THEN '{{"id":' || id || ',"num":' || old_num || '}}' ELSE 'null' END
+      || ',"after":' || CASE WHEN op <> 'd'
+        THEN '{{"id":' || id || ',"num":' || num || '}}' ELSE 'null' END
+      || ',"op":"' || op || '","ts_ms":' || epoch_ms(cut_ts)
+      || ',"source":{{"db":"test","table":"test","ts_ms":' || (epoch_ms(cut_ts) - 5)
+      || '}}}}' AS value FROM msgs""",
+)
+def _(spark, sf):
+    root = scratch_dir(spark, "forward")
+    streams.feed_to_topic(_recorded_feed(spark, sf), root).awaitTermination()
+    sent = spark.read.parquet(f"{root}/data")
+    return drop_replays(sent.withColumn("message_id", message_id())).select(
+        "message_id", "value"
+    )
+
+
 @register("stream_cdc_append_log", _APPEND)
 def _(spark, sf):
     root = scratch_dir(spark, "append")

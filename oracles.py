@@ -23,9 +23,9 @@ browsers AS (
 
 CHANGES = """
 numbered AS (
-  SELECT event_id, ts, user_id, CAST(user_id AS INTEGER) AS id,
-    CAST(event_id AS INTEGER) AS num,
-    lag(CAST(event_id AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id) AS old_num,
+  SELECT event_id, ts, user_id, CAST(user_id % 2147483648 AS INTEGER) AS id,
+    CAST(event_id % 2147483648 AS INTEGER) AS num,
+    lag(CAST(event_id % 2147483648 AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id) AS old_num,
     row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
   FROM events),
 msgs AS (
@@ -46,12 +46,14 @@ full_log AS (
 """
 
 RETRACT = """
-sums AS (
+revenue AS (
   SELECT o_orderkey AS order_id, o_orderpriority AS name,
-    row_number() OVER w AS n,
-    CAST(sum(o_orderkey) OVER w AS BIGINT) AS total,
-    CAST(sum(o_orderkey) OVER w - o_orderkey AS BIGINT) AS old_total
-  FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderkey))
+    CAST(round(o_totalprice * 100) AS BIGINT) AS revenue FROM orders),
+sums AS (
+  SELECT order_id, name, row_number() OVER w AS n,
+    CAST(sum(revenue) OVER w AS BIGINT) AS total,
+    CAST(sum(revenue) OVER w - revenue AS BIGINT) AS old_total
+  FROM revenue WINDOW w AS (PARTITION BY name ORDER BY order_id))
 SELECT order_id, '+I' AS kind, true AS added, name, total AS rev_sum FROM sums WHERE n = 1
 UNION ALL
 SELECT order_id, '-U', false, name, old_total FROM sums WHERE n > 1 AND total <> old_total

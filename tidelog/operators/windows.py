@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions import instant, window_time
+from tidelog.functions import instant, window_time, words
 
 
 def with_event_time(df: DataFrame, col: str, delay: str | None) -> DataFrame:
@@ -93,12 +93,13 @@ def window_distinct(
 def word_counts(
     lines: DataFrame, value: str = "value", col: str | None = None, size: str | None = None
 ) -> DataFrame:
-    """Sum of ones per word (and per window of ``col``, when given)."""
-    from tidelog.functions import words
+    """Sum of ones per word (and per window of ``col``, when given).
 
+    The sum is a BIGINT: a common word passes the range of INT soon.
+    """
     keep = [] if col is None else [col]
     ones = lines.select(*keep, F.explode(words(value)).alias("word")).withColumn(
         "n", F.lit(1)
     )
     keys = ["word"] if col is None else ["word", F.window(col, size).alias("window")]
-    return ones.groupBy(*keys).agg(F.sum("n").cast("int").alias("n"))
+    return ones.groupBy(*keys).agg(F.sum("n").alias("n"))

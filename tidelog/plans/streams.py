@@ -22,10 +22,12 @@ from tidelog.streaming.keyed import KeyedFiles
 from tidelog.streaming.retractions import RetractingSum
 from tidelog.streaming.run import start
 from tidelog.streaming.sinks import (
+    EXACTLY_ONCE_OPTIONS,
     JdbcUpsert,
     OrderedBatches,
     PartitionedJson,
     json_records,
+    text_records,
 )
 
 # How far out of order log lines may come.
@@ -156,10 +158,14 @@ def windowed_words(
 
 
 def live_counter(
-    view: DataFrame, root: str, jdbc: JdbcUpsert | None = None, interval: str | None = None
+    view: DataFrame,
+    root: str,
+    jdbc: JdbcUpsert | None = None,
+    kind: str = "int",
+    interval: str | None = None,
 ) -> StreamingQuery:
     """The running number of rows, upserted as one row per batch."""
-    counter = logs.total_count(view)
+    counter = logs.total_count(view, kind)
     if jdbc is not None:
         return start(
             counter, f"{root}/checkpoint", each_batch=jdbc, mode="update", interval=interval
@@ -177,6 +183,21 @@ def live_counter(
     )
 
 
+def feed_to_topic(
+    messages: DataFrame,
+    root: str,
+    topic_options: dict[str, str] | None = None,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Change messages passed on unchanged, each with the id of its origin."""
+    sent = text_records(messages, message_id=["topic", "partition", "offset"])
+    if topic_options:
+        target = {"format": "kafka", "options": {**EXACTLY_ONCE_OPTIONS, **topic_options}}
+    else:
+        target = {"format": "parquet", "path": f"{root}/data"}
+    return start(sent, f"{root}/checkpoint", interval=interval, **target)
+
+
 def append_log(
     records: DataFrame, root: str, interval: str | None = None, **options
 ) -> StreamingQuery:

@@ -83,7 +83,7 @@ def debezium_rows(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     tuning = {} if hot_rows is None else {"hot_rows": hot_rows}
     scan = running_by_key(
         events.select("user_id", "event_id", "ts").withColumn(
-            "num", F.col("event_id").cast("int")
+            "num", _int("event_id")
         ),
         keys=["user_id"],
         order="event_id",
@@ -91,7 +91,7 @@ def debezium_rows(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
         previous={"old_num": "num"},
         **tuning,
     )
-    row_id = F.col("user_id").cast("int").alias("id")
+    row_id = _int("user_id").alias("id")
     snapshot = (F.col("rn") == 1) & (F.col("user_id") % 10 == 0)
     op = (
         F.when(F.col("rn") % 5 == 0, "d")
@@ -116,6 +116,11 @@ def debezium_rows(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     )
 
 
+def _int(name: str) -> Column:
+    """The table behind the feed has INT columns; larger ids wrap around."""
+    return (F.col(name) % (1 << 31)).cast("int")
+
+
 def debezium_messages(
     events: DataFrame, wrapped: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
@@ -128,11 +133,11 @@ def debezium_messages(
 
 
 def revenue_orders(orders: DataFrame) -> DataFrame:
-    """``order_id, name, revenue``; whole numbers keep the sums exact."""
+    """``order_id, name, revenue``; whole cents keep the sums exact."""
     return orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderpriority").alias("name"),
-        F.col("o_orderkey").alias("revenue"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("revenue"),
     )
 
 

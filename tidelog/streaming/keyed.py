@@ -49,7 +49,7 @@ class KeyedFiles:
     def compact(self) -> None:
         """Write one row per key, up to the newest complete batch, to a new folder."""
         batches = self._complete("changes/batch")
-        if batches:
+        if batches and max(batches) not in self._complete("base/upto"):
             newest = merge_latest(self._history(None), self.keys, self.order)
             self._write(newest, f"{self.path}/base/upto={max(batches):012d}")
 
