@@ -9,7 +9,7 @@ from tidelog.sources import rebuilt, synthetic
 from tidelog.sources.files import from_name, from_rows, read_partitioned_json
 from tidelog.sources.topics import RECORD_SCHEMA, Topic, drop_replays, json_rows, recorded_topic
 from tidelog.streaming.keyed import LakeUpsert, merge_sql
-from tidelog.streaming.run import run_to_end
+from tidelog.streaming.run import run_to_end, sized_state
 from tidelog.streaming.sinks import (
     EXACTLY_ONCE_OPTIONS,
     JdbcUpsert,
@@ -283,3 +283,18 @@ def test_rebuilt_messages_with_a_hot_user(spark):
     split = rebuilt.debezium_messages(events, hot_rows=100)
     whole = rebuilt.debezium_messages(events)
     assert split.count() == 3000 and split.exceptAll(whole).isEmpty()
+
+
+def test_state_partitions_follow_the_input(spark):
+    key, path = "spark.sql.shuffle.partitions", "/root/testdata/sf0.001/events.parquet"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        with sized_state(spark, path):
+            assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == "200"
+        spark.conf.set(key, "2")
+        with sized_state(spark, path):
+            assert spark.conf.get(key) == "2"
+    finally:
+        spark.conf.set(key, before)

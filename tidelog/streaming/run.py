@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelog.streaming import files
+
 # How often the jobs checkpoint, which is how often they commit.
 LOG_INTERVAL = "65 seconds"
 FEED_INTERVAL = "10 seconds"
 
 
+STATE_BYTES = 128 << 20
+
+
+@contextmanager
+def sized_state(spark: SparkSession, path: str) -> Iterator[None]:
+    """Streams started inside split their state by the size of their input.
+
+    The first batch fixes the number of state partitions for good, and adaptive
+    execution doesn't merge small ones. A small table gets one per core, larger
+    ones grow to the session's ``spark.sql.shuffle.partitions`` and no further.
+    """
+    key = "spark.sql.shuffle.partitions"
+    session_value = spark.conf.get(key)
+    wanted = files.size(spark, path) // STATE_BYTES + spark.sparkContext.defaultParallelism
+    spark.conf.set(key, str(min(int(session_value), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, session_value)
+
+
 def start(
     df: DataFrame,
     checkpoint: str,
