@@ -79,6 +79,23 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert first.startswith(shared) and first != second
 
 
+def test_only_a_local_master_may_do_without_the_shared_folder():
+    class Session:
+        class sparkContext:
+            master = "local[2]"
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    first, second = scratch_dir(Session, "x"), scratch_dir(Session, "y")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    Session.sparkContext.master = "spark://host:1"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session, "x")
+
+
 def test_partition_values_stay_text_and_prune(spark, folder):
     rows = spark.createDataFrame(
         [("a", 1, "2024-01-01", "05", "09"), ("b", 2, "2024-01-01", "06", "09")],

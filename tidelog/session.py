@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
