@@ -1,0 +1,104 @@
+"""Budgets against the definition of the mix, and the knapsack against all subsets."""
+
+import itertools
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tidelog.llm import mixture, queries
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def expected_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, free, target = 1.5 * sum(sizes.values()), set(order), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > 2 * sizes[s]}
+        if not over:
+            break
+        for s in over:
+            target[s] = 2 * sizes[s]
+            left -= target[s]
+        free -= over
+    return target | {s: weight[s] * level for s in free}
+
+
+def check(docs, rows, exact=True):
+    sizes, size = defaultdict(int), {}
+    for doc_id, text, source in docs:
+        size[doc_id] = len(WORD.findall(text or ""))
+        sizes[source] += size[doc_id]
+    target, of, taken = expected_targets(sizes), {d[0]: d[2] for d in docs}, defaultdict(int)
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r["size"] == size[r.doc_id] and r.source_size == sizes[of[r.doc_id]]
+        assert r.target == pytest.approx(target[of[r.doc_id]])
+        assert 0 <= r.taken <= 2 * r["size"] and (not r["size"] or r.taken % r["size"] == 0)
+        taken[of[r.doc_id]] += r.taken
+    if exact:
+        for source, words in taken.items():
+            budget = round(target[source])
+            passes, reach = budget // sizes[source], 1
+            for doc_id, _, own in docs:
+                if own == source:
+                    reach |= reach << size[doc_id]
+            part = (reach & ((1 << budget - passes * sizes[source] + 1) - 1)).bit_length() - 1
+            assert words == passes * sizes[source] + part
+
+
+def test_whole_table(spark):
+    docs = [(r.doc_id, r.text, r.source) for r in queries.read(spark, "/root/testdata/sf0.01", "documents").collect()]
+    rows = queries.op7_source_mixture(spark, "/root/testdata/sf0.01").collect()
+    check(docs, rows)
+    assert sorted(rows) == sorted(queries.op7_source_mixture(spark, "/root/testdata/sf0.01").collect())
+
+
+def test_odd_rows(spark):
+    docs = [(i, "w " * (i % 9), [None, "a", "B", "é", ""][i * i % 5]) for i in range(400)]
+    docs += [(1000, None, "a"), (1001, "", None), (1002, "w " * 30000, "z"), (1003, None, "zero"), (1004, "w", "ï")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string").selectExpr("*", "'x' as size", "1 as target")
+    check(docs, mixture.shares(df).collect(), exact=False)
+    mixed = mixture.mix(df)
+    assert mixed.columns == df.columns
+    taken = {r.doc_id: r.taken // r["size"] for r in mixture.shares(df).collect() if r["size"]}
+    copies = defaultdict(int)
+    for r in mixed.collect():
+        copies[r.doc_id] += 1
+    assert copies == {k: v for k, v in taken.items() if v}
+    assert mixture.shares(df.limit(0)).collect() == []
+
+
+def test_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a b", "s")] * 30 + [(None, "a", "t")] * 10, "doc_id bigint, text string, source string")
+    rows = mixture.shares(df).collect()
+    assert len(rows) == 40 and abs(sum(r.taken for r in rows) - 105) <= 2
+
+
+def test_knapsack_is_exact():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        lengths = np.unique(rng.integers(1, 60, 5))
+        counts = rng.integers(1, 4, len(lengths))
+        budget = int(rng.integers(0, lengths @ counts + 5))
+        taken = mixture.fit_budget(lengths, counts, budget)
+        assert (taken <= counts).all() and (taken >= 0).all() and lengths @ taken <= budget
+        start = np.array([int(c) * budget // int(lengths @ counts) for c in counts]) if budget < lengths @ counts else counts
+        best = max(
+            s for n in itertools.product(*[range(int(c - b) + 1) for c, b in zip(counts, start)])
+            if (s := int(lengths @ (start + np.array(n)))) <= budget
+        )
+        assert lengths @ taken == best
+
+
+def test_large_budgets_stay_bounded():
+    lengths = np.arange(1, 4000) * 7 + 300
+    counts = np.full(len(lengths), 100_000)
+    budget = int(lengths @ counts) // 3 + 11
+    taken = mixture.fit_budget(lengths, counts, budget)
+    assert lengths @ taken == budget
+    assert np.abs(taken - counts / 3).max() < 400

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate
+from tidelog.llm import decontaminate, hilbert, mixture, rules
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,8 +17,23 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("spans")
 
 
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.layout(read(spark, sf_dir, "documents"))
+
+
+def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(read(spark, sf_dir, "documents"))
+
+
+def op7_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.shares(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_hilbert_shards": op3_hilbert_shards,
+    "op6_rule_ledger": op6_rule_ledger,
+    "op7_source_mixture": op7_source_mixture,
 }
 
 ORACLES: dict[str, str] = {}
