@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, hilbert, mixture, rules
+from tidelog.llm import decontaminate, hilbert, mixture, near_dedup, rules
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.layout(read(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(read(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op7_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_hilbert_shards": op3_hilbert_shards,
+    "op5_near_dedup": op5_near_dedup,
     "op6_rule_ledger": op6_rule_ledger,
     "op7_source_mixture": op7_source_mixture,
 }
