@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, hilbert, mixture, near_dedup, rules
+from tidelog.llm import decontaminate, hilbert, mixture, near_dedup, ppm, rules
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("spans")
 
 
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.held_out_scores(read(spark, sf_dir, "documents"))
+
+
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.layout(read(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op7_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_ppm_scores": op2_ppm_scores,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op5_near_dedup": op5_near_dedup,
     "op6_rule_ledger": op6_rule_ledger,
