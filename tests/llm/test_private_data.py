@@ -1,0 +1,112 @@
+"""Base spans against plain patterns, the EM against known reliabilities, native plans."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tidelog.llm import private_data, queries
+
+SF = "/root/testdata/sf0.01"
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, text):
+    digits = [int(c) for c in text if "0" <= c <= "9"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == "card":
+        doubled = [d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits[::-1])]
+        return 16 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def brute(text):
+    spans = [
+        (kind, m.start(), m.end())
+        for kind, pattern in PATTERNS.items() for m in re.finditer(pattern, text or "") if valid(kind, m[0])
+    ]
+    counts = Counter(s[0] for s in spans)
+    written = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+    return tuple(counts[k] for k in PATTERNS), hashlib.sha256(written.encode()).hexdigest(), written
+
+
+def check(docs, rows):
+    assert len(rows) == len(docs)
+    want = sorted((i is None, i or 0, *brute(t)) for i, t in docs)
+    got = sorted((r.doc_id is None, r.doc_id or 0, (r.n_email, r.n_ip, r.n_card, r.n_phone), r.base_sha256, r.spans) for r in rows)
+    for g, w in zip(got, want):
+        assert g[:4] == w[:4]
+        assert g[4].startswith(w[4])
+
+
+def test_whole_table(spark):
+    docs = [tuple(r) for r in queries.read(spark, SF, "documents").select("doc_id", "text").collect()]
+    rows = queries.op9_private_data(spark, SF).collect()
+    check(docs, rows)
+    secrets = [r for r in rows if "secret:" in r.spans]
+    texts = dict(docs)
+    assert secrets and all(re.search(r"token|key", texts[r.doc_id], re.I) for r in secrets)
+
+
+def test_odd_texts(spark):
+    texts = [
+        None, "", "é😀 a@b.cd x", "a@b", "a@b.c.d@e.f g@h.i", "x.y%z@h-1.de,q@w.e", "@a.b", "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.255",
+        "000255.1.2.0003", "99999999999999999999.1.1.1", "4111 1111-1111 1111", "4111111111111112", "4111  1111", "+1 (2) 3456789",
+        "+1234567", "+12 345 678 90.", "++49 30 1234567-", "1" * 70, "0" * 16, "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "tel +49 (30) 123-45 67)",
+        "a@b.c" + ".d" * 20000, "z" * 100000, "9" * 50000, "a." * 30000 + "@x.yz", 'token = "7f5790b897549d620aedfc0705a565f96e3741e8" x',
+        "mail me: jo [at] host [dot] org", "call (415) 555-1234 now",
+    ]
+    docs = list(enumerate(texts)) + [(None, "a@b.cd"), (2, "é😀 a@b.cd x")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "'k' as spans", "1 as email")
+    check(docs, private_data.private_spans(df).collect())
+    assert private_data.private_spans(df.limit(0)).collect() == []
+
+
+def test_random_texts(spark):
+    rng = random.Random(4)
+    parts = ["1", "23", "456", ".", "-", " ", "+", "@", "a", "b.c", "(", ")", "é", "4111111111111111", "x@y.z", "\n", "_", "%"]
+    docs = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(60)))) for i in range(600)]
+    check(docs, private_data.private_spans(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())
+
+
+def test_no_python_in_the_plan(spark):
+    plan = queries.op9_private_data(spark, SF)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_em_finds_reliabilities():
+    rng = random.Random(1)
+    patterns, truth = Counter(), Counter()
+    for _ in range(6000):
+        y = rng.random() < 0.3
+        votes = tuple(
+            0 if rng.random() < 0.3 else (1 if (rng.random() < accuracy) == y else -1) for accuracy in (0.95, 0.85, 0.8, 0.75)
+        )
+        patterns[votes] += 1
+        truth[votes] += y
+    belief = private_data.posteriors(patterns)
+    # Against the majority of votes.
+    right, plain = (
+        sum(truth[p] if says(p) else n - truth[p] for p, n in patterns.items()) / 6000
+        for says in (lambda p: belief[p] > 0.5, lambda p: sum(p) > 0)
+    )
+    assert right > 0.88 and right >= plain
+    assert belief[(1, 1, 1, 1)] > 0.95 and belief[(-1, -1, -1, -1)] < 0.05
+    assert private_data.posteriors({}) == {}
+
+
+def test_classifier_follows_targets():
+    count = len(private_data.LABELERS)
+    yes, no = (1,) * count, (-1,) * count
+    weights = private_data.fit_classifier([(yes, "secret", 50, 0.98), (no, "number", 50, 0.03)])
+    at = lambda v, k: sum(w * x for w, x in zip(weights, private_data._features(v, k)))
+    assert at(yes, "secret") > 1 and at(no, "number") < -1
+    assert private_data.fit_classifier([]) == pytest.approx([0.0] * len(weights))

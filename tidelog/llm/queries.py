@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, hilbert, mixture, near_dedup, ppm, rules
+from tidelog.llm import decontaminate, hilbert, mixture, near_dedup, ppm, private_data, rules
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.shares(read(spark, sf_dir, "documents"))
 
 
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.private_spans(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ppm_scores": op2_ppm_scores,
@@ -44,6 +48,7 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_rule_ledger": op6_rule_ledger,
     "op7_source_mixture": op7_source_mixture,
+    "op9_private_data": op9_private_data,
 }
 
 ORACLES: dict[str, str] = {}
