@@ -164,8 +164,8 @@ def posteriors(patterns: Mapping[tuple[int, ...], int], rounds: int = 60) -> dic
 
     A labeler that doesn't abstain is right with a probability of its own in each class.
     Estimates start from the majority and lean on an assumed reliability, or else few
-    classes of candidates could not tell a labeler's errors from its hits. Both classes
-    are as likely beforehand; abstentions only leave it at that. Deterministic.
+    classes of candidates could not tell a labeler's errors from its hits; the share of
+    personal data leans on a half alike. Deterministic.
     """
     if not patterns:
         return {}
@@ -183,8 +183,9 @@ def posteriors(patterns: Mapping[tuple[int, ...], int], rounds: int = 60) -> dic
                 if vote:
                     votes[1][j][vote] += n * belief[p]
                     votes[0][j][vote] += n * (1 - belief[p])
+        share = (sum(n * belief[p] for p, n in patterns.items()) / whole + 0.5) / 2
         for p in patterns:
-            odds = 0.0
+            odds = math.log(share / (1 - share))
             for j, vote in enumerate(p):
                 if vote:  # an abstention says nothing
                     yes, no = votes[1][j], votes[0][j]
