@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, hilbert, mixture, near_dedup, ppm, private_data, rules
+from tidelog.llm import (
+    decontaminate,
+    hilbert,
+    languages,
+    mixture,
+    near_dedup,
+    ppm,
+    private_data,
+    quality,
+    rules,
+    toxicity,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +36,10 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.layout(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -37,18 +52,29 @@ def op7_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.shares(read(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(read(spark, sf_dir, "documents"))
+
+
 def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.private_spans(read(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ppm_scores": op2_ppm_scores,
     "op3_hilbert_shards": op3_hilbert_shards,
+    "op4_toxicity": op4_toxicity,
     "op5_near_dedup": op5_near_dedup,
     "op6_rule_ledger": op6_rule_ledger,
     "op7_source_mixture": op7_source_mixture,
+    "op8_language": op8_language,
     "op9_private_data": op9_private_data,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
