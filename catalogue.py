@@ -30,7 +30,6 @@ from tidelog.sources import rebuilt, synthetic
 from tidelog.sources.files import WAREHOUSE_SCHEMA, from_name, read_partitioned_json
 from tidelog.sources.topics import drop_replays, json_rows, recorded_topic
 from tidelog.streaming.keyed import KeyedFiles
-from tidelog.streaming.run import sized_state
 from tidelog.streaming.sinks import json_records, message_id
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,17 +47,6 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def register_stream(name: str, oracle: str) -> Callable[[Query], Query]:
-    def add(query: Query) -> Query:
-        def sized(spark: SparkSession, sf: str) -> DataFrame:
-            with sized_state(spark, f"{sf}/events.parquet"):
-                return query(spark, sf)
-
-        return register(name, oracle)(sized)
-
-    return add
-
-
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     return rebuilt.table(spark, sf, "events")
 
@@ -493,15 +481,11 @@ def _(spark, sf):
 
 
 # --- streams: run to the end of the input, then read the sink ---------------------------
-
-# Files per micro-batch: bounds what one batch has to shuffle and hold as state.
-MAX_FILES = 1000
-
+# Without a limit of files, all there is comes in one batch: the files of a table are in no
+# order, and the watermark moves only after a batch.
 
 def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
-    events = rebuilt.stream_table(
-        spark, f"{sf}/events.parquet", rebuilt.EVENTS_SCHEMA, MAX_FILES
-    )
+    events = rebuilt.stream_table(spark, f"{sf}/events.parquet", rebuilt.EVENTS_SCHEMA)
     return rebuilt.server_logs(events)
 
 
@@ -509,7 +493,7 @@ def _recorded_feed(spark: SparkSession, sf: str) -> DataFrame:
     """The change messages, first recorded as a topic, then read as a stream."""
     folder = scratch_dir(spark, "feed")
     rebuilt.topic_records(_messages(spark, sf)).write.parquet(folder)
-    return recorded_topic(spark, folder, max_files=MAX_FILES)
+    return recorded_topic(spark, folder)
 
 
 # The tables have some ten events an hour: longer windows make the same folders
@@ -519,14 +503,14 @@ _CLOSED_6H = sql.closed_windows(FILE_WINDOW, "0 seconds")
 _CLOSED_10S = sql.closed_windows("10 seconds", "0 seconds")
 
 
-@register_stream("stream_client_errors", ORACLES["client_errors"])
+@register("stream_client_errors", ORACLES["client_errors"])
 def _(spark, sf):
     root = scratch_dir(spark, "errors")
     streams.client_errors(_log_stream(spark, sf), root).awaitTermination()
     return spark.read.parquet(f"{root}/data")
 
 
-@register_stream(
+@register(
     "stream_browser_counts_ordered",
     sql.browser_counts("1 minute", sql.closed_windows("1 minute", "15 seconds")),
 )
@@ -539,7 +523,7 @@ def _(spark, sf):
     ).orderBy("window_time", F.desc("cnt_browser"))
 
 
-@register_stream("stream_realtime_counts", sql.status_counts("10 seconds", _CLOSED_10S))
+@register("stream_realtime_counts", sql.status_counts("10 seconds", _CLOSED_10S))
 def _(spark, sf):
     root = scratch_dir(spark, "realtime")
     view = streams.timed_view(_log_stream(spark, sf))
@@ -554,7 +538,7 @@ def _realtime_rows(records: DataFrame) -> DataFrame:
     )
 
 
-@register_stream("stream_dw_files", sql.warehouse(FILE_WINDOW, _CLOSED_6H))
+@register("stream_dw_files", sql.warehouse(FILE_WINDOW, _CLOSED_6H))
 def _(spark, sf):
     root = scratch_dir(spark, "files")
     view = streams.timed_view(_log_stream(spark, sf))
@@ -568,7 +552,7 @@ def _warehouse_rows(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@register_stream(
+@register(
     "stream_two_sinks",
     f"""SELECT 'topic' AS sink, browser, status_code, requests
       FROM ({sql.status_counts('10 seconds', _CLOSED_10S)}) t
@@ -587,7 +571,7 @@ def _(spark, sf):
     )
 
 
-@register_stream(
+@register(
     "stream_lake_counts",
     sql.warehouse("5 seconds", sql.closed_windows("5 seconds", "0 seconds")),
 )
@@ -602,14 +586,14 @@ def _(spark, sf):
     )
 
 
-@register_stream("stream_distinct_ips", sql.distinct_ips("10 seconds", closed=_CLOSED_10S))
+@register("stream_distinct_ips", sql.distinct_ips("10 seconds", closed=_CLOSED_10S))
 def _(spark, sf):
     root = scratch_dir(spark, "distinct")
     streams.distinct_ips(_log_stream(spark, sf), root).awaitTermination()
     return spark.read.parquet(f"{root}/data")
 
 
-@register_stream(
+@register(
     "stream_word_count",
     f"""WITH {sql.LOGS}, ones AS (
       SELECT unnest({sql.words('request_line')}) AS word, log_time FROM logs)
@@ -624,7 +608,7 @@ def _(spark, sf):
     return spark.read.parquet(f"{root}/data")
 
 
-@register_stream("stream_total_count", ORACLES["total_count"])
+@register("stream_total_count", ORACLES["total_count"])
 def _(spark, sf):
     root = scratch_dir(spark, "counter")
     view = logs.browsers_view(_log_stream(spark, sf))
@@ -632,7 +616,7 @@ def _(spark, sf):
     return KeyedFiles(spark, f"{root}/data", ["id"]).read()
 
 
-@register_stream(
+@register(
     "stream_feed_to_topic",
     f"""WITH {sql.CHANGES} SELECT 'test-0-' || "offset" AS message_id,
       '{{"before":' || CASE WHEN op IN ('u', 'd')
@@ -652,21 +636,21 @@ def _(spark, sf):
     )
 
 
-@register_stream("stream_cdc_append_log", _APPEND)
+@register("stream_cdc_append_log", _APPEND)
 def _(spark, sf):
     root = scratch_dir(spark, "append")
     streams.append_log(_recorded_feed(spark, sf), root).awaitTermination()
     return spark.read.parquet(f"{root}/data")
 
 
-@register_stream("stream_cdc_topic", f"""SELECT value FROM ({ORACLES['cdc_to_debezium_json']}) t""")
+@register("stream_cdc_topic", f"""SELECT value FROM ({ORACLES['cdc_to_debezium_json']}) t""")
 def _(spark, sf):
     root = scratch_dir(spark, "changelog")
     streams.changelog_topic(_recorded_feed(spark, sf), root).awaitTermination()
     return spark.read.text(f"{root}/data")
 
 
-@register_stream("stream_cdc_upsert", _LATEST)
+@register("stream_cdc_upsert", _LATEST)
 def _(spark, sf):
     root = scratch_dir(spark, "keyed")
     table = KeyedFiles(spark, f"{root}/data", ["id"])
@@ -674,12 +658,10 @@ def _(spark, sf):
     return table.read()
 
 
-@register_stream("stream_revenue_retractions", ORACLES["revenue_retractions"])
+@register("stream_revenue_retractions", ORACLES["revenue_retractions"])
 def _(spark, sf):
     root = scratch_dir(spark, "retract")
-    orders = rebuilt.stream_table(
-        spark, f"{sf}/orders.parquet", rebuilt.ORDERS_SCHEMA, MAX_FILES
-    )
+    orders = rebuilt.stream_table(spark, f"{sf}/orders.parquet", rebuilt.ORDERS_SCHEMA)
     streams.revenue_retractions(rebuilt.revenue_orders(orders), root).awaitTermination()
     return spark.read.parquet(f"{root}/data/changes").drop("batch")
 

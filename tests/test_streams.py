@@ -3,6 +3,7 @@
 import os
 from datetime import datetime, timedelta
 
+import catalogue
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from tidelog.sources.files import WAREHOUSE_SCHEMA, read_partitioned_json, text_
 from tidelog.sources.topics import recorded_topic
 from tidelog.streaming.keyed import KeyedFiles
 from tidelog.streaming.retractions import RetractingSum
-from tidelog.streaming.run import run_to_end
+from tidelog.streaming.run import LateRowsError, run_to_end
 from tidelog.streaming.sinks import OrderedBatches, PartitionedJson
 
 SF = "/root/testdata/sf0.001"
@@ -282,7 +283,9 @@ def test_late_rows(spark, folder):
         [(6, "a"), (300, "b")],
         [(500, "b")],
     ])
-    streams.ordered_browser_counts(log_lines(spark, f"{folder}/in"), folder).awaitTermination()
+    run = streams.ordered_browser_counts(log_lines(spark, f"{folder}/in"), folder)
+    run.awaitTermination(late="drop")
+    assert run.late_rows
     out = spark.read.parquet(f"{folder}/data").orderBy("window_time", "browser").collect()
     end = START + timedelta(minutes=1) - timedelta(milliseconds=1)
     first = [r.cnt_browser for r in out if r.window_time == end]
@@ -294,6 +297,38 @@ def test_late_rows(spark, folder):
     ]
 
 
+def test_a_bounded_run_refuses_to_lose_rows(spark, folder):
+    log_files(spark, f"{folder}/in", [[(600, "a")], [(700, "a")], [(5, "a")], [(800, "b")]])
+    run = streams.ordered_browser_counts(log_lines(spark, f"{folder}/in"), folder)
+    with pytest.raises(LateRowsError, match="after their windows had closed"):
+        run.awaitTermination()
+
+
+@pytest.mark.parametrize("parts", [4, 12])
+@pytest.mark.parametrize("name", [
+    "stream_browser_counts_ordered", "stream_realtime_counts", "stream_dw_files", "stream_two_sinks",
+    "stream_lake_counts", "stream_distinct_ips", "stream_word_count", "stream_revenue_retractions",
+])
+def test_files_in_any_order_give_all_rows(spark, scattered, name, parts):
+    """Tables of several files, not in time order, against the same tables in one file."""
+    assert rows(catalogue.QUERIES[name](spark, scattered(parts))) == rows(catalogue.QUERIES[name](spark, SF))
+
+
+@pytest.fixture(scope="module")
+def scattered(spark, tmp_path_factory):
+    made = {}
+
+    def make(parts):
+        if parts not in made:
+            made[parts] = str(tmp_path_factory.mktemp(f"parts{parts}"))
+            for table in ("events", "orders"):
+                df = spark.read.parquet(f"{SF}/{table}.parquet")
+                df.repartition(parts, F.hash(df.columns[0])).write.parquet(f"{made[parts]}/{table}.parquet")
+        return made[parts]
+
+    return make
+
+
 def test_partition_markers_of_minute_windows(spark, folder):
     log_files(spark, f"{folder}/in", [[(10, "a"), (70, "a")], [(125, "b")], [(200, "c")]])
     view = streams.timed_view(log_lines(spark, f"{folder}/in"))

@@ -22,12 +22,6 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jvm_path, True).close()
 
 
-def size(spark: SparkSession, path: str) -> int:
-    """Bytes of a file or of all files in a folder."""
-    fs, jvm_path = _open(spark, path)
-    return fs.getContentSummary(jvm_path).getLength()
-
-
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match a glob pattern."""
     fs, jvm_path = _open(spark, pattern)

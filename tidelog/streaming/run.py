@@ -2,38 +2,80 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+import threading
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-
-from tidelog.streaming import files
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 # How often the jobs checkpoint, which is how often they commit.
 LOG_INTERVAL = "65 seconds"
 FEED_INTERVAL = "10 seconds"
 
 
-STATE_BYTES = 128 << 20
+class LateRowsError(RuntimeError):
+    """A bounded run lost rows: its files came in an order that its watermark doesn't allow."""
+
+
+class _Dropped(StreamingQueryListener):
+    """Rows that the watermark dropped, by run, over all its batches."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def of(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        lost = sum(state.numRowsDroppedByWatermark for state in event.progress.stateOperators)
+        self.rows[run] = self.rows.get(run, 0) + lost
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.of(str(event.runId)).set()
 
 
-@contextmanager
-def sized_state(spark: SparkSession, path: str) -> Iterator[None]:
-    """Streams started inside split their state by the size of their input.
+class BoundedRun:
+    """A query that takes all input there is and stops.
 
-    The first batch fixes the number of state partitions for good, and adaptive
-    execution doesn't merge small ones. A small table gets one per core, larger
-    ones grow to the session's ``spark.sql.shuffle.partitions`` and no further.
+    It has all of a query's attributes. Waiting for its end raises if the watermark
+    dropped rows: the files of a table have no order, so any loss there is an error.
+    ``late="drop"`` accepts it, as a service does that never ends.
     """
-    key = "spark.sql.shuffle.partitions"
-    session_value = spark.conf.get(key)
-    wanted = files.size(spark, path) // STATE_BYTES + spark.sparkContext.defaultParallelism
-    spark.conf.set(key, str(min(int(session_value), wanted)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, session_value)
+
+    def __init__(self, query: StreamingQuery, dropped: _Dropped, session) -> None:
+        self._query, self._dropped, self._session = query, dropped, session
+        self.late_rows: int | None = None
+
+    def __getattr__(self, name: str):
+        return getattr(self._query, name)
+
+    def awaitTermination(self, timeout: float | None = None, late: str = "raise") -> bool | None:
+        if late not in ("raise", "drop"):
+            raise ValueError(f"late is 'raise' or 'drop', not {late!r}")
+        done = self._query.awaitTermination(timeout)
+        if timeout is not None and not done:
+            return done
+        if self.late_rows is None:
+            run = str(self._query.runId)
+            if not self._dropped.of(run).wait(60):
+                raise TimeoutError("the end of the run was not reported")
+            self._session.streams.removeListener(self._dropped)
+            self.late_rows = self._dropped.rows.get(run, 0)
+        if self.late_rows and late == "raise":
+            raise LateRowsError(
+                f"{self.late_rows} rows (as state operators count) came after their windows had closed; take all files in one "
+                "batch (no max_files), or put them in event order"
+            )
+        return done
 
 
 def start(
@@ -49,12 +91,15 @@ def start(
     interval: str | None = None,
     name: str | None = None,
     options: dict[str, str] | None = None,
-) -> StreamingQuery:
+) -> StreamingQuery | BoundedRun:
     """Start a stream into ``each_batch``, a table, or a plain sink.
 
-    ``interval=None`` takes all input there is and stops; files and topic
-    messages appear once per interval, never sooner. Plain sinks: ``parquet``
+    ``interval=None`` takes all input there is and stops (`BoundedRun`); files and
+    topic messages appear once per interval, never sooner. Plain sinks: ``parquet``
     or ``json`` with a path, ``kafka``, ``console``, ``noop``, ``memory``.
+
+    State has as many partitions as ``spark.sql.shuffle.partitions`` says when a
+    checkpoint is new, and keeps them: choose it for the largest state to come.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if interval is None:
@@ -69,15 +114,28 @@ def start(
         writer = writer.partitionBy(*partition_by)
     if each_batch is not None:
         # A plain function: Spark inspects its signature.
-        return writer.foreachBatch(lambda batch, batch_id: each_batch(batch, batch_id)).start()
-    if table is not None:
-        return writer.format(format).toTable(table)
-    writer = writer.format(format)
-    return writer.start(path) if path else writer.start()
+        writer = writer.foreachBatch(lambda batch, batch_id: each_batch(batch, batch_id))
+    elif table is None:
+        writer = writer.format(format)
+
+    def begin() -> StreamingQuery:
+        if each_batch is None and table is not None:
+            return writer.format(format).toTable(table)
+        return writer.start(path) if path and each_batch is None else writer.start()
+
+    if interval is not None:
+        return begin()
+    session, dropped = df.sparkSession, _Dropped()
+    session.streams.addListener(dropped)
+    try:
+        return BoundedRun(begin(), dropped, session)
+    except BaseException:
+        session.streams.removeListener(dropped)
+        raise
 
 
-def run_to_end(df: DataFrame, checkpoint: str, **sink) -> StreamingQuery:
+def run_to_end(df: DataFrame, checkpoint: str, late: str = "raise", **sink) -> BoundedRun:
     """Process all input there is, then return the finished query."""
     query = start(df, checkpoint, interval=None, **sink)
-    query.awaitTermination()
+    query.awaitTermination(late=late)
     return query
