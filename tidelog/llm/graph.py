@@ -33,15 +33,13 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     stars = stored(pairs.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
     mark = (F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")))
     before = stars.agg(*mark).first()
-    while True:
+    while before[0]:
         both = stars.unionByName(stars.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = stored(_nearest(both), "least")
-        large = both.join(least, F.col("v") == F.col("w")).filter(F.col("u") > F.col("v"))
-        large = large.select(F.col("u").alias("v"), F.col("least").alias("u")).distinct()
-        large = stored(large, "large")
-        least = stored(_nearest(large), "least")
-        small = large.join(least, F.col("v") == F.col("w"))
-        small = small.filter(F.col("u") != F.col("least")).select(F.col("u").alias("v"), F.col("least").alias("u"))
+        large = both.join(_nearest(both), F.col("v") == F.col("w")).filter(F.col("u") > F.col("v"))
+        large = stored(large.select(F.col("u").alias("v"), F.col("least").alias("u")).distinct(), "large")
+        least = _nearest(large)
+        small = large.join(least, F.col("v") == F.col("w")).filter(F.col("u") != F.col("least"))
+        small = small.select(F.col("u").alias("v"), F.col("least").alias("u"))
         own = least.select(F.col("w").alias("v"), F.col("least").alias("u"))
         stars = stored(small.unionByName(own).distinct(), "small")
         after = stars.agg(*mark).first()

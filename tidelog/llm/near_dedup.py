@@ -5,12 +5,14 @@ functions the least and the greatest value are kept, so that a signature has twi
 many values as hash functions were evaluated. Bands of ``BAND`` values propose pairs;
 every link is confirmed on the full sets.
 
-Documents of equal sets are one class before anything is compared. In a bucket each
-class is compared with the bucket's hub, the class that shares most buckets with
-others. What a bucket then still holds of different components is compared pair by
-pair, by signature within blocks of bounded size, and confirmed. So a group of many
-copies costs one comparison for each, and a link between classes that meet in any
-band is never lost. A pair at the threshold meets in no band with probability 4e-7.
+Documents of equal sets are one class before anything is compared. The hub of a bucket
+is the class that shares most buckets with others; each class is compared with the
+hubs of its buckets, which gives its difference from them. Where the classes around a
+hub are then still of different components, all pairs of different components are
+compared, in blocks of bounded size and by these differences, from which the size of
+any intersection follows exactly. So a group of copies costs a comparison for each,
+and a link between classes that meet in any band is never lost. A pair at the
+threshold meets in no band with probability 4e-7.
 """
 
 from __future__ import annotations
@@ -32,8 +34,7 @@ PERCENT = 85
 PERMUTATIONS = 63
 BAND = 5
 BANDS = 2 * PERMUTATIONS // BAND
-BLOCK = 400
-LIKELY = 0.6
+BLOCK = 256
 
 _random = np.random.default_rng(8712)
 _FACTORS = _random.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
@@ -73,12 +74,9 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return mix((mix(cut) * weights).sum(2, dtype=np.uint64) + number).view(np.int64)
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets are linked: intersection at least ``PERCENT`` per cent of the union."""
-    if 100 * min(len(a), len(b)) < PERCENT * max(len(a), len(b)):
-        return False
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared > 0 and 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+def linked(shared: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes are similar: intersection at least ``PERCENT`` per cent of the union."""
+    return (shared > 0) & (100 * shared >= PERCENT * (one + other - shared))
 
 
 SIGNED = T.StructType(
@@ -86,17 +84,12 @@ SIGNED = T.StructType(
         T.StructField("__class", T.BinaryType()),
         T.StructField("__n", T.LongType()),
         T.StructField("__bands", T.ArrayType(T.LongType())),
-        T.StructField("__sketch", T.BinaryType()),
     ]
 )
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the class (a digest of the set), its size, band keys and sketch.
-
-    The sketch is the signature, one byte for each value. A text without words has no
-    class, bands or sketch.
-    """
+    """``docs`` with the class (a digest of the set), its size and band keys; no words, no class."""
     names = docs.columns
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,17 +101,14 @@ def signed(docs: DataFrame) -> DataFrame:
                 full = [i for i, s in enumerate(sets) if len(s)]
                 marks = np.stack([signature(sets[i]) for i in full]) if full else np.zeros((0, 2 * PERMUTATIONS), np.uint64)
                 keys = band_keys(marks)
-                sketches = (mix(marks) >> np.uint64(56)).astype(np.uint8)
-                columns = [[None] * len(sets) for _ in range(3)]
+                columns = [[None] * len(sets) for _ in range(2)]
                 for at, i in enumerate(full):
                     columns[0][i] = blake2b(sets[i].tobytes(), digest_size=16).digest()
                     columns[1][i] = keys[at]
-                    columns[2][i] = sketches[at].tobytes()
                 added = [
                     pa.array(columns[0], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(columns[1], pa.list_(pa.int64())),
-                    pa.array(columns[2], pa.binary()),
                 ]
                 rows = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays([*rows.columns, *added], [*names, *SIGNED.names])
@@ -126,105 +116,137 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sign, T.StructType(docs.schema.fields + SIGNED.fields))
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs of classes (a, b) those whose full sets are linked."""
+def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """For pairs (class, hub): sizes, what the hub has more, all that only one has, and whether they are linked."""
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, hub_set = None, np.zeros(0, np.uint64)
         for batch in batches:
-            sides = [batch.column(f"text_{s}") for s in "ab"]
-            held: list[tuple] = [(None, None), (None, None)]
-            links = []
-            for i in range(batch.num_rows):
-                for s, side in enumerate(sides):
-                    name = batch.column("ab"[s])[i].as_py()
-                    if held[s][0] != name:
-                        data, offsets = text_buffer(side.slice(i, 1))
-                        held[s] = (name, next(shingle_sets(data, offsets)))
-                links.append(similar(held[0][1], held[1][1]))
-            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
-
-    own = [texts.select(F.col("__class").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
-    joined = pairs.join(own[1], "b").join(own[0], "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(confirm, "a binary, b binary")
+            columns = [[] for _ in range(5)]
+            for i, name in enumerate(batch.column("hub").to_pylist()):
+                if name != hub:
+                    hub, hub_set = name, next(shingle_sets(*text_buffer(batch.column("hub_text").slice(i, 1))))
+                own = next(shingle_sets(*text_buffer(batch.column("text").slice(i, 1))))
+                apart = np.setxor1d(own, hub_set, assume_unique=True)
+                lacks = (len(apart) - len(own) + len(hub_set)) // 2
+                values = len(own), len(hub_set), lacks, apart.tobytes(), bool(linked(len(hub_set) - lacks, len(own), len(hub_set)))
+                for column, value in zip(columns, values, strict=True):
+                    column.append(value)
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class"), batch.column("hub"), *map(pa.array, columns, kinds)],
+                ["class", "hub", "n", "hub_n", "lacks", "apart", "linked"],
+            )
+
+    own = texts.select(F.col("__class").alias("class"), "text")
+    hubs = texts.select(F.col("__class").alias("hub"), F.col("text").alias("hub_text"))
+    joined = pairs.join(hubs, "hub").join(own, "class").select("class", "hub", "text", "hub_text")
+    return joined.mapInArrow(
+        compare, "class binary, hub binary, n bigint, hub_n bigint, lacks bigint, apart binary, linked boolean"
+    )
 
 
-def _likely_pairs(blocks: DataFrame) -> DataFrame:
-    """Pairs of classes of different components in a block whose sketches agree in most places."""
+def _shared(apart: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets; memory doesn't grow with the sets."""
+    owner = np.repeat(np.arange(len(apart)), [len(a) for a in apart])
+    values, at, count = np.unique(np.concatenate(apart), return_inverse=True, return_counts=True)
+    common = count > 1
+    place = (np.cumsum(common) - 1)[at]
+    held = common[at]
+    owner, place = owner[held], place[held]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    shared = np.zeros((len(apart), len(apart)), np.float32)
+    for begin in range(0, int(common.sum()), 4096):
+        low, high = np.searchsorted(place, [begin, begin + 4096])
+        part = np.zeros((len(apart), 4096), np.float32)
+        part[owner[low:high], place[low:high] - begin] = 1
+        shared += part @ part.T
+    return shared.astype(np.int64)
+
+
+def _block_links(rows: list[dict], within: bool) -> list[tuple[bytes, bytes]]:
+    """Pairs of components of a block that links between their classes connect, as stars."""
+    roots, of = np.unique([r["root"].hex() for r in rows], return_inverse=True)
+    block, n, lacks = (np.array([r[k] for r in rows]) for k in ("block", "n", "lacks"))
+    # Both sets lie around the hub: |A & B| = |hub| - |hub - A| - |hub - B| + |(A ^ hub) & (B ^ hub)|.
+    shared = _shared([np.frombuffer(r["apart"], np.uint64) for r in rows])
+    shared += rows[0]["hub_n"] - lacks[:, None] - lacks[None, :]
+    link = linked(shared, n[:, None], n[None, :]) & (of[:, None] != of[None, :])
+    if not within:
+        link &= block[:, None] != block[None, :]
+    joined = {tuple(sorted(p)) for p in zip(of[np.nonzero(link)[0]].tolist(), of[np.nonzero(link)[1]].tolist())}
+    label = list(range(len(roots)))
+
+    def find(i: int) -> int:
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    found = []
+    for a, b in joined:
+        a, b = find(a), find(b)
+        if a != b:
+            label[max(a, b)] = min(a, b)
+            found.append((bytes.fromhex(roots[a]), bytes.fromhex(roots[b])))
+    return found
+
+
+def _rest(around: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of components (a, b) that links between classes around the same hub connect."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[bytes, bytes]] = []
-            for one, rows in zip(batch.column("one").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                names = [r["__class"] for r in rows]
-                sizes = np.array([r["__n"] for r in rows])
-                roots = np.unique([r["root"].hex() for r in rows], return_inverse=True)[1]
-                block = np.array([r["block"] for r in rows])
-                sketch = np.frombuffer(b"".join(r["__sketch"] for r in rows), np.uint8).reshape(len(rows), -1)
-                for i in range(len(rows) - 1):
-                    j = np.arange(i + 1, len(rows))
-                    j = j[(roots[j] != roots[i]) & (one | (block[j] != block[i]))]
-                    small, large = np.minimum(sizes[j], sizes[i]), np.maximum(sizes[j], sizes[i])
-                    j = j[100 * small >= PERCENT * large]
-                    j = j[(sketch[j] == sketch[i]).mean(1) >= LIKELY] if len(j) else j
-                    found += [(min(names[i], names[k]), max(names[i], names[k])) for k in j]
-            sides = list(zip(*found, strict=True)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(s, pa.binary()) for s in sides], ["a", "b"])
-
-    return blocks.select("one", "rows").mapInArrow(compare, "a binary, b binary")
-
-
-def _rest(multi: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but not yet a component, whose sketches make a link likely."""
-    rooted = multi.join(roots.withColumnRenamed("node", "__class"), "__class", "left").withColumn(
-        "root", F.coalesce("root", "__class")
-    )
-    mixed = stored(
-        rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low != high").select("key"), "mixed",
+            for i in range(batch.num_rows):
+                rows = batch.column("rows")[i].as_py()
+                found = _block_links(rows, batch.column("within")[i].as_py()) if len(rows) > 1 else []
+                sides = list(zip(*found, strict=True)) or [(), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(s, pa.binary()) for s in sides], ["a", "b"])
+
+    rooted = around.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "root", F.coalesce("root", "class")
     )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rooted.join(mixed, "key").join(classes.select("__class", "__n", "__sketch"), "__class")
-    rows = rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("__class"), blocks).cast("int")})
-    # A block meets every block of its bucket once: itself and each other.
+    mixed = rooted.groupBy("hub").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    ).filter("low != high")
+    rows = rooted.join(mixed.select("hub", "blocks"), "hub")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    # A block meets every block of its hub once: itself and each other.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return _likely_pairs(
-        rows.groupBy("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-        .agg(F.collect_list(F.struct("__class", "__n", "__sketch", "root", "block")).alias("rows"))
-        .withColumn("one", F.col("p") == F.col("q"))
-    ).distinct()
+    blocks = rows.groupBy("hub", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")).agg(
+        F.collect_list(F.struct("root", "block", "n", "hub_n", "lacks", "apart")).alias("rows")
+    )
+    blocks = blocks.select((F.col("p") == F.col("q")).alias("within"), "rows")
+    return blocks.mapInArrow(compare, "a binary, b binary").distinct()
 
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The signed rows, each with a number, and (class, component) of every class linked to another."""
     table = stored(signed(docs).withColumn("__row", F.monotonically_increasing_id()), "signed")
-    first = F.min_by(F.struct("__row", "__n", "__bands", "__sketch"), F.col("__row"))
+    first = F.min_by(F.struct("__row", "__bands"), F.col("__row"))
     classes = table.filter("__class is not null").groupBy("__class").agg(first.alias("one")).select("__class", "one.*")
     classes = stored(classes, "classes")
     bands = classes.select("__class", F.explode("__bands").alias("key"))
     sizes = stored(bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
     multi = stored(bands.join(sizes, "key"), "buckets")
     met = multi.groupBy("__class").agg(F.sum("size").alias("met"))
-    hubs = multi.join(met, "__class").groupBy("key").agg(
-        F.max_by("__class", F.struct("met", "__class")).alias("hub")
-    )
-    stars = multi.join(stored(hubs, "hubs"), "key").filter(F.col("hub") != F.col("__class"))
-    pairs = stored(
-        stars.select(F.least("__class", "hub").alias("a"), F.greatest("__class", "hub").alias("b")).distinct(), "pairs"
-    )
+    hubs = multi.join(met, "__class").groupBy("key").agg(F.max_by("__class", F.struct("met", "__class")).alias("hub"))
+    pairs = multi.join(hubs, "key").select(F.col("__class").alias("class"), "hub").distinct()
     rows = classes.join(met.select("__class"), "__class").select("__row", "__class")
     texts = stored(table.select("__row", "text").join(rows, "__row").select("__class", "text"), "texts")
-    links = stored(_confirmed(pairs, texts), "links")
-    roots = components(links, "a", "b")
-    more = stored(_confirmed(_rest(multi, roots, classes), texts), "links")
-    if more.take(1):
-        roots = components(links.unionByName(more), "a", "b")
-    return table, stored(roots.select(F.col("node").alias("__class"), F.col("root").alias("__component")), "roots")
+    around = stored(_differences(pairs, texts), "around")
+    roots = components(around.filter("linked"), "class", "hub")
+    rest = components(_rest(around, roots), "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    nodes = around.select(F.col("class").alias("node")).distinct().join(roots, "node", "left")
+    nodes = nodes.withColumn("root", F.coalesce("root", "node")).join(rest, "root", "left")
+    found = nodes.select(F.col("node").alias("__class"), F.coalesce("top", "root").alias("__component"))
+    return table, stored(found, "roots")
 
 
 def _with_component(docs: DataFrame) -> DataFrame:
     """The signed rows with ``__component``: a class's own digest if it has no links, null without words."""
     table, roots = grouped(docs)
-    joined = table.drop("__bands", "__sketch").join(roots, "__class", "left")
+    joined = table.drop("__bands").join(roots, "__class", "left")
     return joined.withColumn("__component", F.coalesce("__component", "__class"))
 
 
