@@ -201,8 +201,7 @@ register("distinct_ip_1d", sql.distinct_ips("1 day"))(_distinct("1 day"))
 
 @register(
     "total_count",
-    f"""WITH {sql.LOGS} SELECT CAST(1 AS INTEGER) AS id,
-      CAST(count(*) AS INTEGER) AS num FROM browsers""",
+    f"WITH {sql.LOGS} SELECT CAST(1 AS INTEGER) AS id, count(*) AS num FROM browsers",
 )
 def _(spark, sf):
     return logs.total_count(_view(spark, sf))
@@ -613,7 +612,7 @@ def _(spark, sf):
     root = scratch_dir(spark, "counter")
     view = logs.browsers_view(_log_stream(spark, sf))
     streams.live_counter(view, root).awaitTermination()
-    return KeyedFiles(spark, f"{root}/data", ["id"]).read()
+    return streams.counter_table(spark, root).read()
 
 
 @register(
@@ -705,12 +704,12 @@ def _(spark, sf):
 
 @register(
     "insert_values",
-    f"""WITH {sql.LOGS} SELECT CAST(count(*) AS INTEGER) AS num FROM browsers
-    UNION ALL SELECT CAST(3 AS INTEGER)""",
+    f"""WITH {sql.LOGS} SELECT count(*) AS num FROM browsers
+    UNION ALL SELECT CAST(3 AS BIGINT)""",
 )
 def _(spark, sf):
     folder, table = scratch_dir(spark, "counter"), f"counter_{uuid.uuid4().hex}"
-    catalog.create_table(spark, table, "num int", [], folder)
+    catalog.create_table(spark, table, "num bigint", [], folder)
     catalog.insert_rows(logs.total_count(_view(spark, sf)).select("num"), table)
     catalog.insert_values(spark, table, ["3"])
     return from_name(spark, table)

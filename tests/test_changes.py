@@ -137,3 +137,12 @@ def test_compact_form(spark):
     assert sorted(map(tuple, got.collect())) == [
         ("+I", True, "c", 1), ("+U", True, "a", 10), ("-U", False, "a", 5)
     ]
+
+
+def test_a_key_from_two_partitions_is_refused(spark):
+    rows = [(1, "+I", 1, 21, 0), (1, "+U", 2, 7, 1), (2, "+I", 5, 3, 1), (2, "+U", 6, 9, 1)]
+    df = spark.createDataFrame(rows, "id int, kind string, num int, seq bigint, part int")
+    with pytest.raises(Exception, match="two topic partitions"):
+        latest_by_key(df, ["id"], partition="part").collect()
+    fine = latest_by_key(df.where("id = 2"), ["id"], partition="part")
+    assert [tuple(r) for r in fine.collect()] == [(2, 6)]

@@ -47,6 +47,28 @@ def test_uneven_order_values_stay_whole(spark):
     assert ours(spark, rows, 10) == brute_force(rows)
 
 
+def test_order_may_take_the_whole_range(spark):
+    rows = [("a", o, 1) for o in (-(2**63), -(2**62), -1, 0, 5, 2**62, 2**63 - 1)]
+    assert ours(spark, rows, 2) == brute_force(rows)
+
+
+def test_an_outlier_leaves_slices_even(spark):
+    df = spark.range(20_000).selectExpr("'k' as k", "if(id = 7, 9000000000000000000, id) as o", "1L as v")
+    scan = running_by_key(df, ["k"], "o", ordinal="n", sums={"s": "v"}, hot_rows=1000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        from pyspark.sql import functions as F
+
+        sizes = [r["count"] for r in scan.where("s > 0").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 20_000 and max(sizes) <= 2500
+    assert scan.where("n <> s").isEmpty()
+
+
 def test_hot_key_is_split_over_tasks(spark):
     rows = [("hot", i, 1) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, o bigint, v bigint")

@@ -188,7 +188,7 @@ def feed(spark, folder, files=4):
 
 def test_keyed_table_from_any_file_order(spark, folder):
     feed(spark, f"{folder}/topic")
-    table = KeyedFiles(spark, f"{folder}/data", ["id"], buckets=3)
+    table = KeyedFiles(spark, f"{folder}/data", ["id"])
     records = recorded_topic(spark, f"{folder}/topic", max_files=1)
     streams.keyed_table(records, table, folder).awaitTermination()
     changes = feeds.feed_changes(rebuilt.debezium_messages(events(spark)))
@@ -452,3 +452,38 @@ def test_lake_table_grows_with_the_stream(spark, split_events, folder):
     one_day = spark.table("lake_by_day").where("dt = '2024-01-02'")
     assert 0 < one_day.count() < expected
     assert "PartitionFilters: [isnotnull(dt" in revenue.plan_text(one_day)
+
+
+def test_keyed_table_looks_into_live_folders_only(spark, folder, monkeypatch):
+    from tidelog.streaming import files
+
+    table = KeyedFiles(spark, folder, ["id"], schema="id int, num int", compact_every=10)
+    assert table.read().collect() == []
+    counts = []
+    for n in range(25):
+        df = spark.createDataFrame([(n % 4, "+U", n, n)], "id int, kind string, num int, seq bigint")
+        table.upsert(df, n)
+        if n in (9, 19):
+            asked = []
+            monkeypatch.setattr(files, "exists", lambda s, p, real=files.exists: asked.append(p) or real(s, p))
+            assert {(r.id, r.num) for r in table.read().collect()} == {(k % 4, k) for k in range(n - 3, n + 1)}
+            counts.append(len(asked))
+            monkeypatch.undo()
+    assert counts[0] == counts[1] == 1
+    changes = spark.createDataFrame([(1, "+U", 2, 3)], "id int, kind string, num int, seq bigint")
+    from tidelog.operators.changes import latest_by_key
+
+    plan = latest_by_key(changes, ["id"], keep_deleted=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_lake_table_fits_its_merge_and_hides_removed_rows(spark, folder):
+    from tidelog.plans import catalog
+    from tidelog.streaming.keyed import LakeUpsert
+
+    catalog.create_table(spark, "keyed_lake", catalog.KEYED_TABLE, [], folder)
+    try:
+        spark.sql("INSERT INTO keyed_lake VALUES (1, 2, NULL, 5, false), (2, 3, NULL, 6, true)")
+        assert [tuple(r) for r in LakeUpsert("keyed_lake", ["id"]).read(spark).collect()] == [(1, 2, None)]
+    finally:
+        catalog.drop_table(spark, "keyed_lake")

@@ -19,6 +19,7 @@ def latest_by_key(
     order: str = "seq",
     kind: str = "kind",
     keep_deleted: bool = False,
+    partition: str | None = None,
 ) -> DataFrame:
     """Newest row per key; keys whose newest change removes them are left out.
 
@@ -26,36 +27,58 @@ def latest_by_key(
     One aggregate, partial before the shuffle: a hot key sends one row per
     task. ``keep_deleted`` keeps removed keys and adds ``order`` and
     ``deleted``, for writers that must remember them.
+
+    Offsets order the changes of one topic partition only. With ``partition``, the
+    column that names it, a key that comes from two partitions ends the job.
     """
-    values = [c for c in changes.columns if c not in {*keys, order, kind}]
+    values = [c for c in changes.columns if c not in {*keys, order, kind, partition}]
+    guard = [partition] if partition else []
     removed = ~F.col(kind).isin(*_ADDED)
     if "deleted" in changes.columns:
         raise ValueError("the column name 'deleted' is taken by the result")
-    rows = changes.select(*keys, *values, order, removed.alias("deleted"))
-    newest = _newest(rows, keys, [*values, "deleted"], order)
+    rows = changes.select(*keys, *values, order, *guard, removed.alias("deleted"))
+    newest = _newest(rows, keys, [*values, "deleted"], order, partition)
     if keep_deleted:
-        return newest.select(*keys, *values, order, "deleted")
+        return newest.select(*keys, *values, order, *guard, "deleted")
     return newest.where(~F.col("deleted")).select(*keys, *values)
 
 
-def merge_latest(rows: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
+def merge_latest(
+    rows: DataFrame, keys: Sequence[str], order: str = "seq", partition: str | None = None
+) -> DataFrame:
     """Newest row per key of rows that already carry ``order`` and ``deleted``."""
-    values = [c for c in rows.columns if c not in {*keys, order}]
-    return _newest(rows, keys, values, order).select(*rows.columns)
+    values = [c for c in rows.columns if c not in {*keys, order, partition}]
+    return _newest(rows, keys, values, order, partition).select(*rows.columns)
 
 
 def _newest(
-    rows: DataFrame, keys: Sequence[str], values: Sequence[str], order: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    order: str,
+    partition: str | None = None,
 ) -> DataFrame:
+    ends = [F.max(order).alias(order)]
+    if partition:
+        two = F.concat(
+            F.lit("changes of one key come from two topic partitions ("),
+            F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]), F.lit(")"),
+        )
+        ends += [F.min(partition).alias("__one"), F.max(partition).alias(partition)]
     # Columns of fixed width aggregate one by one in a hash map; a struct or a
     # string needs a sort-based aggregate, so then all go in one struct.
     if all(_fixed_width(rows.schema[c].dataType) for c in values):
         picks = [F.max_by(c, order).alias(c) for c in values]
-        return rows.groupBy(*keys).agg(*picks, F.max(order).alias(order))
-    newest = F.max_by(F.struct(*values), order).alias("__row")
-    return rows.groupBy(*keys).agg(newest, F.max(order).alias(order)).select(
-        *keys, "__row.*", order
-    )
+        newest = rows.groupBy(*keys).agg(*picks, *ends)
+    else:
+        one = F.max_by(F.struct(*values), order).alias("__row")
+        rest = [order, *(["__one", partition] if partition else [])]
+        newest = rows.groupBy(*keys).agg(one, *ends).select(*keys, "__row.*", *rest)
+    if not partition:
+        return newest
+    # In the column that every reader filters by, so that the check isn't pruned away.
+    same = F.when(F.col("__one") == F.col(partition), F.col("deleted"))
+    return newest.withColumn("deleted", same.otherwise(F.raise_error(two).cast("boolean"))).drop("__one")
 
 
 def _fixed_width(t: T.DataType) -> bool:

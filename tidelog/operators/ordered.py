@@ -1,10 +1,11 @@
 """Running values per key, in order, without holding a hot key in one task.
 
 A plain ``sum() over (partition by key order by seq)`` sends every row of a key
-to one task. Here a key with more than ``hot_rows`` rows is cut into slices of
-its order range. Each slice starts with an *opening row* that carries the
-totals of the slices before it, so an ordinary window over (key, slice) gives
-the running values of the whole key.
+to one task. Here the rows of keys with more than ``hot_rows`` rows are dealt by
+ranges of (key, order), which Spark cuts from a sample, and written once. Each
+range is a slice; it starts with an *opening row* that carries the totals of the
+slices before it, so an ordinary window over (key, slice) gives the running
+values of the whole key.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.session import scratch_dir
+
 HOT_ROWS = 1 << 20
+MOST_HOT = 10**6
 
 _SLICE, _OPENING, _ONES = "__slice", "__opening", "__rows"
 
@@ -37,47 +41,43 @@ def running_by_key(
     sums_before  name -> column: the same without the row itself
     previous     name -> column: value in the row before, NULL in the first
 
-    ``order`` is a whole number, not NULL and unique within a key. The input is
-    read up to three times (twice for two or three narrow columns), so give it
-    a table scan or a checkpointed DataFrame. NULL keys form one key.
+    ``order`` is not NULL and unique within a key, and of any type that sorts. NULL
+    keys form one key. The input is read up to three times (once for the keys
+    only), so give it a table scan or a stored DataFrame. Rows are counted when
+    this is called.
 
-    Slices come from the key's order range, so offsets or ids, which fill their
-    range evenly, give slices of about ``hot_rows`` rows.
+    Hot keys are known by a hash, so that wide keys aren't broadcast; a key that
+    shares the hash of a hot one is sliced too. At most ``MOST_HOT`` keys count as
+    hot, whatever the number of rows: beyond that ``hot_rows`` grows.
     """
     upto, before_it, previous = dict(sums or {}), dict(sums_before or {}), dict(previous or {})
     totals = {**upto, **before_it}
     keys = list(keys)
-    carried = sorted(set(totals.values()) | set(previous.values()))
-
-    # At most (rows / hot_rows) keys can be hot: that bounds the broadcast,
-    # whatever the number of keys.
-    hot = F.broadcast(
-        df.groupBy(*[F.col(k).alias(f"__hot_{k}") for k in keys])
-        .agg(
-            F.count("*").alias("__count"),
-            F.min(order).alias("__low"),
-            F.max(order).alias("__high"),
-        )
-        .where(F.col("__count") > hot_rows)
-        .withColumn("__slices", F.ceil(F.col("__count") / hot_rows))
-        .withColumn("__width", F.expr("(__high - __low) div __slices + 1"))
-        .drop("__count", "__high", "__slices")
-    )
-    is_key = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
-    sliced = F.expr(f"(`{order}` - __low) div __width")
-
-    rows = df.join(hot, _all(is_key), "left").select(
-        *df.columns, F.coalesce(sliced, F.lit(0)).alias(_SLICE)
-    )
-    hot_part = (
-        df.select(*{*keys, order, *carried})
-        .join(hot, _all(is_key), "inner")
-        .groupBy(*keys, sliced.alias(_SLICE))
-        .agg(
-            F.count("*").alias(_ONES),
-            *[F.sum(c).alias(f"__sum_{n}") for n, c in totals.items()],
-            *[F.max_by(c, order).alias(f"__last_{n}") for n, c in previous.items()],
-        )
+    inputs = {**totals, **previous}
+    mark = F.xxhash64(*[F.col(k) for k in keys])
+    entering = [
+        F.lit(1).cast("long").alias(_ONES),
+        *[F.col(c).alias(f"__in_{n}") for n, c in inputs.items()],
+        F.lit(False).alias(_OPENING),
+    ]
+
+    hot, slices = _hot_keys(df, mark, hot_rows)
+    if not slices:
+        stacked = df.select("*", F.lit(0).alias(_SLICE), *entering)
+        return _running(stacked, df.columns, keys, order, ordinal, upto, before_it, previous)
+
+    marked = df.withColumn("__mark", mark)
+    cold = marked.join(F.broadcast(hot), "__mark", "left_anti").drop("__mark")
+    path = scratch_dir(df.sparkSession, "slices")
+    warm = marked.join(F.broadcast(hot), "__mark", "left_semi").drop("__mark")
+    warm.repartitionByRange(slices, *keys, order).withColumn(
+        _SLICE, F.spark_partition_id()
+    ).write.parquet(path)
+    sliced = df.sparkSession.read.parquet(path)
+    hot_part = sliced.groupBy(*keys, _SLICE).agg(
+        F.count("*").alias(_ONES),
+        *[F.sum(c).alias(f"__sum_{n}") for n, c in totals.items()],
+        *[F.max_by(c, order).alias(f"__last_{n}") for n, c in previous.items()],
     )
 
     before = Window.partitionBy(*keys).orderBy(_SLICE)
@@ -90,17 +90,36 @@ def running_by_key(
         *[F.lag(f"__last_{n}").over(before).alias(f"__in_{n}") for n in previous],
         F.lit(True).alias(_OPENING),
     )
-    inputs = {**totals, **previous}
-    stacked = rows.select(
-        "*",
-        F.lit(1).cast("long").alias(_ONES),
-        *[F.col(c).alias(f"__in_{n}") for n, c in inputs.items()],
-        F.lit(False).alias(_OPENING),
-    ).unionByName(openings, allowMissingColumns=True)
-
-    in_order = Window.partitionBy(*keys, _SLICE).orderBy(
-        F.col(order).asc_nulls_first()
-    )
+    rows = cold.withColumn(_SLICE, F.lit(-1)).unionByName(sliced).select("*", *entering)
+    stacked = rows.unionByName(openings, allowMissingColumns=True)
+    return _running(stacked, df.columns, keys, order, ordinal, upto, before_it, previous)
+
+
+def _hot_keys(df: DataFrame, mark: Column, hot_rows: int) -> tuple[DataFrame, int]:
+    """Hashes of the hot keys (``MOST_HOT`` at most), and in how many slices to cut their rows."""
+    path = scratch_dir(df.sparkSession, "hot")
+    counts = df.groupBy(mark.alias("__mark")).agg(F.count("*").alias("__count"))
+    counts.where(F.col("__count") > hot_rows).write.parquet(path)
+    hot = df.sparkSession.read.parquet(path)
+    rows = hot.agg(F.sum("__count")).first()[0] or 0
+    least = max(hot_rows, rows // MOST_HOT)
+    if least > hot_rows:
+        hot = hot.where(F.col("__count") > least)
+        rows = hot.agg(F.sum("__count")).first()[0] or 0
+    return hot.select("__mark"), -(-rows // least)
+
+
+def _running(
+    stacked: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    order: str,
+    ordinal: str | None,
+    upto: Mapping[str, str],
+    before_it: Mapping[str, str],
+    previous: Mapping[str, str],
+) -> DataFrame:
+    in_order = Window.partitionBy(*keys, _SLICE).orderBy(F.col(order).asc_nulls_first())
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     added: list[Column] = []
     if ordinal:
@@ -109,15 +128,4 @@ def running_by_key(
     without_it = in_order.rowsBetween(Window.unboundedPreceding, -1)
     added += [F.sum(f"__in_{n}").over(without_it).alias(n) for n in before_it]
     added += [F.lag(f"__in_{n}").over(in_order).alias(n) for n in previous]
-    return (
-        stacked.select(*df.columns, _OPENING, *added)
-        .where(~F.col(_OPENING))
-        .drop(_OPENING)
-    )
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+    return stacked.select(*columns, _OPENING, *added).where(~F.col(_OPENING)).drop(_OPENING)

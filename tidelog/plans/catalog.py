@@ -12,7 +12,8 @@ WAREHOUSE_TABLE = (
     " requests bigint not null"
 )
 APPEND_TABLE = "id int, num int, op string, op_ts timestamp_ntz"
-KEYED_TABLE = "id int, num int, operation_ts timestamp_ntz"
+# The last two are what a MERGE needs to know about its rows.
+KEYED_TABLE = "id int, num int, operation_ts timestamp_ntz, seq bigint, deleted boolean"
 
 
 def create_table(

@@ -105,11 +105,11 @@ def distinct_ips(logs: DataFrame, size: str = "10 seconds") -> DataFrame:
     )
 
 
-def total_count(view: DataFrame, kind: str = "int") -> DataFrame:
+def total_count(view: DataFrame, kind: str = "bigint") -> DataFrame:
     """One row for the counter table: a constant key and the count.
 
-    The table has an INT; past two billion rows the cast ends the job rather
-    than store a wrong number, so give ``kind="bigint"`` for larger inputs.
+    A table with an INT takes ``kind="int"``; past two billion rows that cast ends
+    the job rather than store a wrong number.
     """
     return view.agg(F.count("*").cast(kind).alias("num")).select(
         F.lit(1).cast("int").alias("id"), "num"

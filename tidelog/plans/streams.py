@@ -11,7 +11,7 @@ the first batch after its window closed is still counted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -161,7 +161,7 @@ def live_counter(
     view: DataFrame,
     root: str,
     jdbc: JdbcUpsert | None = None,
-    kind: str = "int",
+    kind: str = "bigint",
     interval: str | None = None,
 ) -> StreamingQuery:
     """The running number of rows, upserted as one row per batch."""
@@ -170,7 +170,7 @@ def live_counter(
         return start(
             counter, f"{root}/checkpoint", each_batch=jdbc, mode="update", interval=interval
         )
-    table = KeyedFiles(view.sparkSession, f"{root}/data", ["id"])
+    table = counter_table(view.sparkSession, root)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         changes = batch.withColumns(
@@ -183,6 +183,10 @@ def live_counter(
     )
 
 
+def counter_table(spark: SparkSession, root: str) -> KeyedFiles:
+    return KeyedFiles(spark, f"{root}/data", ["id"], schema="id int, num bigint")
+
+
 def feed_to_topic(
     messages: DataFrame,
     root: str,

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.operators.changes import latest_by_key, merge_latest
 from tidelog.streaming import files
@@ -19,62 +20,75 @@ class KeyedFiles:
     Every batch is reduced to one row per key and written, removed keys
     included, under ``changes/batch=<id>``; a replay replaces that folder. The
     table is the newest row per key over all of them, so a late older row never
-    revives a key. `compact` rewrites the history to one row per key.
+    revives a key. `compact` rewrites the history to one row per key, after every
+    ``compact_every`` batches by itself.
 
-    Files are split by key hash: after the reduction every bucket has its share
-    of the keys, whatever their number of changes.
+    Files are the partitions of the aggregate that reduced them: as many as
+    adaptive execution makes for their size. ``schema`` is the table's, for reading
+    it before the first batch. With ``partition`` (the column of a topic's
+    partition) a key that comes from two partitions ends the job.
     """
 
     spark: SparkSession
     path: str
     keys: Sequence[str]
     order: str = "seq"
-    buckets: int = 8
+    schema: str | T.StructType | None = None
+    compact_every: int = 50
+    partition: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.upsert(batch, batch_id)
 
     def upsert(self, changes: DataFrame, batch_id: int) -> None:
-        newest = latest_by_key(changes, self.keys, self.order, keep_deleted=True)
-        self._write(newest, f"{self.path}/changes/batch={batch_id:012d}")
+        newest = latest_by_key(
+            changes, self.keys, self.order, keep_deleted=True, partition=self.partition
+        )
+        newest.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id:012d}")
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.compact()
 
     def read(self, before_batch: int | None = None) -> DataFrame | None:
-        """The table now, or as it was before a batch; None before the first."""
+        """The table now, or as it was before a batch.
+
+        Before the first batch it is empty, or None if no ``schema`` is given.
+        """
         history = self._history(before_batch)
         if history is None:
-            return None
-        newest = merge_latest(history, self.keys, self.order)
-        return newest.where(~F.col("deleted")).drop("deleted", self.order)
+            return None if self.schema is None else self.spark.createDataFrame([], self.schema)
+        newest = merge_latest(history, self.keys, self.order, self.partition)
+        hidden = ["deleted", self.order, *([self.partition] if self.partition else [])]
+        return newest.where(~F.col("deleted")).drop(*hidden)
 
     def compact(self) -> None:
         """Write one row per key, up to the newest complete batch, to a new folder."""
-        batches = self._complete("changes/batch")
-        if batches and max(batches) not in self._complete("base/upto"):
-            newest = merge_latest(self._history(None), self.keys, self.order)
-            self._write(newest, f"{self.path}/base/upto={max(batches):012d}")
-
-    def _write(self, rows: DataFrame, folder: str) -> None:
-        rows.repartition(self.buckets, *self.keys).write.mode("overwrite").parquet(folder)
+        found = self._folders(None)
+        if len(found) < 2:
+            return
+        newest = merge_latest(self.spark.read.parquet(*found), self.keys, self.order, self.partition)
+        upto = found[-1].rsplit("=", 1)[1]
+        newest.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
 
     def _history(self, before_batch: int | None) -> DataFrame | None:
+        found = self._folders(before_batch)
+        return self.spark.read.parquet(*found) if found else None
+
+    def _folders(self, before_batch: int | None) -> list[str]:
+        """The newest complete base and the complete batches after it: only these are looked into."""
         limit = float("inf") if before_batch is None else before_batch
-        bases = [n for n in self._complete("base/upto") if n < limit]
-        start = max(bases, default=-1)
-        found = [f"{self.path}/base/upto={start:012d}"] if bases else []
-        found += [
-            f"{self.path}/changes/batch={n:012d}"
-            for n in self._complete("changes/batch")
-            if start < n < limit
+        bases = (f for n, f in reversed(self._named("base/upto")) if n < limit)
+        base = next((f for f in bases if files.exists(self.spark, f"{f}/{files.MARKER}")), None)
+        start = int(base.rsplit("=", 1)[1]) if base else -1
+        return ([base] if base else []) + [
+            f
+            for n, f in self._named("changes/batch")
+            if start < n < limit and files.exists(self.spark, f"{f}/{files.MARKER}")
         ]
-        return self.spark.read.parquet(*found) if found else None
 
-    def _complete(self, prefix: str) -> list[int]:
-        """Numbers of the folders whose write finished."""
-        return sorted(
-            int(folder.rsplit("=", 1)[1])
-            for folder in files.folders(self.spark, f"{self.path}/{prefix}=*")
-            if files.exists(self.spark, f"{folder}/{files.MARKER}")
-        )
+    def _named(self, prefix: str) -> list[tuple[int, str]]:
+        """Folders by the number in their name, from one listing."""
+        found = files.folders(self.spark, f"{self.path}/{prefix}=*")
+        return sorted((int(folder.rsplit("=", 1)[1]), folder) for folder in found)
 
 
 def merge_sql(
@@ -94,7 +108,7 @@ def merge_sql(
 
 @dataclass
 class LakeUpsert:
-    """Upsert into a lake table that supports MERGE."""
+    """Upsert into a lake table that supports MERGE and has ``order`` and ``deleted`` columns."""
 
     target: str
     keys: Sequence[str]
@@ -107,3 +121,7 @@ class LakeUpsert:
         newest.sparkSession.sql(
             merge_sql(self.target, "__upsert", self.keys, columns, self.order)
         )
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The rows that no change has removed, without the columns that the merge needs."""
+        return spark.table(self.target).where(~F.col("deleted")).drop(self.order, "deleted")

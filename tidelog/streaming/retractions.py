@@ -33,41 +33,37 @@ class RetractingSum:
     hot_rows: int = HOT_ROWS
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        sums = KeyedFiles(batch.sparkSession, f"{self.path}/sums", self.keys)
-        opening = sums.read(before_batch=batch_id)
-        batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            if self.compact:
-                changes = retract_totals(batch, self.keys, self.value, self.total, opening)
-            else:
-                changes = retract_sum(
-                    batch, self.keys, self.value, self.order, self.total, opening,
-                    self.hot_rows,
-                )
-            changes.write.mode("overwrite").parquet(
-                f"{self.path}/changes/batch={batch_id:012d}"
+        if batch.isEmpty():
+            return
+        sums = KeyedFiles(
+            batch.sparkSession, f"{self.path}/sums", self.keys, compact_every=self.compact_every
+        )
+        opening = self._touched(sums.read(before_batch=batch_id), batch)
+        if self.compact:
+            changes = retract_totals(batch, self.keys, self.value, self.total, opening)
+        else:
+            changes = retract_sum(
+                batch, self.keys, self.value, self.order, self.total, opening, self.hot_rows
             )
-            sums.upsert(self._closing(batch, opening, batch_id), batch_id)
-        finally:
-            batch.unpersist()
-        if batch_id % self.compact_every == self.compact_every - 1:
-            sums.compact()
+        changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id:012d}")
+        sums.upsert(self._closing(batch, opening, batch_id), batch_id)
+
+    def _touched(self, sums: DataFrame | None, batch: DataFrame) -> DataFrame | None:
+        """Sums of the batch's keys only: all later work is on these."""
+        if sums is None:
+            return None
+        new = batch.select(*[F.col(k).alias(f"__new_{k}") for k in self.keys]).distinct()
+        same = F.lit(True)
+        for k in self.keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"__new_{k}"))
+        return sums.join(new, same, "left_semi")
 
     def _closing(self, batch: DataFrame, opening: DataFrame | None, batch_id: int) -> DataFrame:
         """Sum per touched key after the batch."""
-        added = batch.groupBy(*self.keys).agg(
-            F.sum(self.value).alias(self.total), F.lit(True).alias("touched")
-        )
+        values = batch.select(*self.keys, F.col(self.value).alias(self.total))
         if opening is not None:
-            earlier = opening.select(*self.keys, self.total, F.lit(False).alias("touched"))
-            added = (
-                added.unionByName(earlier)
-                .groupBy(*self.keys)
-                .agg(F.sum(self.total).alias(self.total), F.bool_or("touched").alias("touched"))
-                .where("touched")
-            )
+            values = values.unionByName(opening.select(*self.keys, self.total))
+        added = values.groupBy(*self.keys).agg(F.sum(self.total).alias(self.total))
         return added.select(
             *self.keys,
             self.total,
