@@ -14,22 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles as sql
-from tidelog.functions import epoch_millis, millis_to_ntz, regexp_first, wall_clock
-from tidelog.operators.changes import latest_by_key, retract_totals
+from tidelog.functions import epoch_millis, json_string, millis_to_ntz, regexp_first, wall_clock
+from tidelog.operators.changes import retract_totals
 from tidelog.operators.debezium import (
     VIRTUAL_COLUMNS,
     append_log,
-    changelog,
     decode,
+    split_errors,
+    split_schema_changes,
     to_debezium_json,
 )
-from tidelog.operators.windows import tumble, word_counts
+from tidelog.operators.windows import tumble, with_processing_time, word_counts
 from tidelog.plans import catalog, feeds, logs, revenue, streams
 from tidelog.session import scratch_dir
 from tidelog.sources import rebuilt, synthetic
-from tidelog.sources.files import WAREHOUSE_SCHEMA, from_name, read_partitioned_json
+from tidelog.sources.files import (
+    WAREHOUSE_SCHEMA,
+    from_name,
+    read_partitioned_json,
+    text_stream,
+)
 from tidelog.sources.topics import drop_replays, json_rows, recorded_topic
 from tidelog.streaming.keyed import KeyedFiles
+from tidelog.streaming.run import run_to_end
 from tidelog.streaming.sinks import json_records, message_id
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,6 +251,23 @@ def _(spark, sf):
     return word_counts(rebuilt.text_lines(rebuilt.table(spark, sf, "documents")))
 
 
+@register(
+    "word_count_fixed_clock",
+    f"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents),
+    ones AS (SELECT doc_id % 3600 // 30 AS slot, unnest({sql.words('value')}) AS word FROM lines)
+    SELECT word, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(slot * 30) AS window_start, count(*) AS n
+    FROM ones GROUP BY word, slot""",
+)
+def _(spark, sf):
+    """Processing-time windows with a clock that gives each document its second of an hour."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    clock = start + F.make_dt_interval(secs=(F.col("doc_id") % 3600).cast("decimal(18,6)"))
+    docs = with_processing_time(rebuilt.table(spark, sf, "documents"), "at", clock)
+    lines = docs.select("at", F.explode(F.split("text", "\n", -1)).alias("value"))
+    counts = word_counts(lines, "value", "at", "30 seconds")
+    return counts.select("word", F.col("window.start").alias("window_start"), "n")
+
+
 @register(
     "word_count_windows",
     f"""WITH {sql.LOGS}, ones AS (
@@ -384,11 +408,29 @@ def _(spark, sf):
 @register("cdc_round_trip", _LATEST)
 def _(spark, sf):
     sent = feeds.topic_messages(feeds.feed_changes(_messages(spark, sf)))
-    table = "id int, num int, operation_ts timestamp_ntz"
-    received = changelog(
-        sent, table, json_options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSS"}
+    return feeds.current_rows(feeds.received_changes(sent))
+
+
+@register("cdc_latest_partitioned", _LATEST)
+def _(spark, sf):
+    """Messages over eight topic partitions, with offsets that start again in each."""
+    records = rebuilt.topic_records(_messages(spark, sf), partitions=8)
+    return feeds.current_rows(feeds.feed_changes(records, partition="partition"))
+
+
+@register(
+    "cdc_schema_changes",
+    """SELECT event_id AS "offset", CASE WHEN event_id % 10 = 0 THEN 'schema' ELSE 'row' END AS kind,
+      CASE WHEN event_id % 10 = 0 THEN 'ALTER TABLE test ADD c' || event_id END AS ddl FROM events""",
+)
+def _(spark, sf):
+    changes, others = split_schema_changes(rebuilt.with_schema_changes(_events(spark, sf)))
+    decoded = decode(changes, feeds.TEST_TABLE)
+    kept = decoded.where(F.col("decode_error").isNull())
+    ddl = F.get_json_object("value", "$.ddl").alias("ddl")
+    return kept.select("offset", F.lit("row").alias("kind"), F.lit(None).cast("string").alias("ddl")).unionAll(
+        others.select("offset", F.lit("schema"), ddl)
     )
-    return latest_by_key(received, ["id"])
 
 
 _BROKEN = f"""WITH {sql.CHANGES}, judged AS (
@@ -411,6 +453,41 @@ def _(spark, sf):
     return decoded.select("offset", "decode_error", "bad_fields")
 
 
+@register(
+    "cdc_side_output",
+    f"""{_BROKEN} SELECT "offset", decode_error FROM judged WHERE decode_error IS NOT NULL""",
+)
+def _(spark, sf):
+    decoded = decode(rebuilt.broken_messages(_events(spark, sf)), feeds.TEST_TABLE, ["source.timestamp"])
+    _, bad = split_errors(decoded)
+    return bad.select("offset", "decode_error")
+
+
+@register(
+    "json_topic_skip",
+    "SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 7 <> 0",
+)
+def _(spark, sf):
+    """Documents as a JSON topic in which every seventh record is cut off."""
+    docs = rebuilt.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    whole = F.to_json(F.struct("doc_id", "lang", "n_chars"))
+    records = docs.select(F.when(F.col("doc_id") % 7 == 0, F.substring(whole, 2, 1000)).otherwise(whole).alias("value"))
+    return json_rows(records, "doc_id bigint, lang string, n_chars bigint", on_error="skip")
+
+
+@register(
+    "json_string_messages",
+    "SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN text END AS text FROM documents",
+)
+def _(spark, sf):
+    """Texts as JSON strings, every fifth without its closing quote."""
+    docs = rebuilt.table(spark, sf, "documents").select("doc_id", "text")
+    pair = F.to_json(F.struct(F.col("text").alias("t")))
+    cut = F.when(F.col("doc_id") % 5 == 0, 7).otherwise(6)
+    quoted = F.substring(pair, F.lit(6), F.length(pair) - cut)
+    return docs.select("doc_id", json_string(quoted, on_error="skip").alias("text"))
+
+
 @register(
     "cdc_append_log_skip",
     f"""{_BROKEN} SELECT "offset", id,
@@ -488,10 +565,10 @@ def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rebuilt.server_logs(events)
 
 
-def _recorded_feed(spark: SparkSession, sf: str) -> DataFrame:
+def _recorded_feed(spark: SparkSession, sf: str, partitions: int = 1) -> DataFrame:
     """The change messages, first recorded as a topic, then read as a stream."""
     folder = scratch_dir(spark, "feed")
-    rebuilt.topic_records(_messages(spark, sf)).write.parquet(folder)
+    rebuilt.topic_records(_messages(spark, sf), partitions=partitions).write.parquet(folder)
     return recorded_topic(spark, folder)
 
 
@@ -607,6 +684,18 @@ def _(spark, sf):
     return spark.read.parquet(f"{root}/data")
 
 
+@register(
+    "stream_text_lines",
+    "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
+)
+def _(spark, sf):
+    """Documents as text files, followed as a stream of lines."""
+    root = scratch_dir(spark, "lines")
+    rebuilt.table(spark, sf, "documents").select("text").write.option("lineSep", "\n").text(f"{root}/in")
+    run_to_end(text_stream(spark, f"{root}/in"), f"{root}/checkpoint", path=f"{root}/data")
+    return spark.read.parquet(f"{root}/data")
+
+
 @register("stream_total_count", ORACLES["total_count"])
 def _(spark, sf):
     root = scratch_dir(spark, "counter")
@@ -646,13 +735,24 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_dir(spark, "changelog")
     streams.changelog_topic(_recorded_feed(spark, sf), root).awaitTermination()
-    return spark.read.text(f"{root}/data")
+    return spark.read.parquet(f"{root}/data").select("value")
+
+
+@register("stream_cdc_topic_round_trip", _LATEST)
+def _(spark, sf):
+    """A feed of several partitions to a keyed topic, and back to the table."""
+    root = scratch_dir(spark, "changelog")
+    streams.changelog_topic(_recorded_feed(spark, sf, partitions=8), root).awaitTermination()
+    return feeds.current_rows(feeds.received_changes(spark.read.parquet(f"{root}/data")))
 
 
 @register("stream_cdc_upsert", _LATEST)
 def _(spark, sf):
     root = scratch_dir(spark, "keyed")
-    table = KeyedFiles(spark, f"{root}/data", ["id"])
+    table = KeyedFiles(
+        spark, f"{root}/data", ["id"], partition="partition",
+        schema="id int, num int, operation_ts timestamp_ntz",
+    )
     streams.keyed_table(_recorded_feed(spark, sf), table, root).awaitTermination()
     return table.read()
 

@@ -83,8 +83,14 @@ def test_words_of_any_line(spark, lines):
 
 
 def test_json_string_messages(spark):
-    df = column(spark, ['"abc"', '"a\\nb"', "12", "{bad", None, "", "null", '{"a":1}'])
-    assert results(df, json_string("v")) == ["abc", "a\nb"] + [None] * 6
+    good = ['"abc"', '"a\\nb"', "12", " 1.50 ", "true", None, "null"]
+    read = ["abc", "a\nb", "12", "1.50", "true", None, None]
+    assert results(column(spark, good), json_string("v")) == read
+    for bad in ("{bad", "", '{"a":1}', "[1]", '"cut'):
+        df = column(spark, [bad])
+        assert results(df, json_string("v", "skip")) == [None]
+        with pytest.raises(Exception, match="JSON string"):
+            results(df, json_string("v"))
 
 
 def test_times(spark):

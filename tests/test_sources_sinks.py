@@ -11,7 +11,7 @@ from tidelog.sources.topics import RECORD_SCHEMA, Topic, drop_replays, json_rows
 from tidelog.streaming.keyed import LakeUpsert, merge_sql
 from tidelog.streaming.run import run_to_end
 from tidelog.streaming.sinks import (
-    EXACTLY_ONCE_OPTIONS,
+    DURABLE_OPTIONS,
     JdbcUpsert,
     json_records,
     message_id,
@@ -122,8 +122,8 @@ def test_topic_options():
         "maxOffsetsPerTrigger": "5", "includeHeaders": "true",
     }
     assert Topic("t", start="earliest").read_options()["startingOffsets"] == "earliest"
-    writer = Topic("out", "broker:1", extra=dict(EXACTLY_ONCE_OPTIONS)).write_options()
-    assert writer["topic"] == "out" and writer["kafka.transaction.timeout.ms"] == "60000"
+    writer = Topic("out", "broker:1", extra=dict(DURABLE_OPTIONS)).write_options()
+    assert writer["topic"] == "out" and writer["kafka.acks"] == "all"
 
 
 def record(value, offset=0):
@@ -134,8 +134,17 @@ def test_json_topic(spark):
     records = spark.createDataFrame(
         [record('{"a":1,"t":"2024-01-01 00:00:09.999"}'), record("{bad", 1)], RECORD_SCHEMA
     )
-    rows = json_rows(records, "a int, t timestamp_ntz", ("offset",)).orderBy("offset").collect()
-    assert [r.a for r in rows] == [1, None] and rows[0].t.microsecond == 999000
+    schema = "a int, t timestamp_ntz"
+    rows = json_rows(records, schema, ("offset",), on_error="skip").collect()
+    assert [(r.offset, r.a) for r in rows] == [(0, 1)] and rows[0].t.microsecond == 999000
+    with pytest.raises(Exception, match="Corrupt JSON record"):
+        json_rows(records, schema).collect()
+    word = spark.createDataFrame([record('{"a":"x"}'), record(None), record("")], RECORD_SCHEMA)
+    assert json_rows(word, schema, on_error="skip").collect() == []
+    nulls = spark.createDataFrame([record('{"a":null}'), record("{}"), record(None)], RECORD_SCHEMA)
+    assert [r.a for r in json_rows(nulls, schema).collect()] == [None, None]
+    plan = json_rows(records, schema)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_json_records_keep_nulls(spark):

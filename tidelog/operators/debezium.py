@@ -193,6 +193,7 @@ def changelog(
     metadata: Metadata = (),
     *,
     order: str = "offset",
+    partition: str | None = None,
     wrapped: bool = False,
     on_error: str = "fail",
     value: str = "value",
@@ -201,7 +202,9 @@ def changelog(
     """Full changelog: ``seq, kind``, table columns, metadata columns.
 
     ``c``/``r`` give +I, ``u`` gives -U and +U, ``d`` gives -D. ``seq`` orders
-    all changes: twice the topic offset, plus one for an after image.
+    all changes of a topic partition: twice the offset, plus one for an after image.
+    ``partition`` keeps the column that names it, for `latest_by_key` to see that no
+    key comes from two.
     """
     decoded = decode(
         messages, physical, metadata,
@@ -220,9 +223,10 @@ def changelog(
         .when(op == "d", F.array(entry("-D", "before", first)))
     )
     names = list(_named(metadata))
+    kept = [partition] if partition else []
     return decoded.select(
-        "change.meta", F.explode(_checked(entries, on_error, value)).alias("e")
-    ).select("e.seq", "e.kind", "e.row.*", *[F.col(f"meta.{n}").alias(n) for n in names])
+        *kept, "change.meta", F.explode(_checked(entries, on_error, value)).alias("e")
+    ).select(*kept, "e.seq", "e.kind", "e.row.*", *[F.col(f"meta.{n}").alias(n) for n in names])
 
 
 def to_debezium_json(changes: DataFrame, columns: Sequence[str]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import wall_clock
 from tidelog.operators.changes import latest_by_key
 from tidelog.operators.debezium import append_log, changelog, to_debezium_json
+from tidelog.streaming.sinks import JSON_TIME, record_key
 
 # Fixed value: the table behind the feed.
 TEST_TABLE = "id int, num int"
@@ -41,6 +42,30 @@ def topic_messages(changes: DataFrame) -> DataFrame:
     )
 
 
+def keyed_messages(changes: DataFrame) -> DataFrame:
+    """The same for a topic of several partitions: each record has its row's key.
+
+    ``partition`` and ``offset`` say where the change came from and in which order.
+    """
+    return changes.select(
+        record_key(["id"]),
+        to_debezium_json(changes, ["id", "num", "operation_ts"]).alias("value"),
+        "partition",
+        F.col("seq").alias("offset"),
+    )
+
+
+def received_changes(records: DataFrame) -> DataFrame:
+    """The changelog read back from what `topic_messages` or `keyed_messages` wrote."""
+    return changelog(
+        records,
+        "id int, num int, operation_ts timestamp_ntz",
+        partition="partition" if "partition" in records.columns else None,
+        json_options={"timestampNTZFormat": JSON_TIME},
+    )
+
+
 def current_rows(changes: DataFrame) -> DataFrame:
     """The keyed table: newest row per ``id``."""
-    return latest_by_key(changes, ["id"])
+    partition = "partition" if "partition" in changes.columns else None
+    return latest_by_key(changes, ["id"], partition=partition)

@@ -22,7 +22,7 @@ from tidelog.streaming.keyed import KeyedFiles
 from tidelog.streaming.retractions import RetractingSum
 from tidelog.streaming.run import start
 from tidelog.streaming.sinks import (
-    EXACTLY_ONCE_OPTIONS,
+    DURABLE_OPTIONS,
     JdbcUpsert,
     OrderedBatches,
     PartitionedJson,
@@ -196,7 +196,7 @@ def feed_to_topic(
     """Change messages passed on unchanged, each with the id of its origin."""
     sent = text_records(messages, message_id=["topic", "partition", "offset"])
     if topic_options:
-        target = {"format": "kafka", "options": {**EXACTLY_ONCE_OPTIONS, **topic_options}}
+        target = {"format": "kafka", "options": {**DURABLE_OPTIONS, **topic_options}}
     else:
         target = {"format": "parquet", "path": f"{root}/data"}
     return start(sent, f"{root}/checkpoint", interval=interval, **target)
@@ -216,13 +216,16 @@ def changelog_topic(
     topic_options: dict[str, str] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Change feed re-written to a topic, an update as two messages."""
-    sent = feeds.topic_messages(feeds.feed_changes(records)).select("value")
-    target = (
-        {"format": "kafka", "options": topic_options}
-        if topic_options
-        else {"format": "text", "path": f"{root}/data"}
-    )
+    """Change feed re-written to a topic by key, an update as two messages.
+
+    Recorded under ``root`` the records keep the partition and order of their origin.
+    """
+    sent = feeds.keyed_messages(feeds.feed_changes(records, partition="partition"))
+    if topic_options:
+        sent = sent.select("key", "value")
+        target = {"format": "kafka", "options": topic_options}
+    else:
+        target = {"format": "parquet", "path": f"{root}/data"}
     return start(sent, f"{root}/checkpoint", interval=interval, **target)
 
 
@@ -230,7 +233,7 @@ def keyed_table(
     records: DataFrame, table: KeyedFiles, root: str, interval: str | None = None
 ) -> StreamingQuery:
     """Change feed to a table with one row per ``id``."""
-    changes = feeds.feed_changes(records)
+    changes = feeds.feed_changes(records, partition=table.partition)
     return start(changes, f"{root}/checkpoint", each_batch=table, interval=interval)
 
 

@@ -19,8 +19,8 @@ def read_partitioned_json(spark: SparkSession, path: str, schema: str) -> DataFr
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Lines of new text files in a folder, as ``value``."""
-    reader = spark.readStream.format("text")
+    """Lines of new text files in a folder, as ``value``; only a line feed ends a line."""
+    reader = spark.readStream.format("text").option("lineSep", "\n")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

@@ -145,13 +145,26 @@ def text_lines(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode(F.split("text", "\n", -1)).alias("value"))
 
 
-def topic_records(messages: DataFrame, topic: str = "test") -> DataFrame:
-    """Messages with all the columns a topic source has."""
+def topic_records(messages: DataFrame, topic: str = "test", partitions: int = 1) -> DataFrame:
+    """Messages with all the columns a topic source has.
+
+    Several ``partitions`` are dealt by the row's id, which is then the key, and
+    number their offsets each for themselves, in the order of the messages.
+    """
+    key, partition = F.lit(None).cast("binary"), F.lit(0)
+    if partitions > 1:
+        image = F.coalesce(*[F.get_json_object("value", f"$.{p}.id") for p in ("after", "before")])
+        messages = messages.withColumn("__id", image).withColumn(
+            "partition", F.pmod(F.xxhash64("__id"), F.lit(partitions)).cast("int")
+        )
+        messages = running_by_key(messages, ["partition"], "offset", ordinal="__place")
+        messages = messages.withColumn("offset", F.col("__place") - 1)
+        key, partition = F.col("__id").cast("binary"), F.col("partition")
     return messages.select(
-        F.lit(None).cast("binary").alias("key"),
+        key.alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
+        partition.alias("partition"),
         "offset",
         F.lit(None).cast("timestamp").alias("timestamp"),
     )
@@ -206,3 +219,12 @@ def broken_messages(events: DataFrame) -> DataFrame:
         .otherwise(message(after))
     )
     return debezium_rows(events).select("offset", value.alias("value"))
+
+
+def with_schema_changes(events: DataFrame) -> DataFrame:
+    """The change messages, with a schema change in place of every tenth event id."""
+    ddl = F.concat(F.lit("ALTER TABLE test ADD c"), F.col("offset").cast("string"))
+    change = F.to_json(F.struct(ddl.alias("ddl"), F.lit("test").alias("databaseName")))
+    return debezium_messages(events).withColumn(
+        "value", F.when(F.col("offset") % 10 == 0, change).otherwise(F.col("value"))
+    )

@@ -17,6 +17,7 @@ RECORD_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint,"
     " timestamp timestamp"
 )
+_CORRUPT = "_corrupt_record"
 
 
 @dataclass(frozen=True)
@@ -71,11 +72,33 @@ def recorded_topic(
 
 
 def json_rows(
-    records: DataFrame, schema: str | T.StructType, keep: tuple[str, ...] = ()
+    records: DataFrame,
+    schema: str | T.StructType,
+    keep: tuple[str, ...] = (),
+    on_error: str = "fail",
 ) -> DataFrame:
-    """Rows of a plain JSON topic. Bad records give NULL columns."""
-    row = F.from_json(F.col("value").cast("string"), schema)
-    return records.select(*keep, row.alias("row")).select(*keep, "row.*")
+    """Rows of a plain JSON topic; records without a value are dropped.
+
+    A record that isn't JSON, or has a field that doesn't fit its type, ends the job,
+    or with ``on_error="skip"`` gives no row.
+    """
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"on_error is 'fail' or 'skip', not {on_error!r}")
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = T.StructType([*fields.fields, T.StructField(_CORRUPT, T.StringType())])
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, whole, {"columnNameOfCorruptRecord": _CORRUPT})
+    bad = F.col("__m").isNull() | F.col("__m")[_CORRUPT].isNotNull()
+    row = F.array(F.struct(*[F.col("__m")[f.name].alias(f.name) for f in fields.fields]))
+    if on_error == "skip":
+        rows = F.when(~bad, row)
+    else:
+        why = F.concat(F.lit("Corrupt JSON record: "), F.col("value").cast("string"))
+        rows = F.when(bad, F.raise_error(why)).otherwise(row)
+    # The filter is part of what is exploded: moved below the parse, it would parse twice.
+    rows = F.when(F.col("value").isNotNull(), rows)
+    parsed_once = records.select(*keep, "value", parsed.alias("__m"))
+    return parsed_once.select(*keep, F.explode(rows).alias("row")).select(*keep, "row.*")
 
 
 def drop_replays(

@@ -19,26 +19,38 @@ from tidelog.streaming import files
 # Fixed value: how times are written in JSON topics.
 JSON_TIME = "yyyy-MM-dd HH:mm:ss.SSS"
 
-# Fixed value: exactly-once producers of the feed give up after a minute.
-EXACTLY_ONCE_OPTIONS = {"kafka.transaction.timeout.ms": "60000", "kafka.acks": "all"}
+# Spark's topic sink is at least once and uses no transactions: all replicas must have a
+# record, and readers drop repeats by the id in its headers.
+DURABLE_OPTIONS = {"kafka.acks": "all"}
 
 
-def json_records(rows: DataFrame) -> DataFrame:
-    """Topic records whose ``value`` is the row as JSON, NULLs included."""
+def json_records(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Topic records whose ``value`` is the row as JSON, NULLs included.
+
+    With ``keys`` each record has these columns as its key, so that all records of a
+    key go to one partition of the topic, in their order.
+    """
     options = {"ignoreNullFields": "false", "timestampNTZFormat": JSON_TIME}
-    return rows.select(F.to_json(F.struct("*"), options).alias("value"))
+    key = [record_key(keys)] if keys else []
+    return rows.select(*key, F.to_json(F.struct("*"), options).alias("value"))
+
+
+def record_key(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("key")
 
 
 def text_records(
     messages: DataFrame, value: str = "value", message_id: Sequence[str] = ()
 ) -> DataFrame:
-    """Topic records that pass text on unchanged.
+    """Topic records that pass text on unchanged, with their key if there is one.
 
     Spark's topic sink is at least once. With ``message_id`` (the columns that
     identify a message at its origin, such as topic, partition and offset) each
     record carries an id in its headers, by which readers drop repeats.
     """
     columns = [F.col(value).cast("string").alias("value")]
+    if "key" in messages.columns:
+        columns.insert(0, F.col("key"))
     if message_id:
         name = F.concat_ws("-", *[F.col(c).cast("string") for c in message_id])
         header = F.struct(
