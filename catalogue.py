@@ -560,9 +560,10 @@ def _(spark, sf):
 # Without a limit of files, all there is comes in one batch: the files of a table are in no
 # order, and the watermark moves only after a batch.
 
-def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
-    events = rebuilt.stream_table(spark, f"{sf}/events.parquet", rebuilt.EVENTS_SCHEMA)
-    return rebuilt.server_logs(events)
+def _log_stream(
+    spark: SparkSession, sf: str, made: Callable[[DataFrame], DataFrame] = rebuilt.server_logs
+) -> DataFrame:
+    return made(rebuilt.stream_table(spark, f"{sf}/events.parquet", rebuilt.EVENTS_SCHEMA))
 
 
 def _recorded_feed(spark: SparkSession, sf: str, partitions: int = 1) -> DataFrame:
@@ -572,10 +573,8 @@ def _recorded_feed(spark: SparkSession, sf: str, partitions: int = 1) -> DataFra
     return recorded_topic(spark, folder)
 
 
-# The tables have some ten events an hour: longer windows make the same folders
-# (dt, hour, minute) without a file per row.
-FILE_WINDOW = "6 hours"
-_CLOSED_6H = sql.closed_windows(FILE_WINDOW, "0 seconds")
+FILE_WINDOW = "1 minute"
+_CLOSED_1M = sql.closed_windows(FILE_WINDOW, "0 seconds")
 _CLOSED_10S = sql.closed_windows("10 seconds", "0 seconds")
 
 
@@ -614,10 +613,10 @@ def _realtime_rows(records: DataFrame) -> DataFrame:
     )
 
 
-@register("stream_dw_files", sql.warehouse(FILE_WINDOW, _CLOSED_6H))
+@register("stream_dw_files", sql.dense(sql.warehouse(FILE_WINDOW, _CLOSED_1M)))
 def _(spark, sf):
     root = scratch_dir(spark, "files")
-    view = streams.timed_view(_log_stream(spark, sf))
+    view = streams.timed_view(_log_stream(spark, sf, rebuilt.dense_logs))
     streams.warehouse_files(view, root, FILE_WINDOW).awaitTermination()
     return _warehouse_rows(spark, f"{root}/data")
 
@@ -630,14 +629,14 @@ def _warehouse_rows(spark: SparkSession, path: str) -> DataFrame:
 
 @register(
     "stream_two_sinks",
-    f"""SELECT 'topic' AS sink, browser, status_code, requests
+    sql.dense(f"""SELECT 'topic' AS sink, browser, status_code, requests
       FROM ({sql.status_counts('10 seconds', _CLOSED_10S)}) t
     UNION ALL SELECT 'files', browser, status_code, requests
-      FROM ({sql.warehouse(FILE_WINDOW, _CLOSED_6H)}) f""",
+      FROM ({sql.warehouse(FILE_WINDOW, _CLOSED_1M)}) f"""),
 )
 def _(spark, sf):
     root = scratch_dir(spark, "two")
-    for query in streams.two_sinks(_log_stream(spark, sf), root, FILE_WINDOW):
+    for query in streams.two_sinks(_log_stream(spark, sf, rebuilt.dense_logs), root, FILE_WINDOW):
         query.awaitTermination()
     topic = _realtime_rows(spark.read.text(f"{root}/topic/data"))
     stored = _warehouse_rows(spark, f"{root}/files/data")
@@ -768,10 +767,11 @@ def _(spark, sf):
 # --- tables and files: write, insert, read back ------------------------------------------
 
 
-@register("dw_files_read_back", sql.warehouse(FILE_WINDOW))
+@register("dw_files_read_back", sql.dense(sql.warehouse(FILE_WINDOW)))
 def _(spark, sf):
     folder = scratch_dir(spark, "warehouse")
-    counts = logs.warehouse_columns(logs.status_counts(_view(spark, sf), FILE_WINDOW))
+    view = logs.browsers_view(rebuilt.dense_logs(_events(spark, sf)))
+    counts = logs.warehouse_columns(logs.status_counts(view, FILE_WINDOW))
     partitions = ["dt", "hour", "minute"]
     counts.repartition(*partitions).write.partitionBy(*partitions).json(folder)
     return _warehouse_rows(spark, folder)

@@ -62,6 +62,19 @@ SELECT order_id, '+U', true, name, total FROM sums WHERE n > 1 AND total <> old_
 """
 
 
+# The log with event ids 600 ms apart.
+DENSE_LOGS = (
+    "dense AS (SELECT event_id, user_id, TIMESTAMP '2024-01-01 00:00:00' "
+    "+ to_milliseconds(event_id * 600) AS ts FROM events),"
+    + LOGS.replace("FROM events", "FROM dense")
+)
+
+
+def dense(query: str) -> str:
+    """A query over the dense log."""
+    return query.replace(LOGS, DENSE_LOGS)
+
+
 def browser_counts(size: str, closed: str = "") -> str:
     return f"""WITH {LOGS}
 SELECT time_bucket(INTERVAL '{size}', log_time) + INTERVAL '{size}'

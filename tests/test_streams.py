@@ -369,6 +369,29 @@ def test_short_windows_mark_a_minute_only_when_it_is_over(spark, folder):
     assert sorted(r.requests for r in stored.collect()) == [1, 1, 1, 1, 2]
 
 
+def test_a_quiet_stream_marks_its_last_minute(spark, folder):
+    log_files(spark, f"{folder}/in", [[(1, "a"), (52, "a")], [(200, "b")]])
+    view = streams.timed_view(log_lines(spark, f"{folder}/in"))
+    streams.warehouse_files(view, folder, "5 seconds").awaitTermination()
+    base = f"{folder}/data/dt=2024-01-01/hour=00"
+    assert os.path.exists(f"{base}/minute=00/_SUCCESS")
+    with open(f"{folder}/data/_newest_complete") as newest:
+        assert newest.read() == "dt=2024-01-01/hour=00/minute=00"
+
+
+def test_a_start_looks_at_folders_after_the_newest_complete_one(spark, folder, monkeypatch):
+    from tidelog.streaming import files
+
+    for day, hour, minute in ((1, 0, 5), (1, 3, 7), (2, 0, 0), (2, 1, 9), (2, 2, 1)):
+        os.makedirs(f"{folder}/dt=2024-01-{day:02d}/hour={hour:02d}/minute={minute:02d}")
+    with open(f"{folder}/_newest_complete", "w") as newest:
+        newest.write("dt=2024-01-02/hour=01/minute=09")
+    asked = []
+    monkeypatch.setattr(files, "exists", lambda s, p: asked.append(p) or False)
+    sink = PartitionedJson(folder, lambda b: b)
+    assert sink._unmarked(spark) == {"dt=2024-01-02/hour=02/minute=01"} and len(asked) == 1
+
+
 def test_partition_names_follow_the_zone(spark, folder):
     sink = PartitionedJson(
         folder,

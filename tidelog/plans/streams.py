@@ -94,6 +94,7 @@ def warehouse_files(
         f"{root}/data",
         lambda batch: logs.warehouse_columns(batch, zone, keep_window=True),
         zone=zone,
+        checkpoint=f"{root}/checkpoint",
     )
     return start(
         logs.status_counts(view, size), f"{root}/checkpoint", each_batch=sink, interval=interval

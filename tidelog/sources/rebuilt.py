@@ -78,6 +78,13 @@ def server_logs(events: DataFrame) -> DataFrame:
     )
 
 
+def dense_logs(events: DataFrame) -> DataFrame:
+    """The same log with a hundred lines a minute: event ids are 600 ms apart."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    step = F.make_dt_interval(secs=(F.col("event_id") * 0.6).cast("decimal(18,6)"))
+    return server_logs(events.withColumn("ts", start + step))
+
+
 def debezium_rows(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One change per event: ``offset, before, after, op, ts_ms, source``."""
     tuning = {} if hot_rows is None else {"hot_rows": hot_rows}

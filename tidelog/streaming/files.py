@@ -22,6 +22,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jvm_path, True).close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None if there is no such file."""
+    fs, jvm_path = _open(spark, path)
+    if not fs.exists(jvm_path):
+        return None
+    stream = fs.open(jvm_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, jvm_path = _open(spark, path)
+    stream = fs.create(jvm_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match a glob pattern."""
     fs, jvm_path = _open(spark, pattern)

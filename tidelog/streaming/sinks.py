@@ -6,6 +6,7 @@ that is replayed after a failure replaces what its first attempt wrote.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -66,6 +67,10 @@ def message_id(headers: str = "headers") -> Column:
     return F.get(named, F.lit(0))["value"].cast("string")
 
 
+# Where the newest complete partition is remembered; Spark's readers skip such names.
+_NEWEST = "_newest_complete"
+
+
 def minute_partition(values: dict[str, str], zone: str) -> datetime:
     """Start of a ``dt, hour, minute`` partition, whose names are local to ``zone``."""
     text = f"{values['dt']} {values['hour']}:{values['minute']}"
@@ -81,9 +86,14 @@ class PartitionedJson:
     keeps ``window``. A batch owns the subfolders ``batch=<id>`` and overwrites
     them when replayed; the marker goes out last.
 
-    A partition is complete once a window that ends at or after its own end has
-    closed (plus ``delay``). ``writers`` tasks share a partition of one batch, so
-    a minute with most of the rows isn't one task's work.
+    A partition is complete once the watermark has passed its end (plus ``delay``),
+    also when no more rows come. The watermark of a batch is in the query's
+    ``checkpoint``; without one, the latest window that closed stands for it.
+    ``writers`` tasks at most share a partition of one batch, so a minute with most of
+    the rows isn't one task's work.
+
+    Names of partitions sort in time order. The newest complete one is remembered
+    next to the data, so that a start looks at later folders only.
     """
 
     path: str
@@ -94,6 +104,7 @@ class PartitionedJson:
     delay: timedelta = timedelta(0)
     zone: str = "UTC"
     writers: int = 4
+    checkpoint: str | None = None
     _pending: set[str] | None = field(default=None, repr=False)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -101,10 +112,9 @@ class PartitionedJson:
         batch.persist()
         try:
             rows = self.to_columns(batch)
-            if rows.isEmpty():
-                return
-            self._write(rows.drop("window"), batch_id)
-            self._mark(spark, rows)
+            if not rows.isEmpty():
+                self._write(rows.drop("window"), batch_id)
+            self._mark(spark, rows, batch_id)
         finally:
             batch.unpersist()
 
@@ -120,18 +130,34 @@ class PartitionedJson:
             .json(self.path)
         )
 
-    def _mark(self, spark: SparkSession, rows: DataFrame) -> None:
+    def _mark(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
         """Metadata only: one entry per partition of the batch, never per row."""
         if self._pending is None:
             self._pending = self._unmarked(spark)
-        closed = rows.agg(F.max(F.unix_millis(_instant("window.end")))).first()[0]
         for row in rows.select(*self.partition_by).distinct().toLocalIterator():
             self._pending.add("/".join(f"{p}={row[p]}" for p in self.partition_by))
-        until = datetime.fromtimestamp(closed / 1000, timezone.utc)
-        done = {f for f in self._pending if self._end(f) + self.delay <= until}
-        for folder in sorted(done):
+        until = self._watermark(spark, batch_id)
+        if until is None:
+            until = rows.agg(F.max(F.unix_millis(_instant("window.end")))).first()[0]
+        if until is None:
+            return
+        passed = datetime.fromtimestamp(until / 1000, timezone.utc)
+        done = sorted(f for f in self._pending if self._end(f) + self.delay <= passed)
+        for folder in done:
             files.touch(spark, f"{self.path}/{folder}/{files.MARKER}")
-        self._pending -= done
+        if done:
+            files.write_text(spark, f"{self.path}/{_NEWEST}", done[-1])
+        self._pending -= set(done)
+
+    def _watermark(self, spark: SparkSession, batch_id: int) -> int | None:
+        """Milliseconds of the watermark by which the batch closed its windows."""
+        if self.checkpoint is None:
+            return None
+        planned = files.read_text(spark, f"{self.checkpoint}/offsets/{batch_id}") or ""
+        for line in planned.splitlines():
+            if '"batchWatermarkMs"' in line:
+                return json.loads(line)["batchWatermarkMs"]
+        return None
 
     def _end(self, folder: str) -> datetime:
         values = dict(part.split("=", 1) for part in folder.split("/"))
@@ -139,14 +165,28 @@ class PartitionedJson:
 
     def _unmarked(self, spark: SparkSession) -> set[str]:
         """After a start: partitions of earlier batches that aren't complete."""
-        depth = len(self.partition_by)
-        pattern = "/".join([self.path, *[f"{p}=*" for p in self.partition_by]])
+        newest = (files.read_text(spark, f"{self.path}/{_NEWEST}") or "").split("/")
+        found = [("", True)]  # folders, and whether the newest complete one lies in them
+        for level, name in enumerate(self.partition_by):
+            mark = newest[level] if level < len(newest) else ""
+            below = [
+                (f"{folder}/{child}".lstrip("/"), edge and child == mark)
+                for folder, edge in found
+                for child in self._children(spark, folder, name)
+                if not edge or child >= mark
+            ]
+            found = below
         return {
-            "/".join(folder.split("/")[-depth:])
-            for folder in files.folders(spark, pattern)
-            if not files.exists(spark, f"{folder}/{files.MARKER}")
+            folder
+            for folder, complete in found
+            if not complete and not files.exists(spark, f"{self.path}/{folder}/{files.MARKER}")
         }
 
+    def _children(self, spark: SparkSession, folder: str, name: str) -> list[str]:
+        place = f"{self.path}/{folder}" if folder else self.path
+        found = files.folders(spark, f"{place}/{name}=*")
+        return [path.rsplit("/", 1)[1] for path in found]
+
 
 @dataclass
 class OrderedBatches:
