@@ -10,6 +10,7 @@ from tidelog.llm import (
     languages,
     mixture,
     near_dedup,
+    oracles,
     ppm,
     private_data,
     quality,
@@ -77,4 +78,8 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": oracles.decontamination(),
+    "op5_near_dedup": oracles.near_duplicates(),
+    "op6_rule_ledger": oracles.rule_ledger(rules.CURRENT),
+}
