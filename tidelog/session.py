@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -36,12 +37,13 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the shared ``spark.checkpoint.dir``.
 
-    Only a local master may do without the setting: its machine's temporary
-    folder is then visible to every task.
+    Only a master of one process may do without the setting: its machine's temporary
+    folder is then visible to every task. The folders are for the storage's retention
+    rules to remove; a job that is done leaves them.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = _local_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

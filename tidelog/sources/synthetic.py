@@ -29,6 +29,20 @@ def draw(row_id: Column, column: str, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
 
 
+#: Hex digits of a row's digest for each random log column: 64 in all.
+LOG_DIGITS = {
+    "client_ip": 8, "browser": 7, "version": 7, "log_time": 7, "method": 7, "path": 7,
+    "protocol": 7, "status_code": 7, "size": 7,
+}
+
+
+def cut_digest(digest: Column, column: str) -> Column:
+    """A log column's share of the bits of a row's digest."""
+    names = list(LOG_DIGITS)
+    start = 1 + sum(LOG_DIGITS[n] for n in names[: names.index(column)])
+    return F.conv(F.substring(digest, start, LOG_DIGITS[column]), 16, 10).cast("bigint")
+
+
 def random_rows(
     ids: DataFrame,
     schema: str | T.StructType,
@@ -72,12 +86,18 @@ def random_logs(
     max_age_ms: int = 15000,
     seed: int = 0,
 ) -> DataFrame:
-    """Server logs up to ``max_age_ms`` old, never younger than five seconds."""
-    key = F.col(row_id)
+    """Server logs up to ``max_age_ms`` old, never younger than five seconds.
+
+    One digest a row gives the bits of all its columns.
+    """
     now = F.current_timestamp() if now is None else now
+    wall_clock = _is_wall_clock(ids, now)
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")), 256)
+    ids = ids.select(now.alias("now"), digest.alias("digest"))
+    now = F.col("now")
 
     def bits(column: str) -> Column:
-        return draw(key, column, seed)
+        return cut_digest(F.col("digest"), column)
 
     low, high = SIZE_RANGE
     age = MIN_AGE_MS + bits("log_time") % (max_age_ms - MIN_AGE_MS)
@@ -92,7 +112,7 @@ def random_logs(
             F.lit(".0"),
         ).alias("user_agent"),
         F.timestamp_add("MILLISECOND", -age, F.date_trunc("millisecond", now))
-        .cast("timestamp_ntz" if _is_wall_clock(ids, now) else "timestamp")
+        .cast("timestamp_ntz" if wall_clock else "timestamp")
         .alias("log_time"),
         F.concat_ws(
             " ",
