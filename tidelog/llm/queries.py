@@ -17,9 +17,11 @@ from tidelog.llm import (
     rules,
     toxicity,
 )
+from tidelog.llm.texts import reach_workers
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

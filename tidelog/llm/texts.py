@@ -7,12 +7,14 @@ known by 64-bit hashes of all their bytes.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE_BYTES = 1 << 22
@@ -110,6 +112,18 @@ def runs(hashes: np.ndarray, words: int) -> np.ndarray:
     return mix(total)
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    A cluster whose machines don't share that path gets the package with
+    ``--py-files``, as any other.
+    """
+    place = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if place not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [place, known]))
+
+
 def map_pieces(
     df: DataFrame,
     text: str,
