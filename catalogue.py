@@ -24,6 +24,7 @@ from tidelog.operators.debezium import (
     split_schema_changes,
     to_debezium_json,
 )
+from tidelog.operators.ordered import running_by_key
 from tidelog.operators.windows import tumble, with_processing_time, word_counts
 from tidelog.plans import catalog, feeds, logs, revenue, streams
 from tidelog.session import scratch_dir
@@ -595,6 +596,22 @@ def _(spark, sf):
     ).orderBy("window_time", F.desc("cnt_browser"))
 
 
+@register(
+    "stream_browser_counts_places",
+    f"""SELECT row_number() OVER (ORDER BY window_time, cnt_browser DESC) AS position,
+      window_time, cnt_browser FROM ({sql.browser_counts(
+        "1 minute", sql.closed_windows("1 minute", "15 seconds"))}) t""",
+)
+def _(spark, sf):
+    """The order in which the sink wrote the windows, by what it wrote beside them."""
+    root = scratch_dir(spark, "places")
+    streams.ordered_browser_counts(_log_stream(spark, sf), root).awaitTermination()
+    rows = spark.read.parquet(f"{root}/data")
+    return running_by_key(rows, ["batch"], "place", ordinal="position").select(
+        "position", wall_clock("window_time").alias("window_time"), "cnt_browser"
+    )
+
+
 @register("stream_realtime_counts", sql.status_counts("10 seconds", _CLOSED_10S))
 def _(spark, sf):
     root = scratch_dir(spark, "realtime")
