@@ -22,7 +22,6 @@ from tidelog.operators.debezium import (
     decode,
     split_errors,
     split_schema_changes,
-    to_debezium_json,
 )
 from tidelog.operators.ordered import running_by_key
 from tidelog.operators.windows import tumble, with_processing_time, word_counts

@@ -72,11 +72,13 @@ def main() -> int:
     for name, query in queries().items():
         if args.names and name not in args.names:
             continue
-        begin = time.time()
+        begin, twins = time.time(), oracle_sql()
         try:
-            found = differences(spark, con, args.sf, query, oracle_sql()[name])
-        except KeyError:
-            found = [f"no SQL twin; {query(spark, args.sf).count()} rows"]
+            if name not in twins:
+                rows = query(spark, args.sf).count()
+                print(f"--- {name} {time.time() - begin:.1f}s no SQL twin; {rows} rows", flush=True)
+                continue
+            found = differences(spark, con, args.sf, query, twins[name])
         except Exception as e:  # report every query, not only the first failure
             found = [f"{type(e).__name__}: {str(e)[:600]}"]
         bad += bool(found)
