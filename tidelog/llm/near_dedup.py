@@ -243,10 +243,9 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table, stored(found, "roots")
 
 
-def _with_component(docs: DataFrame) -> DataFrame:
-    """The signed rows with ``__component``: a class's own digest if it has no links, null without words."""
-    table, roots = grouped(docs)
-    joined = table.drop("__bands").join(roots, "__class", "left")
+def _with_component(table: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows without their texts, and ``__component``: a class's own digest if it has no links, null without words."""
+    joined = table.select("doc_id", "__row", "__class", "__n").join(roots, "__class", "left")
     return joined.withColumn("__component", F.coalesce("__component", "__class"))
 
 
@@ -258,8 +257,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     isn't null. Repeated rows are copies of each other; rows with a component's id are
     all kept, and so are rows of a component without any id.
     """
-    rows = _with_component(docs.select("doc_id", F.col("text").cast("string").alias("text")))
-    rows = rows.select("doc_id", "__n", "__component")
+    table, roots = grouped(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    rows = _with_component(table, roots).select("doc_id", "__n", "__component")
     least = rows.filter("__component is not null").groupBy("__component").agg(F.min("doc_id").alias("least"))
     named = rows.join(stored(least, "least"), "__component", "left")
     component = F.when(F.col("__component").isNull(), F.col("doc_id")).otherwise(F.col("least"))
@@ -274,8 +273,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Of repeated rows one stays. Texts without words belong to no group and stay.
     """
-    rows = _with_component(docs)
+    table, roots = grouped(docs)
+    rows = _with_component(table, roots)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
     least = rows.filter("__component is not null").groupBy("__component").agg(F.min_by("__row", order).alias("__row"))
     chosen = least.select("__row").unionByName(rows.filter("__component is null").select("__row"))
-    return rows.join(stored(chosen, "chosen"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Texts shuffle once and aren't sorted: a task's row numbers are the hash table.
+    kept = table.join(stored(chosen, "chosen").hint("shuffle_hash"), "__row", "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
