@@ -2,8 +2,8 @@
 
 A document is the set of its five-word shingles. Under each of ``PERMUTATIONS`` hash
 functions the least and the greatest value are kept, so that a signature has twice as
-many values as hash functions were evaluated. Bands of ``BAND`` values propose pairs;
-every link is confirmed on the full sets.
+many values as hash functions were evaluated. Bands of values propose pairs, narrower ones
+for a lower threshold; every link is confirmed on the full sets.
 
 Documents of equal sets are one class before anything is compared. The hub of a bucket
 is the class that shares most buckets with others; each class is compared with the
@@ -12,7 +12,7 @@ hub are then still of different components, all pairs of different components ar
 compared, in blocks of bounded size and by these differences, from which the size of
 any intersection follows exactly. So a group of copies costs a comparison for each,
 and a link between classes that meet in any band is never lost. A pair at the
-threshold meets in no band with probability 4e-7.
+threshold meets in no band with probability ``MISSED`` at most.
 """
 
 from __future__ import annotations
@@ -32,8 +32,7 @@ from tidelog.llm.texts import Words, mix, pieces, runs, text_buffer
 SHINGLE = 5
 PERCENT = 85
 PERMUTATIONS = 63
-BAND = 5
-BANDS = 2 * PERMUTATIONS // BAND
+MISSED = 5e-7
 BLOCK = 256
 
 _random = np.random.default_rng(8712)
@@ -66,17 +65,26 @@ def signature(members: np.ndarray) -> np.ndarray:
     return np.concatenate([low, high])
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_width(percent: int) -> int:
+    """The most values a band can have so that a pair at the threshold is missed with ``MISSED`` at most."""
+    for width in range(PERMUTATIONS, 0, -1):
+        if (1 - (percent / 100) ** width) ** (2 * PERMUTATIONS // width) <= MISSED:
+            return width
+    raise ValueError(f"{PERMUTATIONS} functions are too few for a threshold of {percent} per cent")
+
+
+def band_keys(signatures: np.ndarray, width: int) -> np.ndarray:
     """One key for each band of each signature (rows). A permutation's two values are in different bands."""
-    cut = signatures[:, : BANDS * BAND].reshape(len(signatures), BANDS, BAND)
-    weights = mix(np.arange(1, BAND + 1, dtype=np.uint64))
-    number = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+    bands = 2 * PERMUTATIONS // width
+    cut = signatures[:, : bands * width].reshape(len(signatures), bands, width)
+    weights = mix(np.arange(1, width + 1, dtype=np.uint64))
+    number = mix(np.arange(1, bands + 1, dtype=np.uint64))
     return mix((mix(cut) * weights).sum(2, dtype=np.uint64) + number).view(np.int64)
 
 
-def linked(shared: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Whether sets of these sizes are similar: intersection at least ``PERCENT`` per cent of the union."""
-    return (shared > 0) & (100 * shared >= PERCENT * (one + other - shared))
+def linked(shared: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes are similar: intersection at least ``percent`` per cent of the union."""
+    return (shared > 0) & (100 * shared >= percent * (one + other - shared))
 
 
 SIGNED = T.StructType(
@@ -88,8 +96,8 @@ SIGNED = T.StructType(
 )
 
 
-def signed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the class (a digest of the set), its size and band keys; no words, no class."""
+def signed(docs: DataFrame, width: int) -> DataFrame:
+    """``docs`` with the class (a digest of the set), its size and keys of bands of ``width``; no words, no class."""
     names = docs.columns
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +108,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 sets = list(shingle_sets(data[cut[0] : cut[-1]], cut - cut[0]))
                 full = [i for i, s in enumerate(sets) if len(s)]
                 marks = np.stack([signature(sets[i]) for i in full]) if full else np.zeros((0, 2 * PERMUTATIONS), np.uint64)
-                keys = band_keys(marks)
+                keys = band_keys(marks, width)
                 columns = [[None] * len(sets) for _ in range(2)]
                 for at, i in enumerate(full):
                     columns[0][i] = blake2b(sets[i].tobytes(), digest_size=16).digest()
@@ -116,7 +124,7 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(sign, T.StructType(docs.schema.fields + SIGNED.fields))
 
 
-def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _differences(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """For pairs (class, hub): sizes, what the hub has more, all that only one has, and whether they are linked."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +137,8 @@ def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 own = next(shingle_sets(*text_buffer(batch.column("text").slice(i, 1))))
                 apart = np.setxor1d(own, hub_set, assume_unique=True)
                 lacks = (len(apart) - len(own) + len(hub_set)) // 2
-                values = len(own), len(hub_set), lacks, apart.tobytes(), bool(linked(len(hub_set) - lacks, len(own), len(hub_set)))
+                link = bool(linked(len(hub_set) - lacks, len(own), len(hub_set), percent))
+                values = len(own), len(hub_set), lacks, apart.tobytes(), link
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
             kinds = pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()
@@ -165,14 +174,14 @@ def _shared(apart: list[np.ndarray]) -> np.ndarray:
     return shared.astype(np.int64)
 
 
-def _block_links(rows: list[dict], within: bool) -> list[tuple[bytes, bytes]]:
+def _block_links(rows: list[dict], within: bool, percent: int) -> list[tuple[bytes, bytes]]:
     """Pairs of components of a block that links between their classes connect, as stars."""
     roots, of = np.unique([r["root"].hex() for r in rows], return_inverse=True)
     block, n, lacks = (np.array([r[k] for r in rows]) for k in ("block", "n", "lacks"))
     # Both sets lie around the hub: |A & B| = |hub| - |hub - A| - |hub - B| + |(A ^ hub) & (B ^ hub)|.
     shared = _shared([np.frombuffer(r["apart"], np.uint64) for r in rows])
     shared += rows[0]["hub_n"] - lacks[:, None] - lacks[None, :]
-    link = linked(shared, n[:, None], n[None, :]) & (of[:, None] != of[None, :])
+    link = linked(shared, n[:, None], n[None, :], percent) & (of[:, None] != of[None, :])
     if not within:
         link &= block[:, None] != block[None, :]
     joined = {tuple(sorted(p)) for p in zip(of[np.nonzero(link)[0]].tolist(), of[np.nonzero(link)[1]].tolist())}
@@ -192,14 +201,14 @@ def _block_links(rows: list[dict], within: bool) -> list[tuple[bytes, bytes]]:
     return found
 
 
-def _rest(around: DataFrame, roots: DataFrame) -> DataFrame:
+def _rest(around: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of components (a, b) that links between classes around the same hub connect."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows = batch.column("rows")[i].as_py()
-                found = _block_links(rows, batch.column("within")[i].as_py()) if len(rows) > 1 else []
+                found = _block_links(rows, batch.column("within")[i].as_py(), percent) if len(rows) > 1 else []
                 sides = list(zip(*found, strict=True)) or [(), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(s, pa.binary()) for s in sides], ["a", "b"])
 
@@ -220,9 +229,9 @@ def _rest(around: DataFrame, roots: DataFrame) -> DataFrame:
     return blocks.mapInArrow(compare, "a binary, b binary").distinct()
 
 
-def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The signed rows, each with a number, and (class, component) of every class linked to another."""
-    table = stored(signed(docs).withColumn("__row", F.monotonically_increasing_id()), "signed")
+    table = stored(signed(docs, band_width(percent)).withColumn("__row", F.monotonically_increasing_id()), "signed")
     first = F.min_by(F.struct("__row", "__bands"), F.col("__row"))
     classes = table.filter("__class is not null").groupBy("__class").agg(first.alias("one")).select("__class", "one.*")
     classes = stored(classes, "classes")
@@ -234,9 +243,9 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = multi.join(hubs, "key").select(F.col("__class").alias("class"), "hub").distinct()
     rows = classes.join(met.select("__class"), "__class").select("__row", "__class")
     texts = stored(table.select("__row", "text").join(rows, "__row").select("__class", "text"), "texts")
-    around = stored(_differences(pairs, texts), "around")
+    around = stored(_differences(pairs, texts, percent), "around")
     roots = components(around.filter("linked"), "class", "hub")
-    rest = components(_rest(around, roots), "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    rest = components(_rest(around, roots, percent), "a", "b").select(F.col("node").alias("root"), F.col("root").alias("top"))
     nodes = around.select(F.col("class").alias("node")).distinct().join(roots, "node", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "node")).join(rest, "root", "left")
     found = nodes.select(F.col("node").alias("__class"), F.coalesce("top", "root").alias("__component"))
@@ -249,15 +258,16 @@ def _with_component(table: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.withColumn("__component", F.coalesce("__component", "__class"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
+    Documents are linked from a similarity of ``percent`` per cent up.
     A text without words has an empty set and is linked with nothing: its component is
     its own ``doc_id`` and it is kept. A component's id is its smallest ``doc_id`` that
     isn't null. Repeated rows are copies of each other; rows with a component's id are
     all kept, and so are rows of a component without any id.
     """
-    table, roots = grouped(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    table, roots = grouped(docs.select("doc_id", F.col("text").cast("string").alias("text")), percent)
     rows = _with_component(table, roots).select("doc_id", "__n", "__component")
     least = rows.filter("__component is not null").groupBy("__component").agg(F.min("doc_id").alias("least"))
     named = rows.join(stored(least, "least"), "__component", "left")
@@ -268,12 +278,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with exactly one row of each group: the least ``doc_id``, nulls last.
 
-    Of repeated rows one stays. Texts without words belong to no group and stay.
+    Documents are linked from a similarity of ``percent`` per cent up. Of repeated rows one stays. Texts without words belong to no group and stay.
     """
-    table, roots = grouped(docs)
+    table, roots = grouped(docs, percent)
     rows = _with_component(table, roots)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
     least = rows.filter("__component is not null").groupBy("__component").agg(F.min_by("__row", order).alias("__row"))
