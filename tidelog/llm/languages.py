@@ -146,11 +146,15 @@ def fit(learned: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     return Hierarchy(rows[order].astype(np.float32), langs[order])
 
 
+def _lettered(text: str) -> F.Column:
+    return F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
+
+
 def predicted(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> DataFrame:
     """``docs`` with ``__lang`` and ``__score``; ``und`` and 0 without a letter, or without a model."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH weights for each pair of languages
     names = docs.columns
-    lettered = docs.withColumn("__letter", F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)))
+    lettered = docs.withColumn("__letter", _lettered(text))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,6 +203,10 @@ def identify(docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
-    """``docs`` without those whose language can't be told; all columns as they are."""
-    found = predicted(docs, _fitted(docs, folds, fold))
-    return found.filter(F.col("__lang") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without those whose text is null or has no letter; all columns as they are.
+
+    A document with letters stays whatever is predicted: also if nothing could be learned,
+    and if ``und`` is a value of ``lang``.
+    """
+    found = predicted(docs.withColumn("__known", _lettered("text")), _fitted(docs, folds, fold))
+    return found.filter("__known").select(*[F.col(f"`{c}`") for c in docs.columns])
