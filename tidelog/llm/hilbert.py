@@ -8,11 +8,12 @@ any of them skips most shards.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,7 @@ from tidelog.llm.ranks import ranked
 
 BITS = 5
 SHARDS = 40
-_BYTES = 6
+BLOCKS = 1000
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -51,29 +52,60 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _ordered_codes(df: DataFrame, dims: Sequence[str]) -> dict[str, Column]:
-    """A number for each value that keeps the order; of a text, its bytes after the common prefix."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    texts = [d for d in dims if isinstance(kinds[d], T.StringType)]
-    codes = {d: F.coalesce(F.col(f"`{d}`").cast("double"), F.lit(-1e300)) for d in dims if d not in texts}
-    if texts:
-        ends = df.agg(*[f(F.col(f"`{d}`")).alias(f"{n}{i}") for i, d in enumerate(texts) for n, f in (("low", F.min), ("high", F.max))]).first()
-        for i, d in enumerate(texts):
-            low, high = ((ends[f"{n}{i}"] or "").encode() for n in ("low", "high"))
-            shared = next((k for k, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-            tail = F.substring(F.encode(F.col(f"`{d}`"), "utf-8"), shared + 1, _BYTES)
-            number = F.conv(F.rpad(F.hex(tail), 2 * _BYTES, "0"), 16, 10).cast("double")
-            codes[d] = F.coalesce(number, F.lit(-1.0))
-    return codes
+def _text_cuts(df: DataFrame, dims: Sequence[str], parts: int) -> list[list[str | None]]:
+    """For each dimension the values at which 1, 2, ... of ``parts`` equal shares of the rows end, nulls first.
+
+    Values are compared whole. They are counted and ranked; the row counts of ``BLOCKS``
+    runs of values and at most ``parts`` values of each dimension come to the driver.
+    """
+    fields = F.array(*[F.struct(F.lit(i).alias("dim"), F.col(f"`{d}`").alias("value")) for i, d in enumerate(dims)])
+    values = df.select(F.explode(fields).alias("of")).groupBy("of.dim", "of.value").agg(F.count("*").alias("n"))
+    placed, count = ranked(values, F.col("dim"), F.col("value").asc_nulls_first())
+    placed = placed.withColumn("run", F.expr(f"rank div {count // BLOCKS + 1}"))
+    starts, totals = [], [0] * len(dims)
+    for dim, run, n in sorted(tuple(r) for r in placed.groupBy("dim", "run").agg(F.sum("n")).collect()):
+        starts.append((dim, run, totals[dim]))
+        totals[dim] += n
+    if not starts:
+        return [[] for _ in dims]
+    starts = df.sparkSession.createDataFrame(
+        [(*s, totals[s[0]]) for s in starts], "dim int, run bigint, start bigint, total bigint"
+    )
+    so_far = F.sum("n").over(Window.partitionBy("dim", "run").orderBy("rank"))
+    placed = placed.withColumn("through", so_far).join(F.broadcast(starts), ["dim", "run"])  # a row for each run
+    first = F.expr(f"(start + through - n) * {parts} div total")
+    last = F.expr(f"(start + through) * {parts} div total")
+    cuts: list[list[str | None]] = [[] for _ in dims]
+    ends = placed.select("dim", "rank", "value", first.alias("first"), last.alias("last")).filter("last > first")
+    for dim, _, value, before, after in sorted(ends.collect(), key=lambda e: e.rank):
+        cuts[dim] += [value] * (min(after, parts - 1) - before)
+    return cuts
+
+
+def _text_cell(value: Column, cuts: Sequence[str | None]) -> Column:
+    """How many of the cuts aren't above the value; a null is the lowest value."""
+    cell = F.lit(sum(c is None for c in cuts))
+    for cut, times in Counter(c for c in cuts if c is not None).items():
+        cell += F.when(value >= cut, times).otherwise(0)
+    return cell.cast("double")
 
 
 def with_index(docs: DataFrame, dims: Sequence[str], bits: int = BITS, name: str = "hilbert") -> DataFrame:
     """``docs`` with its place on the curve through ``dims``; a null is the lowest value."""
-    codes = _ordered_codes(docs, dims)
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = docs.agg(*[F.percentile_approx(codes[d], shares, 10_000).alias(f"c{i}") for i, d in enumerate(dims)]).first()
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    texts = [d for d in dims if isinstance(kinds[d], T.StringType)]
+    codes = {d: F.coalesce(F.col(f"`{d}`").cast("double"), F.lit(-1e300)) for d in dims if d not in texts}
     # Equal cuts stay: a frequent value then lies as far along its dimension as its share says.
-    cuts = [np.sort(np.array(found[f"c{i}"] or [], float)) for i in range(len(dims))]
+    cuts = {}
+    if codes:
+        shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+        found = docs.agg(*[F.percentile_approx(code, shares, 10_000) for code in codes.values()]).first()
+        cuts = {d: np.sort(np.array(c or [], float)) for d, c in zip(codes, found, strict=True)}
+    if texts:
+        for d, values in zip(texts, _text_cuts(docs, texts, 1 << bits), strict=True):
+            codes[d] = _text_cell(F.col(f"`{d}`"), values)
+            cuts[d] = np.arange(1.0, 1 << bits)
+    cuts = [cuts[d] for d in dims]
 
     @F.pandas_udf("bigint")
     def index(values: pd.DataFrame) -> pd.Series:
