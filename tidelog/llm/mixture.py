@@ -53,7 +53,9 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
     """How many documents of each length to take so that their words come to the budget.
 
     Comes nearest from below among the sums that the knapsack reaches; work and memory
-    are bounded by ``KNAPSACK`` and the number of lengths, whatever the budget.
+    are bounded by ``KNAPSACK`` and the number of lengths, whatever the budget. If no
+    more than one document of each length is short enough to bring what is left below
+    ``KNAPSACK``, the longest that fits is taken.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     whole = int(lengths @ counts)
@@ -74,30 +76,84 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
             more = min(int(counts[i] - taken[i]), (left - KNAPSACK // 2) // int(lengths[i]))
             taken[i] += max(more, 0)
             left -= int(lengths[i]) * max(more, 0)
-    if left <= 0 or left > KNAPSACK:
-        return taken
-    # reached[s]: the item with which the sum s was first reached; 0 for none.
-    reached = np.zeros(left + 1, np.int64)
-    reached[0] = -1
+    return taken + _nearest_sum(lengths, counts - taken, left, left, order)
+
+
+def _nearest_sum(lengths: np.ndarray, free: np.ndarray, goal: int, most: int, order: np.ndarray) -> np.ndarray:
+    """Of sums up to ``most`` the one nearest to ``goal``, the lower of two: how many of each length it takes.
+
+    Sums are kept in cells of a unit such that there are ``KNAPSACK`` at most, one
+    exact sum in each. With a unit of 1 (``most`` up to ``KNAPSACK``) no sum is
+    missed; with a larger one a missed sum has another within its cell for each
+    item that was added, so what is found may lie a few units further off.
+    """
+    picked = np.zeros(len(lengths), np.int64)
+    if goal <= 0 or not free.any():
+        return picked
+    unit = most // (KNAPSACK + 1) + 1
+    # Of each cell the sum it keeps and the item with which that was first reached; -1 for none.
+    sums, by = np.full(most // unit + 1, -1, np.int64), np.zeros(most // unit + 1, np.int64)
+    sums[0] = 0
     items: list[tuple[int, int]] = [(0, 0)]
+    step = int(np.gcd.reduce(lengths[free > 0]))
+    least = min(goal % step, step - goal % step if goal - goal % step + step <= most else goal)
+    best = 0
     for i in order:
-        free, batch = int(counts[i] - taken[i]), 1
-        while free > 0 and not reached[left]:
-            batch = min(batch, free)
+        left, batch = int(free[i]), 1
+        while left > 0 and abs(best - goal) > least:
+            batch = min(batch, left)
             weight = batch * int(lengths[i])
-            if weight > left:
+            if weight > most:
                 break
             items.append((int(i), batch))
-            fresh = (reached[:-weight] != 0) & (reached[weight:] == 0)
-            reached[weight:][fresh] = len(items) - 1
-            free -= batch
+            found = sums[sums >= 0] + weight
+            found = found[found <= most]
+            found = found[sums[found // unit] < 0]
+            if len(found):
+                # Of new sums in one cell the one nearest to the goal is kept: it is written last.
+                found = found[np.lexsort((-found, -np.abs(found - goal)))]
+                by[found // unit] = len(items) - 1
+                sums[found // unit] = found
+                best = min(best, int(found[-1]), key=lambda s: (abs(s - goal), s))
+            left -= batch
             batch *= 2
-    at = int(np.flatnonzero(reached)[-1])
+    at = best
     while at:
-        i, batch = items[reached[at]]
-        taken[i] += batch
+        i, batch = items[by[at // unit]]
+        picked[i] += batch
         at -= batch * int(lengths[i])
-    return taken
+    return picked
+
+
+def fit_nearest(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
+    """As ``fit_budget``, but the nearest sum, above the budget too.
+
+    Where the sum from below leaves a gap, the best sum from above (that which leaves
+    out as many words as ``fit_budget`` fits into the rest) and sums near a proportional
+    share less one document of each length are weighed; the nearest wins, the first of
+    equals. While the words of those documents and the longest document come to at most
+    ``KNAPSACK``, no nearer sum holds that share; beyond, see ``_nearest_sum``. A
+    source of few documents may have no sum near its budget at all.
+    """
+    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
+    best, whole, step = fit_budget(lengths, counts, budget, seed), int(lengths @ counts), int(np.gcd.reduce(lengths))
+    least = min(budget % step, step - budget % step)
+
+    def gap(taken: np.ndarray) -> int:
+        return abs(int(lengths @ taken) - budget)
+
+    if budget >= whole or budget <= 0 or gap(best) <= least:
+        return best
+    above = counts - fit_budget(lengths, counts, whole - budget, seed)
+    best = above if gap(above) < gap(best) else best
+    order = np.random.default_rng(seed).permutation(len(lengths))
+    share = np.array([int(c) * budget // whole for c in counts], np.int64)
+    for start in (share, np.maximum(share - 1, 0)):
+        if gap(best) > least:
+            goal = budget - int(lengths @ start)
+            other = start + _nearest_sum(lengths, counts - start, goal, goal + gap(best), order)
+            best = other if gap(other) < gap(best) else best
+    return best
 
 
 def _plan(lengths: DataFrame, aims: DataFrame, seed: int) -> DataFrame:
@@ -112,7 +168,7 @@ def _plan(lengths: DataFrame, aims: DataFrame, seed: int) -> DataFrame:
         if passes < MOST_REPEATS and some.any():
             order = np.argsort(rows["size"].to_numpy()[some], kind="stable")
             of = np.flatnonzero(some)[order]
-            more[of] = fit_budget(
+            more[of] = fit_nearest(
                 rows["size"].to_numpy()[of], rows["documents"].to_numpy()[of], budget - passes * size, seed
             )
         return rows.assign(passes=passes, more=more)
