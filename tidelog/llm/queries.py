@@ -15,6 +15,7 @@ from tidelog.llm import (
     private_data,
     quality,
     rules,
+    token_counts,
     toxicity,
 )
 from tidelog.llm.texts import reach_workers
@@ -67,6 +68,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ppm_scores": op2_ppm_scores,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_private_data": op9_private_data,
     "op10_quality_rules": op10_quality_rules,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLES: dict[str, str] = {
