@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import (
+    align,
     decontaminate,
     hilbert,
     languages,
@@ -68,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link_figures(read(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(read(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_private_data": op9_private_data,
     "op10_quality_rules": op10_quality_rules,
+    "op11_alignment": op11_alignment,
     "op12_token_counts": op12_token_counts,
 }
 
