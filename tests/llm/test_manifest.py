@@ -1,0 +1,115 @@
+"""Trees and proofs against a plain version; addresses; rounds over block roots."""
+
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+from tidelog.llm import manifest
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars int, leaf string, `key` int"
+
+
+def sha(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def plain_leaf(row, text):
+    values = [row[0], row[3], row[2], row[4], text]
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def plain_tree(leaves):
+    """Levels from the leaves to the root."""
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([sha("".join(below[i : i + 8])) for i in range(0, len(below), 8)])
+    return levels
+
+
+def steps(levels, i):
+    found = []
+    for level in levels[:-1]:
+        first = i // 8 * 8
+        found.append(("".join(level[first:i]), "".join(level[i + 1 : first + 8])))
+        i //= 8
+    return found
+
+
+def plain(rows):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    groups = {}
+    for row in rows:
+        now = plain_leaf(row, row[1])
+        if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[1] is not None:
+            now = plain_leaf(row, row[1].translate(low))
+        groups.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, plain_leaf(row, row[1]), now, row[0]))
+    order = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = [plain_tree([r[2] for r in sorted(groups[g])]) for g in order]
+    top = plain_tree([t[-1][0] for t in trees])
+    for number, (group, tree) in enumerate(zip(order, trees, strict=True)):
+        for i, (*_, leaf, now, doc_id) in enumerate(sorted(groups[group], key=lambda r: r[:3])):
+            path = steps(tree, i) + steps(top, number)
+            held = now
+            for before, behind in path:
+                held = sha(before + held + behind)
+            yield doc_id, leaf, tree[-1][0], top[-1][0], sha("".join(a + b for a, b in path)), held, held == top[-1][0]
+
+
+def made(count, langs):
+    texts = [None, "", "Some Text", "all lower", "ÄÖ Üß 漢"]
+    return [
+        (None if i % 50 == 49 else i // 2 * 7, texts[i % 5], langs[i * i % len(langs)], [None, "s:1", ""][i % 3], [None, i][i % 2], "x", i)
+        for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3, 4, 5, 6])
+def test_addresses_fill_the_tree(levels):
+    places = [manifest.address(levels, d, np.arange(8**d)) for d in range(levels)]
+    assert sorted(np.concatenate(places).tolist()) == list(range(manifest.nodes_in(levels)))
+
+
+def test_subtrees_lie_together():
+    """Split at half height, the upper part and every lower part are one stretch each."""
+    levels, upper = 5, 2
+    top = np.concatenate([manifest.address(levels, d, np.arange(8**d)) for d in range(upper)])
+    assert sorted(top.tolist()) == list(range(9))
+    size = manifest.nodes_in(3)
+    for part in (0, 1, 63):
+        own = np.concatenate([manifest.address(levels, 2 + d, part * 8**d + np.arange(8**d)) for d in range(3)])
+        assert sorted(own.tolist()) == list(range(9 + part * size, 9 + part * size + size))
+
+
+@pytest.mark.parametrize("count", [1, 2, 7, 8, 9, 64, 65, 513, 4096])
+def test_block(count):
+    leaves = [sha(str(i)) for i in range(count)]
+    block = manifest.Block.build(count, np.array(leaves, "S64"))
+    tree = plain_tree(leaves)
+    assert block.root.decode() == tree[-1][0] and block.levels == len(tree)
+    again = manifest.Block(count, count, np.frombuffer(block.nodes.tobytes(), "S64"))
+    for level in range(len(tree) - 1):
+        found = [(a.decode(), b.decode()) for a, b in again.siblings(level)]
+        assert found == [steps(tree, i * 8**level)[level] for i in range(len(tree[level]))]
+
+
+@pytest.mark.parametrize(("count", "langs"), [(1, ["en"]), (9, [None, "en", "de", "", "é"]), (700, [None, "en", "z"]), (300, ["en"])])
+def test_plain_version(spark, count, langs):
+    rows = made(count, langs)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert sorted(map(tuple, manifest.audit(df).collect()), key=str) == sorted(plain(rows), key=str)
+
+
+def test_rounds_over_block_roots(spark):
+    """Small blocks need several rounds, for groups and for the tree over them."""
+    rows = made(620, ["big"] * 7 + [f"l{i}" for i in range(70)])
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert sorted(map(tuple, manifest.audit(df, most=1).collect()), key=str) == sorted(plain(rows), key=str)
+
+
+def test_empty_table(spark):
+    got = manifest.audit(spark.createDataFrame([], SCHEMA))
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    assert got.collect() == []

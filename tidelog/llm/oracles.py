@@ -5,6 +5,7 @@ from __future__ import annotations
 from string import ascii_lowercase, ascii_uppercase
 
 from tidelog.llm.decontaminate import WINDOW
+from tidelog.llm.manifest import FAN, FIELDS
 from tidelog.llm.near_dedup import PERCENT, SHINGLE
 from tidelog.llm.rules import REPEAT_WINDOW, RULES, mask
 
@@ -86,3 +87,52 @@ def near_duplicates() -> str:
     SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id,
       d.doc_id <= coalesce(other, d.doc_id) AS kept
     FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN least ON d.doc_id = one"""
+
+
+def _crc(text: str) -> str:
+    """crc32 of ASCII text: a byte is joined, then eight bits are shifted out."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: list_prepend(CAST(ord(c) AS BIGINT), [-1, -1, -1, -1, -1, -1, -1, -1])))"
+    shifted = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE {shifted} END), 4294967295)"
+
+
+def _tree(name: str, key: str, levels: int) -> str:
+    """Levels 1 and up over ``{name}0`` (key, i, total, h), and the siblings at each level."""
+    run = f"OVER (PARTITION BY {key}, i // {FAN} ORDER BY i ROWS BETWEEN"
+    parts = []
+    for k in range(levels):
+        parts += [
+            f"""{name}s{k} AS (SELECT {key}, i, total, coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+      coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind FROM {name}{k})""",
+            f"""{name}{k + 1} AS (SELECT {key}, i // {FAN} AS i, (any_value(total) + {FAN - 1}) // {FAN} AS total,
+      CASE WHEN any_value(total) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY {key}, i // {FAN})""",
+        ]
+    return ",\n    ".join(parts)
+
+
+def manifest(levels: int = 8, top_levels: int = 4) -> str:
+    """Right for up to 8^``levels`` rows of a language and 8^``top_levels`` languages."""
+    field = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+    low = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+    leaf = " || ".join(field(name) for name in FIELDS)
+    changed = " || ".join(field(low if name == "text" else name) for name in FIELDS)
+    folds = []
+    for n in range(levels + top_levels):
+        tree, k, place, on = ("n", n, "pos", "f.lang IS NOT DISTINCT FROM s.lang AND ") if n < levels else ("t", n - levels, "grp", "")
+        folds.append(
+            f"""f{n + 1} AS (SELECT f.* EXCLUDE (h, proof), CASE WHEN s.total = 1 THEN h ELSE sha256(before || h || behind) END AS h,
+      proof || before || behind AS proof FROM f{n} f JOIN {tree}s{k} s ON {on}s.i = f.{place} // {FAN**k})"""
+        )
+    return f"""WITH leaves AS (SELECT doc_id, lang, sha256({leaf}) AS leaf,
+      CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN sha256({changed}) END AS now FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+      count(*) OVER (PARTITION BY lang) AS total, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp FROM leaves),
+    n0 AS (SELECT lang, pos AS i, total, leaf AS h FROM placed),
+    {_tree("n", "lang", levels)},
+    t0 AS (SELECT 0 AS one, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS total, h FROM n{levels}),
+    {_tree("t", "one", top_levels)},
+    f0 AS (SELECT p.doc_id, p.lang, p.pos, p.grp, p.leaf, t0.h AS subroot, coalesce(p.now, p.leaf) AS h, '' AS proof
+      FROM placed p JOIN t0 ON t0.i = p.grp),
+    {", ".join(folds)}
+    SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+    FROM f{levels + top_levels} f, t{top_levels} t"""

@@ -9,6 +9,7 @@ from tidelog.llm import (
     decontaminate,
     hilbert,
     languages,
+    manifest,
     mixture,
     near_dedup,
     oracles,
@@ -77,6 +78,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(read(spark, sf_dir, "documents"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ppm_scores": op2_ppm_scores,
@@ -90,10 +95,12 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_alignment": op11_alignment,
     "op12_token_counts": op12_token_counts,
+    "op13_manifest": op13_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": oracles.decontamination(),
     "op5_near_dedup": oracles.near_duplicates(),
     "op6_rule_ledger": oracles.rule_ledger(rules.CURRENT),
+    "op13_manifest": oracles.manifest(),
 }
