@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.lexicon import EMPTY, STRONG, Lexicon, contained, plain_hashes, plain_spelling
 from tidelog.llm.rules import MEASURES, measure
-from tidelog.llm.texts import NOT_ALPHANUMERIC, SPACES, Words, map_pieces, mix, text_buffer
+from tidelog.llm.texts import NOT_ALPHANUMERIC, Words, map_pieces, mix, text_buffer
 
 #: Fixed insults, in the languages of the texts.
 INSULTS = (
@@ -27,16 +28,6 @@ YOU = (
 )
 NEAR = 5
 
-# Look-alikes of letters; other punctuation inside a word goes, so that a spread or spelled-over word is whole again.
-_PLAIN = np.zeros(256, np.uint8)
-_PLAIN[0x80:] = np.arange(0x80, 256)
-for _c in "abcdefghijklmnopqrstuvwxyz":
-    _PLAIN[[ord(_c), ord(_c.upper())]] = ord(_c)
-for _c, _to in zip("013457@$!|+", "oieastasiit", strict=True):
-    _PLAIN[ord(_c)] = ord(_to)
-_PLAIN[SPACES] = np.flatnonzero(SPACES)
-
-
 def _is(chars: Iterable[str]) -> np.ndarray:
     table = np.zeros(256, bool)
     table[[ord(c) for c in chars]] = True
@@ -51,6 +42,7 @@ _LOWER = _is("abcdefghijklmnopqrstuvwxyz")
 TOXIC = (
     "log_words", "insults", "insult_rate", "plain_insults", "plain_insult_rate", "hidden_rate", "you_rate", "near_you",
     "near_you_rate", "capital_rate", "shouted_rate", "exclaim_rate", "ask_rate", "punctuation_rate", "digit_rate", "mixed_rate",
+    "masked", "learned_first", "learned_second", "learned_third", "learned_rate", "strong", "strong_rate",
 )
 QUALITY = (
     "log_words", "word_length", "symbol_rate", "dup_line_rate", "repeat_rate", "letter_rate", "capital_rate",
@@ -63,11 +55,28 @@ def _known(words: Iterable[str]) -> np.ndarray:
     return np.unique(Words(*text_buffer(texts)).hashes(lower=True))
 
 
+def _masked(words: Iterable[str]) -> set[str]:
+    """The words with one or two inner letters as asterisks, or both as one."""
+    found = set()
+    for word in words:
+        for size in (1, 2):
+            for at in range(1, len(word) - size):
+                found |= {word[:at] + "*" * n + word[at + size :] for n in (1, size)}
+    return found
+
+
 _INSULTS, _YOU = _known(INSULTS), _known(YOU)
+_PLAIN_INSULTS = plain_hashes(INSULTS)
+_MASKING = NOT_ALPHANUMERIC.copy()
+_MASKING[ord("*")] = False
 
 
-def _in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+def _known_masked() -> np.ndarray:
+    texts = pa.array(sorted(_masked(INSULTS)), pa.large_string())
+    return np.unique(Words(*text_buffer(texts), _MASKING).hashes(lower=True))
+
+
+_MASKED_INSULTS = _known_masked()
 
 
 def _sums(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -75,11 +84,25 @@ def _sums(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return (total[bounds[1:]] - total[bounds[:-1]]).astype(float)
 
 
-def toxic_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _greatest(values: np.ndarray, bounds: np.ndarray, count: int) -> list[np.ndarray]:
+    """The greatest, second and so on of each row's values; 0 where a row has fewer."""
+    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((-values, rows))
+    found = []
+    for k in range(count):
+        at = bounds[:-1] + k
+        has = at < bounds[1:]
+        best = np.zeros(len(at))
+        best[has] = values[order[at[has]]]
+        found.append(best)
+    return found
+
+
+def toxic_features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon = EMPTY) -> np.ndarray:
     """A row of ``TOXIC`` for each text; an empty one has zeros."""
     words = Words(data, offsets, NOT_ALPHANUMERIC)
     hashes = words.hashes(lower=True)
-    insult, you = _in(hashes, _INSULTS), _in(hashes, _YOU)
+    insult, you = contained(hashes, _INSULTS), contained(hashes, _YOU)
     row = words.rows
     reach = np.zeros(len(hashes) + 1, np.int64)
     at = np.flatnonzero(you)
@@ -88,11 +111,11 @@ def toxic_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.add.at(reach, np.minimum(at + NEAR + 1, bounds[1:][row[at]]), -1)
     near = insult & (np.cumsum(reach)[:-1] > 0)
 
-    plain = _PLAIN[data]
-    kept = plain > 0
-    shorter = np.concatenate([[0], np.cumsum(kept)])[offsets]
-    restored = Words(plain[kept], shorter)
-    hidden = _in(restored.hashes(lower=True), _INSULTS)
+    spelled = Words(*plain_spelling(data, offsets))
+    hidden = contained(spelled.hashes(lower=True), _PLAIN_INSULTS)
+    weights = lexicon.of_words(spelled)
+    masked = Words(data, offsets, _MASKING)
+    covered = contained(masked.hashes(lower=True), _MASKED_INSULTS)
 
     tokens = Words(data, offsets)
     sums = lambda mask: np.concatenate([[0], np.cumsum(mask[data])])
@@ -107,15 +130,18 @@ def toxic_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n_tokens, size = np.maximum(tokens.counts, 1), np.maximum(np.diff(offsets), 1)
     bytes_ = lambda mask: _sums(mask[data], offsets)
     n_insult, n_near = _sums(insult, bounds), _sums(near, bounds)
-    n_hidden = _sums(hidden, restored.bounds)
+    n_hidden, n_covered = _sums(hidden, spelled.bounds), _sums(covered, masked.bounds)
+    n_strong, n_spelled = _sums(weights >= STRONG, spelled.bounds), np.maximum(spelled.counts, 1)
+    learned = np.concatenate([[0], np.cumsum(weights)])
     letters = np.maximum(bytes_(_UPPER) + bytes_(_LOWER), 1)
     return np.stack(
         [
             np.log1p(words.counts), n_insult, n_insult / n, n_hidden, n_hidden / n_tokens,
-            np.maximum(n_hidden - n_insult, 0) / n_tokens, _sums(you, bounds) / n, n_near, n_near / n,
+            np.maximum(n_hidden + n_covered - n_insult, 0) / n_tokens, _sums(you, bounds) / n, n_near, n_near / n,
             bytes_(_UPPER) / letters, _sums(shouted, tokens.bounds) / n_tokens, bytes_(_EXCLAIM) / n_tokens,
             bytes_(_ASK) / n_tokens, bytes_(_PUNCTUATION) / size, bytes_(_DIGIT) / size,
-            _sums(mixed, tokens.bounds) / n_tokens,
+            _sums(mixed, tokens.bounds) / n_tokens, n_covered, *_greatest(weights, spelled.bounds, 3),
+            (learned[spelled.bounds[1:]] - learned[spelled.bounds[:-1]]) / n_spelled, n_strong, n_strong / n_spelled,
         ],
         axis=1,
     )
@@ -140,11 +166,11 @@ def quality_features(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray
     )
 
 
-def with_features(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def with_features(docs: DataFrame, names: tuple[str, ...], lexicon: Lexicon = EMPTY) -> DataFrame:
     """(doc_id, the named features): ``TOXIC`` or ``QUALITY`` of every whole text."""
 
     def work(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        table = toxic_features(data, offsets) if names == TOXIC else quality_features(rows, data, offsets)
+        table = toxic_features(data, offsets, lexicon) if names == TOXIC else quality_features(rows, data, offsets)
         return pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), *[pa.array(np.ascontiguousarray(c)) for c in table.T]], ["doc_id", *names]
         )

@@ -95,12 +95,16 @@ class Words:
 
     def hashes(self, lower: bool) -> np.ndarray:
         """Of each word; ``lower`` takes A-Z as a-z."""
+        return self.hasher(lower)(self.starts, self.ends)
+
+    def hasher(self, lower: bool) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """What hashes the bytes from given starts to given ends."""
         codes = (_LOWER_CODES if lower else _CODES)[self.data]
         powers, inverse = _powers_of_base(len(codes) + 1)
         codes *= powers[: len(codes)]
         sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(codes, out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+        return lambda starts, ends: mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
 def runs(hashes: np.ndarray, words: int) -> np.ndarray:
