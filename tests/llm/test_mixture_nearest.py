@@ -36,8 +36,26 @@ def test_nearest_of_all_subsets(scale):
         nearest = min(
             abs(int(lengths @ np.array(n)) - budget) for n in itertools.product(*[range(int(c) + 1) for c in counts])
         )
-        # Cells hold one sum each; with two of each length at most, their unit is under 100 words.
-        assert abs(int(lengths @ taken) - budget) <= nearest + (100 if scale > 1 else 0)
+        assert abs(int(lengths @ taken) - budget) == nearest
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 17, 200])
+def test_which_weights_are_used(count):
+    rng = np.random.default_rng(count)
+    weights = [int(w) for w in rng.integers(1, 1000, count)]
+    total = sum(w for w in weights if rng.random() < 0.5)
+    used = mixture._used(weights, total)
+    assert len(set(used)) == len(used) and sum(weights[i] for i in used) == total
+
+
+def test_long_documents_of_many_words():
+    """Sums beyond a million words, no coarser than one word."""
+    lengths = np.array([1_000_003, 1_500_007, 2_000_029, 3_000_017])
+    counts = np.array([2, 1, 2, 1])
+    for budget in (4_500_040, 6_000_061, 9_500_072):
+        taken = mixture.fit_nearest(lengths, counts, budget)
+        nearest = min(abs(int(lengths @ np.array(n)) - budget) for n in itertools.product(*[range(int(c) + 1) for c in counts]))
+        assert abs(int(lengths @ taken) - budget) == nearest
 
 
 def test_one_long_document_stays_in_the_mix(spark):
@@ -51,3 +69,10 @@ def test_one_long_document_stays_in_the_mix(spark):
     for r in rows:
         copies = r.taken // r["size"]
         assert all(abs(r.taken - r.target) <= abs(n * r["size"] - r.target) for n in range(3) if n != copies)
+
+
+def test_clashing_names(spark):
+    rows = [(i, "w " * (i % 5), f"s{i % 2}", "a", i, "b", "c") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, row string, mark int, copies string, `part` string")
+    mixed = mixture.mix(df)
+    assert mixed.dtypes == df.dtypes and {tuple(r) for r in mixed.collect()} <= set(rows)

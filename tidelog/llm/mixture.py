@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.llm.graph import stored
 from tidelog.llm.ranks import ranked
 from tidelog.llm.texts import word_count
 
@@ -22,7 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2
 SEED = 17
-KNAPSACK = 1 << 17
+KNAPSACK = 1 << 17  # words that the knapsack looks at, or two of the longest documents
 PARTS = 256
 
 
@@ -49,13 +50,16 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return placed.select("source", "source_size", F.least(F.col("weight") * level, F.col("most")).alias("target"))
 
 
+def _reach(lengths: np.ndarray) -> int:
+    """How far the knapsack looks: two of the longest documents at least."""
+    return max(KNAPSACK, 2 * int(lengths.max(initial=0)))
+
+
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many documents of each length to take so that their words come to the budget.
 
-    Comes nearest from below among the sums that the knapsack reaches; work and memory
-    are bounded by ``KNAPSACK`` and the number of lengths, whatever the budget. If no
-    more than one document of each length is short enough to bring what is left below
-    ``KNAPSACK``, the longest that fits is taken.
+    A proportional share of every length, one more of some while much is left, then the
+    sum nearest to the rest from below. Memory is a bit for each word of two documents.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     whole = int(lengths @ counts)
@@ -63,77 +67,89 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
         return counts.copy()
     taken = np.array([int(c) * budget // whole for c in counts], np.int64)
     left = budget - int(lengths @ taken)
-    order = np.random.default_rng(seed).permutation(len(lengths))
-    # One more of each length while much is left, so that no length is preferred.
+    order, reach = np.random.default_rng(seed).permutation(len(lengths)), _reach(lengths)
+    # One more of each length while much is left, so that no length is preferred. One of
+    # each would come to more than the rest, so this ends within reach.
     for i in order:
-        if left <= KNAPSACK:
+        if left <= reach:
             break
-        if lengths[i] <= left and taken[i] < counts[i]:
+        if taken[i] < counts[i]:
             taken[i] += 1
             left -= int(lengths[i])
-    for i in sorted(order, key=lambda i: -lengths[i]):
-        if left > KNAPSACK:
-            more = min(int(counts[i] - taken[i]), (left - KNAPSACK // 2) // int(lengths[i]))
-            taken[i] += max(more, 0)
-            left -= int(lengths[i]) * max(more, 0)
     return taken + _nearest_sum(lengths, counts - taken, left, left, order)
 
 
 def _nearest_sum(lengths: np.ndarray, free: np.ndarray, goal: int, most: int, order: np.ndarray) -> np.ndarray:
-    """Of sums up to ``most`` the one nearest to ``goal``, the lower of two: how many of each length it takes.
+    """Of all sums up to ``most`` the one nearest to ``goal``, the lower of two: how many of each length it takes.
 
-    Sums are kept in cells of a unit such that there are ``KNAPSACK`` at most, one
-    exact sum in each. With a unit of 1 (``most`` up to ``KNAPSACK``) no sum is
-    missed; with a larger one a missed sum has another within its cell for each
-    item that was added, so what is found may lie a few units further off.
+    The reachable sums are the bits of one number. Documents of a length come in batches
+    of 1, 2, 4 and so on; a batch shifts the bits by its words. Lengths are added until
+    no sum can be nearer.
     """
     picked = np.zeros(len(lengths), np.int64)
     if goal <= 0 or not free.any():
         return picked
-    unit = most // (KNAPSACK + 1) + 1
-    # Of each cell the sum it keeps and the item with which that was first reached; -1 for none.
-    sums, by = np.full(most // unit + 1, -1, np.int64), np.zeros(most // unit + 1, np.int64)
-    sums[0] = 0
-    items: list[tuple[int, int]] = [(0, 0)]
     step = int(np.gcd.reduce(lengths[free > 0]))
-    least = min(goal % step, step - goal % step if goal - goal % step + step <= most else goal)
-    best = 0
+    limit, low = most // step, goal // step
+    least = min(goal - low * step, (low + 1) * step - goal if low < limit else goal)
+    mask, sums, best = (1 << limit + 1) - 1, 1, 0
+    batches: list[tuple[int, int, int]] = []
     for i in order:
         left, batch = int(free[i]), 1
-        while left > 0 and abs(best - goal) > least:
+        while left > 0:
             batch = min(batch, left)
-            weight = batch * int(lengths[i])
-            if weight > most:
+            weight = batch * int(lengths[i]) // step
+            if weight > limit:
                 break
-            items.append((int(i), batch))
-            found = sums[sums >= 0] + weight
-            found = found[found <= most]
-            found = found[sums[found // unit] < 0]
-            if len(found):
-                # Of new sums in one cell the one nearest to the goal is kept: it is written last.
-                found = found[np.lexsort((-found, -np.abs(found - goal)))]
-                by[found // unit] = len(items) - 1
-                sums[found // unit] = found
-                best = min(best, int(found[-1]), key=lambda s: (abs(s - goal), s))
+            more = (sums | sums << weight) & mask
+            if more != sums:
+                batches.append((int(i), batch, weight))
+                sums = more
             left -= batch
             batch *= 2
-    at = best
-    while at:
-        i, batch = items[by[at // unit]]
-        picked[i] += batch
-        at -= batch * int(lengths[i])
+        above = sums >> low + 1
+        below = (sums & (1 << low + 1) - 1).bit_length() - 1
+        near = [below, *([low + (above & -above).bit_length()] if above else [])]
+        best = min(near, key=lambda n: (abs(n * step - goal), n))
+        if abs(best * step - goal) <= least:
+            break
+    for at in _used([w for *_, w in batches], best):
+        picked[batches[at][0]] += batches[at][1]
     return picked
 
 
+def _used(weights: Sequence[int], total: int) -> list[int]:
+    """Which weights, in order, make up ``total``, which some of them do.
+
+    Halves the list: the bits after the first half say what that half can have added, so
+    only as many numbers as the list can be halved are held at once.
+    """
+    found: list[int] = []
+
+    def split(low: int, high: int, sums: int, total: int) -> int:
+        """What is left of ``total`` for the weights before ``low``, whose sums are given."""
+        if high - low <= 1:
+            if high == low or sums >> total & 1:
+                return total
+            found.append(low)
+            return total - weights[low]
+        middle, mask, then = (low + high) // 2, (1 << total + 1) - 1, sums
+        for weight in weights[low:middle]:
+            then = (then | then << weight) & mask
+        return split(low, middle, sums, split(middle, high, then, total))
+
+    split(0, len(weights), 1, total)
+    return found
+
+
 def fit_nearest(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """As ``fit_budget``, but the nearest sum, above the budget too.
 
-    Where the sum from below leaves a gap, the best sum from above (that which leaves
-    out as many words as ``fit_budget`` fits into the rest) and sums near a proportional
-    share less one document of each length are weighed; the nearest wins, the first of
-    equals. While the words of those documents and the longest document come to at most
-    ``KNAPSACK``, no nearer sum holds that share; beyond, see ``_nearest_sum``. A
-    source of few documents may have no sum near its budget at all.
+    If all documents are within reach of the knapsack, no sum of theirs is nearer. Else
+    the best sum from below, from above (that which leaves out what ``fit_budget`` fits
+    into the rest) and sums that hold a proportional share, or one document of each length
+    less, are weighed; the nearest wins, the first of equals. The gap is half the longest
+    document at most, and in a source of many lengths none.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     best, whole, step = fit_budget(lengths, counts, budget, seed), int(lengths @ counts), int(np.gcd.reduce(lengths))
@@ -148,7 +164,8 @@ def fit_nearest(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int
     best = above if gap(above) < gap(best) else best
     order = np.random.default_rng(seed).permutation(len(lengths))
     share = np.array([int(c) * budget // whole for c in counts], np.int64)
-    for start in (share, np.maximum(share - 1, 0)):
+    starts = [np.zeros_like(share)] if whole <= _reach(lengths) else [share, np.maximum(share - 1, 0)]
+    for start in starts:
         if gap(best) > least:
             goal = budget - int(lengths @ start)
             other = start + _nearest_sum(lengths, counts - start, goal, goal + gap(best), order)
@@ -180,62 +197,61 @@ def _plan(lengths: DataFrame, aims: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def with_copies(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``__size``, ``__source_size``, ``__target`` and ``__copies`` in the mix.
+def with_copies(rows: DataFrame, seed: int = SEED) -> DataFrame:
+    """(doc_id, source, size, and what else) with ``source_size``, ``target`` and ``copies`` in the mix.
 
-    A document's size is its number of words; a null or empty text has none and no
-    document of size 0 is taken. A null source is a source of its own. Ties of a
+    A null source is a source of its own; no document of size 0 is taken. Ties of a
     length go by hash of ``doc_id``, then by ``doc_id``; repeated rows count each.
-    A hot length is dealt over ``PARTS`` hashed parts. Other columns pass through.
+    A hot length is dealt over ``PARTS`` hashed parts.
     """
-    source = F.col("source").cast("string")
-    mark = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
-    docs = docs.withColumns(
-        {"__source": source, "__size": word_count(F.col("text").cast("string")), "__mark": mark}
-    ).withColumn("__part", F.pmod(F.col("__mark"), F.lit(PARTS)))
-    parts = docs.groupBy("__source", "__size", "__part").agg(F.count("*").alias("__in_part"))
-    lengths = parts.groupBy(F.col("__source").alias("source"), F.col("__size").alias("size")).agg(
-        F.sum("__in_part").alias("documents")
-    )
+    rows = rows.withColumn("mark", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")))
+    rows = rows.withColumn("part", F.pmod(F.col("mark"), F.lit(PARTS)))
+    parts = stored(rows.groupBy("source", "size", "part").agg(F.count("*").alias("in_part")), "parts")
+    lengths = parts.groupBy("source", "size").agg(F.sum("in_part").alias("documents"))
     sizes = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("documents")).alias("source_size"))
-    plan = _plan(lengths, targets(sizes), seed)
-
-    before = Window.partitionBy("__source", "__size").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("__before", F.coalesce(F.sum("__in_part").over(before), F.lit(0)))
-    quotas = parts.join(
-        plan, F.col("__source").eqNullSafe(F.col("source")) & (F.col("__size") == F.col("size"))
-    ).select(
-        F.col("__source").alias("q_source"), F.col("__size").alias("q_size"), F.col("__part").alias("q_part"),
-        (F.col("more") - F.col("__before")).alias("__quota"), F.col("passes").alias("__passes"),
-        F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
+    plan = _plan(lengths, targets(sizes), seed).select(
+        F.col("source").alias("p_source"), F.col("size").alias("p_size"), "source_size", "target", "passes", "more"
+    )
+    before = Window.partitionBy("source", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("in_part").over(before), F.lit(0)))
+    quotas = parts.join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))).select(
+        "p_source", "p_size", F.col("part").alias("p_part"), (F.col("more") - F.col("before")).alias("quota"),
+        "passes", "source_size", "target",
     )
-    joined = docs.join(
+    joined = rows.join(
         quotas,
-        F.col("__source").eqNullSafe(F.col("q_source"))
-        & (F.col("__size") == F.col("q_size")) & (F.col("__part") == F.col("q_part")),
-    ).drop("q_source", "q_size", "q_part")
-    turn = F.row_number().over(
-        Window.partitionBy("__source", "__size", "__part").orderBy("__mark", F.col("doc_id"))
+        F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")) & (F.col("part") == F.col("p_part")),
     )
-    copies = F.col("__passes") + (F.col("__turn") <= F.col("__quota")).cast("long")
-    copies = F.when(F.col("__size") > 0, copies).otherwise(0)
-    return joined.withColumn("__turn", turn).withColumn("__copies", copies).drop(
-        "__source", "__mark", "__part", "__quota", "__passes", "__turn"
+    turn = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("mark", F.col("doc_id")))
+    copies = F.col("passes") + (F.col("turn") <= F.col("quota")).cast("long")
+    copies = F.when(F.col("size") > 0, copies).otherwise(0)
+    return joined.withColumn("turn", turn).withColumn("copies", copies).drop(
+        "p_source", "p_size", "p_part", "mark", "part", "quota", "passes", "turn"
     )
 
 
+def _sized(docs: DataFrame, *more: Column) -> DataFrame:
+    """A document's size is its number of words; a null or empty text has none."""
+    size = word_count(F.col("text").cast("string")).alias("size")
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size, *more)
+
+
 def shares(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """Per document the words that the mix takes, without its text."""
-    text: Column = F.col("text")
-    mixed = with_copies(docs.select("doc_id", "source", text), seed)
-    return mixed.select(
-        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"),
-    )
+    """Per document the words that the mix takes, without its text, which is read once.
+
+    See ``with_copies``; a null or empty text has size 0. An empty table gives no rows.
+    """
+    mixed = with_copies(stored(_sized(docs), "sizes"), seed)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mixed table: each document as often as it is taken, with the columns of ``docs``."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = with_copies(docs, seed).filter("__copies > 0")
-    return repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*columns)
+    """The mixed table: each document as often as it is taken, with the columns of ``docs``, whatever their names.
+
+    See ``with_copies``; a document without words is not taken, so its rows go. An empty
+    table gives no rows.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    repeated = with_copies(_sized(docs, whole), seed).filter("copies > 0")
+    return repeated.select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")).select("row.*")
