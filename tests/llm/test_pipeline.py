@@ -4,8 +4,9 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_decontaminate import brute as contaminated
-from test_near_dedup import brute as near
+from test_near_dedup_threshold import least_ids
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,10 +16,12 @@ def test_stages(spark, tmp_path):
     columns = docs.columns
     extra = docs.limit(1).selectExpr("100000L as doc_id", "'12 34 !?' as text", "lang", "source", "n_chars")
     extra = extra.unionByName(docs.limit(3))  # one to reject, three repeated rows
-    before = [(r.doc_id, r.text, r.source) for r in docs.unionByName(extra).collect()]
+    given = docs.unionByName(extra).withColumn("lang", F.when(F.col("doc_id") % 11 != 3, F.col("lang")))
+    true_lang = {r.doc_id: r.lang for r in docs.collect()}
+    before = [(r.doc_id, r.text, r.source) for r in given.collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     path = str(tmp_path / "0")
-    docs.unionByName(extra).write.parquet(path)
+    given.write.parquet(path)
     for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
         found = stage(spark, spark.read.parquet(path), SF)
         assert found.columns[: len(columns)] == columns or name == "sharding"
@@ -27,8 +30,13 @@ def test_stages(spark, tmp_path):
         after = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(path).collect()]
         if name == "language_id":
             want = Counter(d for d in before if re.search(r"[^\W\d_]", d[1]))
+            filled = {r.doc_id: r.lang for r in spark.read.parquet(path).collect()}
+            assert all(filled[i] == true_lang[i] for i in filled if i % 11 != 3)
+            guessed = [filled[i] == true_lang[i] for i in filled if i % 11 == 3]
+            assert None not in filled.values() and sum(guessed) > 0.9 * len(guessed) > 9
         elif name == "near_dedup":
-            want = Counter({d for d, kept in zip(sorted(before), near_kept(sorted(before))) if kept})
+            least = least_ids(sorted({d[:2] for d in before}), corpus_pipeline.SIMILAR)
+            want = Counter(set(d for d in before if d[0] in least))
         elif name == "decontamination":
             bad = {r[0] for r in contaminated([d[:2] for d in before], items) if r[5]}
             assert bad
@@ -47,14 +55,6 @@ def test_stages(spark, tmp_path):
         before = after
 
 
-def near_kept(docs):
-    """Of sorted documents whether each has its group's least id; of repeated rows the first."""
-    rows, seen = {r[0]: r[3] for r in near([d[:2] for d in docs])}, set()
-    for doc_id, *_ in docs:
-        yield rows[doc_id] and doc_id not in seen
-        seen.add(doc_id)
-
-
 def test_run(spark):
     found = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "text", "lang", "source", "n_chars", "shard", "slot"} <= set(found.columns)

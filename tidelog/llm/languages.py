@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.texts import key_crc, mix, pieces, text_buffer
+from tidelog.llm.texts import key_crc, mix, pieces, renamed, text_buffer
 
 WIDTH = 2048
 SAMPLE = 4000  # training texts in all, in equal parts for each language
+LANGUAGES = 256  # the most frequent ones are learned
 UNKNOWN = "und"
 
 #: Fixed families of language codes; a code that isn't listed is a family of its own.
@@ -116,15 +117,21 @@ class Hierarchy:
 
 
 def fit(learned: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
-    """From (doc_id, text, lang) without nulls in lang: at most about ``sample`` texts, chosen by hash of the id."""
-    counts = {r.lang: r["count"] for r in learned.groupBy("lang").count().collect()}
+    """From (doc_id, text, lang) without nulls in lang: about ``sample`` texts, chosen by a hash of id and text.
+
+    The ``LANGUAGES`` most frequent values of lang are learned. Equal rows are one text,
+    so however often a row is repeated, the sample stays as it is.
+    """
+    keyed = learned.withColumn("key", F.xxhash64(F.lit(5), F.col("doc_id").cast("string"), "text"))
+    sizes = keyed.groupBy("lang").agg(F.approx_count_distinct("key").alias("texts"))
+    counts = sizes.orderBy(F.col("texts").desc(), "lang").limit(LANGUAGES).collect()
     if not counts:
         return None
     share = F.lit(0.0)
-    for lang, count in sorted(counts.items()):
+    for lang, count in sorted(counts):
         share = F.when(F.col("lang") == lang, min(1.0, sample / len(counts) / count)).otherwise(share)
-    chance = F.pmod(F.xxhash64(F.lit(5), F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    chosen = learned.filter(chance < share).select("lang", "text").limit(2 * sample)
+    chance = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
+    chosen = keyed.filter(chance < share).groupBy("lang", "key").agg(F.first("text").alias("text")).select("lang", "text")
 
     def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,10 +210,17 @@ def identify(docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
-    """``docs`` without those whose text is null or has no letter; all columns as they are.
+    """``docs`` without those whose text is null or has no letter, and with a language for each of the others.
 
-    A document with letters stays whatever is predicted: also if nothing could be learned,
-    and if ``und`` is a value of ``lang``.
+    A null ``lang`` is filled with the predicted one; all else stays as it is, whatever
+    the columns are called. A document with letters stays whatever is predicted: also if
+    nothing could be learned (its ``lang`` then stays null), and if ``und`` is a value of
+    ``lang``. Repeated rows stay, each; an empty table stays empty.
     """
-    found = predicted(docs.withColumn("__known", _lettered("text")), _fitted(docs, folds, fold))
-    return found.filter("__known").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, back = renamed(docs, "doc_id", "text", "lang")
+    model = _fitted(rows, folds, fold)
+    found = predicted(rows.filter(_lettered("text")), model)
+    if model is not None:
+        own = rows.schema["lang"].dataType
+        found = found.withColumn("lang", F.coalesce("lang", F.col("__lang").cast(own)))
+    return found.select(*back)

@@ -155,3 +155,12 @@ def key_crc(doc_id: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Words between ASCII white space; none in a null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def renamed(docs: DataFrame, *kept: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with names that no helper column has, but for the ``kept`` ones; and the columns under their own names."""
+    names = {c: c if c in kept else f"c{i}" for i, c in enumerate(docs.columns)}
+    return (
+        docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()]),
+        [F.col(name).alias(c) for c, name in names.items()],
+    )
