@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidelog.llm import near_dedup, queries
 
@@ -99,3 +100,34 @@ def test_odd_texts(spark):
         [(False, i) for i in (3, 9, 8, 7, 4, 10, 1, 6)] + [(True, 0)]
     )
     assert near_dedup.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_many_unlinked_members_around_a_hub(spark, monkeypatch):
+    """2,000 classes share one passage and aren't linked: nothing goes, and the tasks that meet them are even."""
+    rng = np.random.default_rng(6)
+    passage = " ".join(f"p{i}" for i in range(100))
+    docs = [(k, passage + " " + " ".join(f"o{k}_{i}" for i in range(int(rng.integers(15, 25))))) for k in range(2000)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 64)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+    sets = {}
+    for doc_id, text in docs:
+        sets[doc_id] = len(shingles(text))
+    common = 96  # shingles of the passage
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * common >= 85 * (sets[a] + sets[b] - common)}
+    assert not linked and all(got[i] == i for i in got) and len(got) == 2000
+
+
+def test_salts_deal_a_hub(spark):
+    """The rows of one hub go to many keys of the join."""
+    classes = spark.range(3000).select(F.xxhash64("id").cast("string").cast("binary").alias("class"))
+    salt = F.pmod(F.xxhash64(F.lit(1), "class"), F.lit(near_dedup.SALTS))
+    counts = [r["count"] for r in classes.groupBy(salt).count().collect()]
+    assert len(counts) == near_dedup.SALTS and max(counts) < 3 * 3000 / near_dedup.SALTS
+
+
+def test_clashing_names(spark):
+    rows = [(i, f"some text of words number {i // 2}", "a", i, "b", "c") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, `__row` string, `__class` int, `__n` string, `__bands` string")
+    kept = near_dedup.deduplicate(df)
+    assert kept.dtypes == df.dtypes and sorted(map(tuple, kept.collect())) == rows[::2]

@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.graph import components, stored
-from tidelog.llm.texts import Words, mix, pieces, runs, text_buffer
+from tidelog.llm.texts import Words, mix, pieces, renamed, runs, text_buffer
 
 SHINGLE = 5
 PERCENT = 85
 PERMUTATIONS = 63
 MISSED = 5e-7
 BLOCK = 256
+SALTS = 32  # tasks that the classes around one hub are dealt over
 
 _random = np.random.default_rng(8712)
 _FACTORS = _random.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
@@ -218,7 +219,10 @@ def _rest(around: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     mixed = rooted.groupBy("hub").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
     ).filter("low != high")
-    rows = rooted.join(mixed.select("hub", "blocks"), "hub")
+    # A hub with many classes is met in parts.
+    salted = rooted.withColumn("salt", F.pmod(F.xxhash64(F.lit(1), "class"), F.lit(SALTS)).cast("int"))
+    parts = mixed.select("hub", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = salted.join(parts, ["hub", "salt"]).drop("salt")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     # A block meets every block of its hub once: itself and each other.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -281,13 +285,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with exactly one row of each group: the least ``doc_id``, nulls last.
 
-    Documents are linked from a similarity of ``percent`` per cent up. Of repeated rows one stays. Texts without words belong to no group and stay.
+    Documents are linked from a similarity of ``percent`` per cent up. Of repeated rows one stays.
+    Texts without words, null ones too, belong to no group and stay. Columns pass through,
+    whatever their names; an empty table stays empty.
     """
-    table, roots = grouped(docs, percent)
+    own, back = renamed(docs, "doc_id", "text")
+    table, roots = grouped(own, percent)
     rows = _with_component(table, roots)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
     least = rows.filter("__component is not null").groupBy("__component").agg(F.min_by("__row", order).alias("__row"))
     chosen = least.select("__row").unionByName(rows.filter("__component is null").select("__row"))
     # Texts shuffle once and aren't sorted: a task's row numbers are the hash table.
     kept = table.join(stored(chosen, "chosen").hint("shuffle_hash"), "__row", "left_semi")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.select(*back)
