@@ -62,3 +62,17 @@ def test_odd_rows(spark, count):
     assert set(full.columns) == {*df.columns, "size", "text_crc32", "hilbert", "slot"}
     if count:
         laws_hold(full.collect(), texts, 7)
+
+
+def test_clashing_names(spark):
+    rows = [(i, "w " * i, "en", "s", i, f"p{i}", "q", "r") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, rank int, `__place` string, `__part` string, c0 string")
+    full = hilbert.shard(df, 3)
+    assert full.columns == [*df.columns, "size", "text_crc32", "hilbert", "shard", "slot"]
+    assert sorted(tuple(r)[:8] for r in full.collect()) == rows
+    assert hilbert.shard(df.limit(0)).collect() == [] and hilbert.layout(df.limit(0)).collect() == []
+
+
+def test_very_long_texts(spark):
+    df = spark.createDataFrame([(i, "x" * 300_000 if i % 2 else "y", "en", "s") for i in range(9)], "doc_id bigint, text string, lang string, source string")
+    laws_hold(hilbert.layout(df).collect(), [(i, "x" * 300_000 if i % 2 else "y") for i in range(9)], 40)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.ranks import ranked
+from tidelog.llm.texts import renamed
 
 BITS = 5
 SHARDS = 40
@@ -139,11 +140,11 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     the lowest value. An empty table gives no rows.
     """
     size, crc = _size_and_crc()
-    own = [c for c in docs.columns if c not in ("size", "text_crc32", "hilbert", "shard", "slot", "rank")]
-    sized = docs.select(*[F.col(f"`{c}`") for c in own], size.alias("size"), crc.alias("text_crc32"))
-    indexed = with_index(sized, ("source", "lang", "size"))
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("size", "text_crc32", "hilbert", "shard", "slot")])
+    rows, back = renamed(docs, "source", "lang", "doc_id", "text")
+    indexed = with_index(rows.withColumns({"size": size, "text_crc32": crc}), ("source", "lang", "size"))
     placed, total = ranked(indexed, F.col("hilbert"), F.col("text_crc32"), F.col("doc_id"))
-    return _cut(placed, total, shards).drop("rank")
+    return _cut(placed, total, shards).select(*back, "size", "text_crc32", "hilbert", "shard", "slot")
 
 
 def layout(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
