@@ -32,31 +32,47 @@ def _stage(work: Stage) -> Stage:
 
 @_stage
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter; those without one have no language and go."""
+    """Documents with a letter, each with a language: a null ``lang`` is predicted.
+
+    A null text, or one without a letter, has no language and goes. Repeated rows stay;
+    an empty table stays empty, as in all stages.
+    """
     return languages.keep_known(docs)
 
 
 @_stage
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id."""
+    """One document of each group of near-duplicates, the one with the least id (null last).
+
+    Of repeated rows one stays. Texts without words, null ones too, are in no group and stay.
+    """
     return near_dedup.deduplicate(docs, SIMILAR)
 
 
 @_stage
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item contaminates."""
+    """Documents that no benchmark item contaminates, as they are; one without words stays.
+
+    Null texts and ids stay; repeated rows are judged each. Without items nothing goes.
+    """
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 @_stage
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document as often as the mix takes it."""
+    """Sources at their target weights: a document as often as the mix takes it.
+
+    A null source is one of its own. A document without words, or with a null text, is not taken.
+    """
     return mixture.mix(docs)
 
 
 @_stage
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix with shard and slot along the Hilbert curve."""
+    """The mix with size, checksum, place on the Hilbert curve, shard and slot.
+
+    Columns of these names are replaced. Nulls are the lowest values; repeated rows have a slot each.
+    """
     return hilbert.shard(docs)
 
 
