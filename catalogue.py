@@ -34,8 +34,16 @@ from tidelog.sources.files import (
     read_partitioned_json,
     text_stream,
 )
-from tidelog.sources.topics import drop_replays, json_rows, recorded_topic
+from tidelog.sources.topics import (
+    drop_replays,
+    json_rows,
+    record_partitions,
+    recorded_partitions,
+    recorded_topic,
+)
+from tidelog.streaming.clock import wait_until_closed
 from tidelog.streaming.keyed import KeyedFiles
+from tidelog.streaming.late import kept_rows, late_rows
 from tidelog.streaming.run import run_to_end
 from tidelog.streaming.sinks import json_records, message_id
 
@@ -611,6 +619,56 @@ def _(spark, sf):
     )
 
 
+@register("stream_partition_watermarks", sql.slowest_browser_counts(4, "1 hour", "15 seconds"))
+def _(spark, sf):
+    """A topic whose partitions lag behind each other by a day."""
+    root = scratch_dir(spark, "slowest")
+    record_partitions(rebuilt.lagging_records(_events(spark, sf), 4), f"{root}/topic")
+    parts = [
+        json_rows(part, rebuilt.LOG_JSON) for part in recorded_partitions(spark, f"{root}/topic", range(4))
+    ]
+    streams.slowest_browser_counts(parts, root).awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
+LATE_STEPS = 4
+
+
+def _gated_steps(spark: SparkSession, sf: str, root: str):
+    """The disordered log in a few steps, each a run of the gate of its own; the schema after each."""
+    events = _events(spark, sf)
+    last = events.agg(F.max("event_id")).first()[0]
+    step = F.floor(F.col("event_id") * LATE_STEPS / F.lit(last + 1)).alias("step")
+    lines = rebuilt.disordered_logs(events.select("*", step), keep=["step"])
+    for number in range(LATE_STEPS):
+        lines.filter(F.col("step") == number).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(lines.schema).parquet(f"{root}/in")
+        streams.late_gate(stream, f"{root}/gate").awaitTermination()
+        yield lines.schema
+
+
+@register("stream_late_rows", sql.late_rows(LATE_STEPS, "1 minute", "15 seconds"))
+def _(spark, sf):
+    """Lines that come two hours late, beside those that come in time."""
+    root = scratch_dir(spark, "late")
+    *_, schema = _gated_steps(spark, sf, root)
+    kept = spark.read.schema(schema).parquet(f"{root}/gate/rows/kept").withColumn("late", F.lit(False))
+    late = late_rows(spark, f"{root}/gate/rows", schema).withColumn("late", F.lit(True))
+    return kept.unionByName(late, allowMissingColumns=True).groupBy("step", "status_code", "late").agg(F.count("*").alias("n"))
+
+
+@register("stream_kept_counts", sql.kept_counts(LATE_STEPS, "1 minute", "15 seconds"))
+def _(spark, sf):
+    """Window counts over what the gate keeps, step by step: none of it is late any more."""
+    root = scratch_dir(spark, "kept")
+    for schema in _gated_steps(spark, sf, root):
+        kept = kept_rows(spark, f"{root}/gate/rows", schema)
+        streams.ordered_browser_counts(kept, f"{root}/counts").awaitTermination()
+    return spark.read.parquet(f"{root}/counts/data").select(
+        wall_clock("window_time").alias("window_time"), "browser", "cnt_browser"
+    )
+
+
 @register("stream_realtime_counts", sql.status_counts("10 seconds", _CLOSED_10S))
 def _(spark, sf):
     root = scratch_dir(spark, "realtime")
@@ -696,6 +754,33 @@ def _(spark, sf):
     return spark.read.parquet(f"{root}/data")
 
 
+@register("stream_clock_distinct_ips", f"WITH {sql.LOGS} SELECT count(DISTINCT client_ip) AS ip_addresses FROM logs")
+def _(spark, sf):
+    """A service that closes its last window by the clock; all rows are in one micro-batch, so in one window."""
+    root = scratch_dir(spark, "clock")
+    query = streams.clock_distinct_ips(_log_stream(spark, sf), root, "2 seconds", interval="1 second")
+    return _closed_by_clock(spark, sf, query, root).select(F.col("n").alias("ip_addresses"))
+
+
+@register(
+    "stream_clock_words",
+    f"""WITH {sql.LOGS}, ones AS (SELECT unnest({sql.words('request_line')}) AS word FROM logs)
+    SELECT word, count(*) AS n FROM ones GROUP BY 1""",
+)
+def _(spark, sf):
+    root = scratch_dir(spark, "clock")
+    query = streams.clock_words(_log_stream(spark, sf), root, "request_line", "2 seconds", interval="1 second")
+    return _closed_by_clock(spark, sf, query, root).select("word", "n")
+
+
+def _closed_by_clock(spark: SparkSession, sf: str, query, root: str) -> DataFrame:
+    try:
+        wait_until_closed(query, _events(spark, sf).count())
+    finally:
+        query.stop()
+    return spark.read.parquet(f"{root}/data")
+
+
 @register(
     "stream_text_lines",
     "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",

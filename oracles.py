@@ -92,6 +92,44 @@ SELECT time_bucket(INTERVAL '{size}', log_time) + INTERVAL '{size}'
 FROM browsers GROUP BY 1, 2 {closed} ORDER BY 1, 3 DESC"""
 
 
+def slowest_browser_counts(partitions: int, size: str, delay: str) -> str:
+    """Windows that every partition has passed; partition ``p`` is ``p`` days behind."""
+    behind = LOGS.replace("FROM events", "FROM behind").replace(
+        "SELECT '198", f"SELECT event_id % {partitions} AS part, '198"
+    )
+    return f"""WITH behind AS (SELECT * REPLACE (ts - to_days(CAST(event_id % {partitions} AS INTEGER)) AS ts) FROM events),
+{behind}, slowest AS (SELECT min(latest) AS latest FROM (SELECT max(log_time) AS latest FROM logs GROUP BY part) p)
+SELECT browser, time_bucket(INTERVAL '{size}', log_time) AS window_start,
+  time_bucket(INTERVAL '{size}', log_time) + INTERVAL '{size}' AS window_end,
+  time_bucket(INTERVAL '{size}', log_time) + INTERVAL '{size}' - INTERVAL 1 MILLISECOND AS window_time,
+  count(*) AS cnt_browser
+FROM browsers GROUP BY 1, 2, 3, 4 HAVING time_bucket(INTERVAL '{size}', min(log_time)) + INTERVAL '{size}' <= (SELECT latest - INTERVAL '{delay}' FROM slowest)"""
+
+
+def _gated(steps: int, size: str, delay: str) -> str:
+    """The disordered log by step, and whether the steps before had passed a line's window."""
+    lines = LOGS.replace("FROM events", "FROM disordered").replace("SELECT '198", "SELECT step, '198")
+    return f"""disordered AS (SELECT * REPLACE (ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END AS ts),
+  event_id * {steps} // ((SELECT max(event_id) FROM events) + 1) AS step FROM events),
+{lines.replace("status_code, log_time", "status_code, log_time, step")},
+passed AS (SELECT step, max(max(log_time)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - INTERVAL '{delay}' AS mark FROM logs GROUP BY step),
+gated AS (SELECT b.*, coalesce(time_bucket(INTERVAL '{size}', log_time) + INTERVAL '{size}' <= mark, false) AS late
+  FROM browsers b JOIN passed p ON b.step = p.step)"""
+
+
+def late_rows(steps: int, size: str, delay: str) -> str:
+    return f"""WITH {_gated(steps, size, delay)}
+SELECT step, status_code, late, count(*) AS n FROM gated GROUP BY ALL"""
+
+
+def kept_counts(steps: int, size: str, delay: str) -> str:
+    return f"""WITH {_gated(steps, size, delay)}
+SELECT time_bucket(INTERVAL '{size}', log_time) + INTERVAL '{size}' - INTERVAL 1 MILLISECOND AS window_time,
+  browser, count(*) AS cnt_browser
+FROM gated WHERE NOT late GROUP BY 1, 2 HAVING window_time < (SELECT max(log_time) - INTERVAL '{delay}' FROM logs)"""
+
+
 def _status_counted(size: str, closed: str) -> str:
     return f"""WITH {LOGS}, counted AS (
   SELECT browser, status_code,

@@ -1,0 +1,89 @@
+"""Windows that close by the clock, without a later row."""
+
+import time
+from collections import Counter
+
+import pytest
+
+from tidelog.plans import streams
+from tidelog.streaming import clock
+
+SCHEMA = "k string, v string"
+FIRST = [("a", "x"), ("a", "y"), ("b", "x"), (None, None), ("a", "x"), ("b", None)]
+SECOND = [("a", "x"), ("c", "z")]
+
+
+def add(spark, folder, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def service(spark, folder, distinct=None, size="3 seconds"):
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+    counts = clock.clock_counts(stream, ["k"], size, distinct)
+    sink = clock.ClockWindows(f"{folder}/out", ["k"])
+    return streams.start(counts, f"{folder}/checkpoint", each_batch=sink, interval="1 second")
+
+
+def test_the_last_window_closes_without_input(spark, folder):
+    add(spark, f"{folder}/in", FIRST)
+    query = service(spark, folder)
+    try:
+        clock.wait_until_closed(query, len(FIRST))
+        add(spark, f"{folder}/in", SECOND)  # another window, of the same service
+        clock.wait_until_closed(query, len(FIRST) + len(SECOND))
+    finally:
+        query.stop()
+    found = spark.read.parquet(f"{folder}/out").collect()
+    assert all((r.window_end - r.window_start).total_seconds() == 3 for r in found)
+    totals = Counter()
+    for r in found:
+        totals[r.k] += r.n
+    assert totals == Counter(k for k, _ in FIRST + SECOND)
+    assert len({r.window_start for r in found if r.k == "a"}) == 2
+
+
+def test_open_windows_survive_a_stop(spark, folder):
+    """Stopped before its window is over, the service closes it after the next start."""
+    add(spark, f"{folder}/in", FIRST)
+    query = service(spark, folder, size="12 seconds")
+    while not any(p["numInputRows"] for p in query.recentProgress):
+        time.sleep(0.2)
+    query.stop()
+    again = service(spark, folder, size="12 seconds")
+    try:
+        clock.wait_until_closed(again, 0)
+    finally:
+        again.stop()
+    assert Counter({r.k: r.n for r in spark.read.parquet(f"{folder}/out").collect()}) == Counter(k for k, _ in FIRST)
+
+
+def test_distinct_values(spark, folder):
+    add(spark, f"{folder}/in", FIRST * 20)
+    query = service(spark, folder, distinct="v")
+    try:
+        clock.wait_until_closed(query, 20 * len(FIRST))
+    finally:
+        query.stop()
+    found = {r.k: r.n for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert found == {"a": 2, "b": 1, None: 0}
+
+
+def test_rows_are_aggregated_before_they_shuffle(spark, monkeypatch):
+    """A hot key costs a row per task; with ever new keys nothing is held for long."""
+    hot = spark.range(0, 300_000, 1, 3).selectExpr("id % 2 AS k", "'w' AS w")
+    found = clock._aggregated(hot, ["k", "w"]).collect()
+    assert len(found) == 6 and sum(r.n for r in found) == 300_000
+    monkeypatch.setattr(clock, "_HELD", 1000)
+    many = spark.range(0, 50_000, 1, 2).selectExpr("id AS k")
+    assert sum(r.n for r in clock._aggregated(many, ["k"]).collect()) == 50_000
+    assert clock._aggregated(many.limit(0), ["k"]).collect() == []
+
+
+def test_waiting_ends(spark, folder):
+    add(spark, f"{folder}/in", FIRST)
+    query = service(spark, folder, size="1 hour")
+    try:
+        with pytest.raises(TimeoutError, match="still open"):
+            clock.wait_until_closed(query, len(FIRST), seconds=8)
+    finally:
+        query.stop()

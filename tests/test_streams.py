@@ -78,15 +78,17 @@ def test_ordered_counts_do_not_depend_on_the_split(spark, split_events, folder):
     expected = logs.ordered_browser_counts(
         closed(batch, latest_log(spark), timedelta(seconds=15))
     )
-    assert rows(spark.read.parquet(f"{folder}/data").drop("batch")) == rows(expected)
-    # Reading batch folders and files in name order gives the global order.
-    seen = []
+    assert rows(spark.read.parquet(f"{folder}/data").drop("batch", "place")) == rows(expected)
+    # Reading batch folders and files in name order gives the global order; places rise along it.
+    seen, places = [], []
     for batch_dir in sorted(os.listdir(f"{folder}/data")):
         for name in sorted(os.listdir(f"{folder}/data/{batch_dir}")):
             if name.endswith(".parquet"):
-                part = spark.read.parquet(f"{folder}/data/{batch_dir}/{name}")
-                seen += [(r.window_time, -r.cnt_browser) for r in part.collect()]
+                part = spark.read.parquet(f"{folder}/data/{batch_dir}/{name}").collect()
+                seen += [(r.window_time, -r.cnt_browser) for r in part]
+                places += [(batch_dir, r.place) for r in part]
     assert seen == sorted(seen) and len(seen) == expected.count()
+    assert places == sorted(set(places))
 
 
 def test_distinct_ips_do_not_depend_on_the_split(spark, split_events, folder):
@@ -250,7 +252,10 @@ def test_windows_survive_a_restart(spark, folder):
     expected = logs.ordered_browser_counts(
         closed(batch, latest_log(spark), timedelta(seconds=15))
     )
-    assert failed and rows(spark.read.parquet(f"{folder}/data").drop("batch")) == rows(expected)
+    found = spark.read.parquet(f"{folder}/data")
+    assert failed and rows(found.drop("batch", "place")) == rows(expected)
+    in_place = found.orderBy("batch", "place").collect()
+    assert [r.window_time for r in in_place] == sorted(r.window_time for r in in_place)
 
 
 def log_files(spark, folder, batches):

@@ -25,6 +25,23 @@ def with_event_time(df: DataFrame, col: str, delay: str | None) -> DataFrame:
     return df if delay is None else df.withWatermark(col, delay)
 
 
+def slowest_watermark(parts: Sequence[DataFrame], col: str, delay: str) -> DataFrame:
+    """Streams as one, whose watermark is that of the slowest.
+
+    Each part, a partition of a topic say, has event time and a watermark of its own;
+    Spark takes the least of them, so rows of a part that lags behind aren't late. A part
+    that has had no row yet holds all windows open. The plan has a branch for each part:
+    group partitions that keep pace if there are many hundreds.
+    """
+    policy = "spark.sql.streaming.multipleWatermarkPolicy"
+    if parts[0].sparkSession.conf.get(policy, "min") != "min":
+        raise ValueError(f"{policy} has to be min, or rows of slow parts are dropped")
+    whole, *others = [with_event_time(part, col, delay) for part in parts]
+    for other in others:
+        whole = whole.unionByName(other)
+    return whole
+
+
 def with_processing_time(df: DataFrame, col: str, clock: Column | None = None) -> DataFrame:
     """Add the processing time as a column; ``clock`` fixes it for repeatable runs."""
     return df.withColumn(col, F.current_timestamp() if clock is None else clock)

@@ -11,16 +11,20 @@ the first batch after its window closed is still counted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.functions import wall_clock
-from tidelog.operators.windows import with_event_time, word_counts
+from tidelog.functions import wall_clock, words
+from tidelog.operators.windows import slowest_watermark, window_bounds, with_event_time, word_counts
 from tidelog.plans import feeds, logs
+from tidelog.streaming.clock import ClockWindows, clock_counts
 from tidelog.streaming.keyed import KeyedFiles
+from tidelog.streaming.late import LateGate
 from tidelog.streaming.retractions import RetractingSum
-from tidelog.streaming.run import start
+from tidelog.streaming.run import LOG_INTERVAL, start
 from tidelog.streaming.sinks import (
     DURABLE_OPTIONS,
     JdbcUpsert,
@@ -60,6 +64,23 @@ def ordered_browser_counts(
     )
 
 
+def slowest_browser_counts(
+    parts: Sequence[DataFrame], root: str, size: str = "1 hour", interval: str | None = None
+) -> StreamingQuery:
+    """Counts over the partitions of a topic; a window closes when all of them have passed it."""
+    view = slowest_watermark(parts, "log_time", ORDERED_DELAY)
+    counts = window_bounds(logs.browser_counts(view, size))
+    return start(_walls(counts), f"{root}/checkpoint", path=f"{root}/data", interval=interval)
+
+
+def late_gate(
+    log_stream: DataFrame, root: str, size: str = "1 minute", interval: str | None = None, **options
+) -> StreamingQuery:
+    """Log rows in time under ``root/rows/kept``, and the late ones under ``root/rows/late``."""
+    gate = LateGate(f"{root}/rows", "log_time", ORDERED_DELAY, size, **options)
+    return start(log_stream, f"{root}/checkpoint", each_batch=gate, interval=interval)
+
+
 def realtime_counts(
     view: DataFrame,
     root: str,
@@ -158,6 +179,23 @@ def windowed_words(
     return start(_walls(counts), f"{root}/checkpoint", path=f"{root}/data", interval=interval)
 
 
+def clock_distinct_ips(
+    log_stream: DataFrame, root: str, size: str = "10 seconds", interval: str = LOG_INTERVAL
+) -> StreamingQuery:
+    """Distinct addresses per window of processing time, which closes by the clock."""
+    counts = clock_counts(log_stream.select("client_ip"), [], size, distinct="client_ip")
+    return start(counts, f"{root}/checkpoint", each_batch=ClockWindows(f"{root}/data", []), interval=interval)
+
+
+def clock_words(
+    lines: DataFrame, root: str, value: str = "value", size: str = "30 seconds", interval: str = LOG_INTERVAL
+) -> StreamingQuery:
+    """Words per window of processing time, which closes by the clock."""
+    ones = lines.select(F.explode(words(value)).alias("word"))
+    sink = ClockWindows(f"{root}/data", ["word"])
+    return start(clock_counts(ones, ["word"], size), f"{root}/checkpoint", each_batch=sink, interval=interval)
+
+
 def live_counter(
     view: DataFrame,
     root: str,

@@ -6,6 +6,8 @@ generated code and grow with the tables. All take a batch or streaming reader.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,12 +58,14 @@ def pick(values: tuple[str, ...], position: Column) -> Column:
     return F.get(choices, F.pmod(position, F.lit(len(values))).cast("int"))
 
 
-def server_logs(events: DataFrame) -> DataFrame:
+def server_logs(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """A log line for each event, after the columns of the events to ``keep``."""
     e = F.col("event_id")
     agent = F.concat(
         pick(BROWSERS, e), F.lit("/"), (1 + e % 9).cast("string"), F.lit(".0")
     )
     return events.select(
+        *keep,
         F.concat(F.lit("198.51.100."), F.col("user_id").cast("string")).alias("client_ip"),
         F.lit("-").alias("client_identity"),
         F.lit("-").alias("userid"),
@@ -85,6 +89,30 @@ def dense_logs(events: DataFrame) -> DataFrame:
     return server_logs(events.withColumn("ts", start + step))
 
 
+LOG_JSON = "user_agent string, status_code string, log_time timestamp_ntz"
+
+
+def lagging_records(events: DataFrame, partitions: int = 2) -> DataFrame:
+    """The log as a JSON topic: partition ``p`` (event id modulo their number) is ``p`` days behind."""
+    part = (F.col("event_id") % partitions).cast("int")
+    behind = events.withColumn("ts", F.col("ts") - F.make_dt_interval(days=part))
+    line = F.to_json(F.struct("user_agent", "status_code", "log_time"), {"ignoreNullFields": "false"})
+    return server_logs(behind, keep=["event_id"]).select(
+        F.lit(None).cast("binary").alias("key"),
+        line.cast("binary").alias("value"),
+        F.lit("logs").alias("topic"),
+        part.alias("partition"),
+        F.floor(F.col("event_id") / partitions).alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+
+
+def disordered_logs(events: DataFrame, every: int = 7, keep: Sequence[str] = ()) -> DataFrame:
+    """The log in the order of event ids, every so many lines with a time two hours back."""
+    late = F.when(F.col("event_id") % every == 0, F.make_dt_interval(hours=F.lit(2))).otherwise(F.make_dt_interval())
+    return server_logs(events.withColumn("ts", F.col("ts") - late), keep)
+
+
 def debezium_rows(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One change per event: ``offset, before, after, op, ts_ms, source``."""
     tuning = {} if hot_rows is None else {"hot_rows": hot_rows}

@@ -7,6 +7,8 @@ either.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +33,16 @@ class Topic:
     max_per_trigger: int | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
-    def read_options(self) -> dict[str, str]:
+    def read_options(self, partitions: Sequence[int] | None = None) -> dict[str, str]:
+        """For the whole topic, or for some of its partitions."""
+        what = (
+            {"subscribe": self.name}
+            if partitions is None
+            else {"assign": json.dumps({self.name: list(partitions)})}
+        )
         options = {
             "kafka.bootstrap.servers": self.servers,
-            "subscribe": self.name,
+            **what,
             "startingOffsets": self.start,
             # A lost offset ends the job instead of leaving a silent gap.
             "failOnDataLoss": "true",
@@ -53,6 +61,12 @@ def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     return spark.readStream.format("kafka").options(**topic.read_options()).load()
 
 
+def read_partitions(spark: SparkSession, topic: Topic, partitions: Sequence[int]) -> list[DataFrame]:
+    """A stream for each partition, for `slowest_watermark`."""
+    reader = spark.readStream.format("kafka")
+    return [reader.options(**topic.read_options([p])).load() for p in partitions]
+
+
 def read_topic_batch(spark: SparkSession, topic: Topic) -> DataFrame:
     """The whole topic as a table; a batch read always starts at the earliest offset."""
     options = {k: v for k, v in topic.read_options().items() if k != "maxOffsetsPerTrigger"}
@@ -71,6 +85,28 @@ def recorded_topic(
     return reader.parquet(path)
 
 
+def record_partitions(records: DataFrame, path: str, files: int = 1) -> None:
+    """Records a topic with a folder for each partition, in about ``files`` files each, by offset."""
+    spread = records.repartitionByRange(files, "offset").sortWithinPartitions("partition", "offset")
+    spread.write.partitionBy("partition").parquet(path)
+
+
+def recorded_partitions(
+    spark: SparkSession, path: str, partitions: Sequence[int], max_files: int | None = None
+) -> list[DataFrame]:
+    """A stream for each partition of what `record_partitions` wrote."""
+    whole = T.StructType.fromDDL(RECORD_SCHEMA)
+    stored = T.StructType([f for f in whole if f.name != "partition"])
+    found = []
+    for partition in partitions:
+        reader = spark.readStream.schema(stored)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        rows = reader.parquet(f"{path}/partition={partition}")
+        found.append(rows.withColumn("partition", F.lit(partition)).select(whole.fieldNames()))
+    return found
+
+
 def json_rows(
     records: DataFrame,
     schema: str | T.StructType,

@@ -22,6 +22,25 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jvm_path, True).close()
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Moves a folder in one step; ``new`` must not exist."""
+    fs, jvm_old = _open(spark, old)
+    jvm_new = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(jvm_new.getParent())
+    if fs.exists(jvm_new) or not fs.rename(jvm_old, jvm_new):
+        raise OSError(f"can't rename {old} to {new}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = _open(spark, path)
+    fs.mkdirs(jvm_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = _open(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text, or None if there is no such file."""
     fs, jvm_path = _open(spark, path)

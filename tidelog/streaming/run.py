@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -19,14 +19,31 @@ class LateRowsError(RuntimeError):
 
 
 class _Dropped(StreamingQueryListener):
-    """Rows that the watermark dropped, by run, over all its batches."""
+    """Rows of one run that the watermark dropped; leaves the session when the run ends."""
 
-    def __init__(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.ended: dict[str, threading.Event] = {}
+    def __init__(self, session: SparkSession) -> None:
+        self.run: str | None = None
+        self._session, self._by_run = session, {}
+        self._ended: dict[str, threading.Event] = {}
+        session.streams.addListener(self)
 
-    def of(self, run: str) -> threading.Event:
-        return self.ended.setdefault(run, threading.Event())
+    def watch(self, run: str) -> None:
+        self.run = run
+        if self._end_of(run).is_set():
+            self.leave()
+
+    def leave(self) -> None:
+        # Not from the thread that delivers events, which would wait for itself.
+        threading.Thread(target=self._session.streams.removeListener, args=(self,), daemon=True).start()
+
+    def dropped(self) -> int:
+        return self._by_run.get(self.run, 0)
+
+    def wait(self, seconds: float) -> bool:
+        return self._end_of(self.run).wait(seconds)
+
+    def _end_of(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -34,42 +51,52 @@ class _Dropped(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         run = str(event.progress.runId)
         lost = sum(state.numRowsDroppedByWatermark for state in event.progress.stateOperators)
-        self.rows[run] = self.rows.get(run, 0) + lost
+        self._by_run[run] = self._by_run.get(run, 0) + lost
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self.of(str(event.runId)).set()
+        run = str(event.runId)
+        self._end_of(run).set()
+        if run == self.run:
+            self.leave()
 
 
-class BoundedRun:
-    """A query that takes all input there is and stops.
+class ServiceRun:
+    """A query that goes on, with all of a query's attributes and ``late_rows`` so far.
 
-    It has all of a query's attributes. Waiting for its end raises if the watermark
-    dropped rows: the files of a table have no order, so any loss there is an error.
-    ``late="drop"`` accepts it, as a service does that never ends.
+    Late rows are those that the watermark dropped, as state operators count them, in
+    the batches that are done. A `LateGate` before the query keeps the rows themselves.
     """
 
-    def __init__(self, query: StreamingQuery, dropped: _Dropped, session) -> None:
-        self._query, self._dropped, self._session = query, dropped, session
-        self.late_rows: int | None = None
+    def __init__(self, query: StreamingQuery, dropped: _Dropped) -> None:
+        self._query, self._dropped = query, dropped
+        dropped.watch(str(query.runId))
 
     def __getattr__(self, name: str):
         return getattr(self._query, name)
 
+    @property
+    def late_rows(self) -> int:
+        return self._dropped.dropped()
+
+
+class BoundedRun(ServiceRun):
+    """A query that takes all input there is and stops.
+
+    Waiting for its end raises if the watermark dropped rows: the files of a table have
+    no order, so any loss there is an error. ``late="drop"`` accepts it, as a service does.
+    """
+
     def awaitTermination(self, timeout: float | None = None, late: str = "raise") -> bool | None:
         if late not in ("raise", "drop"):
             raise ValueError(f"late is 'raise' or 'drop', not {late!r}")
         done = self._query.awaitTermination(timeout)
         if timeout is not None and not done:
             return done
-        if self.late_rows is None:
-            run = str(self._query.runId)
-            if not self._dropped.of(run).wait(60):
-                raise TimeoutError("the end of the run was not reported")
-            self._session.streams.removeListener(self._dropped)
-            self.late_rows = self._dropped.rows.get(run, 0)
+        if not self._dropped.wait(60):
+            raise TimeoutError("the end of the run was not reported")
         if self.late_rows and late == "raise":
             raise LateRowsError(
                 f"{self.late_rows} rows (as state operators count) came after their windows had closed; take all files in one "
@@ -91,11 +118,11 @@ def start(
     interval: str | None = None,
     name: str | None = None,
     options: dict[str, str] | None = None,
-) -> StreamingQuery | BoundedRun:
+) -> ServiceRun | BoundedRun:
     """Start a stream into ``each_batch``, a table, or a plain sink.
 
-    ``interval=None`` takes all input there is and stops (`BoundedRun`); files and
-    topic messages appear once per interval, never sooner. Plain sinks: ``parquet``
+    ``interval=None`` takes all input there is and stops (`BoundedRun`); else files and
+    topic messages appear once per interval, never sooner (`ServiceRun`). Plain sinks: ``parquet``
     or ``json`` with a path, ``kafka``, ``console``, ``noop``, ``memory``.
 
     State has as many partitions as ``spark.sql.shuffle.partitions`` says when a
@@ -123,15 +150,13 @@ def start(
             return writer.format(format).toTable(table)
         return writer.start(path) if path and each_batch is None else writer.start()
 
-    if interval is not None:
-        return begin()
-    session, dropped = df.sparkSession, _Dropped()
-    session.streams.addListener(dropped)
+    dropped = _Dropped(df.sparkSession)
     try:
-        return BoundedRun(begin(), dropped, session)
+        query = begin()
     except BaseException:
-        session.streams.removeListener(dropped)
+        dropped.leave()
         raise
+    return BoundedRun(query, dropped) if interval is None else ServiceRun(query, dropped)
 
 
 def run_to_end(df: DataFrame, checkpoint: str, late: str = "raise", **sink) -> BoundedRun:
