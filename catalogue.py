@@ -42,7 +42,7 @@ from tidelog.sources.topics import (
     recorded_topic,
 )
 from tidelog.streaming.clock import wait_until_closed
-from tidelog.streaming.keyed import KeyedFiles
+from tidelog.streaming.keyed import BucketedFiles, KeyedFiles
 from tidelog.streaming.late import kept_rows, late_rows
 from tidelog.streaming.run import run_to_end
 from tidelog.streaming.sinks import json_records, message_id
@@ -854,6 +854,21 @@ def _(spark, sf):
     return table.read()
 
 
+@register("stream_cdc_buckets", _LATEST)
+def _(spark, sf):
+    """The keyed table in buckets, fed in eight batches and compacted after every third."""
+    root = scratch_dir(spark, "buckets")
+    table = BucketedFiles(
+        spark, f"{root}/data", ["id"], partition="partition", compact_every=3, buckets=16,
+        schema="id int, num int, operation_ts timestamp_ntz",
+    )
+    records = rebuilt.topic_records(_messages(spark, sf), partitions=8)
+    records.repartitionByRange(8, F.desc("offset")).write.parquet(f"{root}/topic")
+    stream = recorded_topic(spark, f"{root}/topic", max_files=1)
+    streams.keyed_table(stream, table, root).awaitTermination()
+    return table.read()
+
+
 @register("stream_revenue_retractions", ORACLES["revenue_retractions"])
 def _(spark, sf):
     root = scratch_dir(spark, "retract")

@@ -64,6 +64,14 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match a glob pattern."""
+    return [s.getPath().toString() for s in _matches(spark, pattern) if s.isDirectory()]
+
+
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Files that match a glob pattern."""
+    return [s.getPath().toString() for s in _matches(spark, pattern) if s.isFile()]
+
+
+def _matches(spark: SparkSession, pattern: str) -> list:
     fs, jvm_path = _open(spark, pattern)
-    found = fs.globStatus(jvm_path) or []
-    return [s.getPath().toString() for s in found if s.isDirectory()]
+    return list(fs.globStatus(jvm_path) or [])

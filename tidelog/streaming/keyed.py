@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -91,6 +92,84 @@ class KeyedFiles:
         return sorted((int(folder.rsplit("=", 1)[1]), folder) for folder in found)
 
 
+@dataclass
+class BucketedFiles(KeyedFiles):
+    """As `KeyedFiles`, with upkeep that follows the changes.
+
+    Rows lie in ``buckets`` by a hash of their key's text. `compact` reads and writes only
+    buckets that have changed; the base of the others stays where it is. A manifest per
+    compaction names the base of every bucket and is written last, so a reader sees the
+    table before or after a compaction, never between. A bucket is one task's work: take
+    so many that the base of one fits into a task.
+    """
+
+    buckets: int = 64
+
+    def upsert(self, changes: DataFrame, batch_id: int) -> None:
+        newest = latest_by_key(
+            changes, self.keys, self.order, keep_deleted=True, partition=self.partition
+        )
+        self._write(newest, f"{self.path}/changes/batch={batch_id:012d}")
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.compact()
+
+    def compact(self) -> list[int]:
+        """Rewrite the buckets with changes up to the newest complete batch; their numbers."""
+        upto, bases = self._manifest(float("inf"))
+        changes = self._changes(upto, float("inf"))
+        if not changes:
+            return []
+        parts = {b: f for folder in changes for b, f in self._buckets(folder)}
+        changed = sorted(parts)
+        newest = int(changes[-1].rsplit("=", 1)[1])
+        if changed:
+            rows = self._rows({b: n for b, n in bases.items() if b in parts}, changes)
+            merged = merge_latest(rows, self.keys, self.order, self.partition)
+            self._write(merged, f"{self.path}/base/upto={newest:012d}")
+        bases |= {b: newest for b in changed}
+        text = json.dumps({"bases": {str(b): n for b, n in sorted(bases.items())}})
+        files.write_text(self.spark, f"{self.path}/manifests/upto={newest:012d}.json", text)
+        return changed
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        key = F.xxhash64(*[F.col(k).cast("string") for k in self.keys])
+        bucket = F.pmod(key, F.lit(self.buckets)).cast("int")
+        placed = rows.withColumn("__bucket", bucket).repartition("__bucket")
+        placed.write.mode("overwrite").partitionBy("__bucket").parquet(path)
+
+    def _history(self, before_batch: int | None) -> DataFrame | None:
+        limit = float("inf") if before_batch is None else before_batch
+        upto, bases = self._manifest(limit)
+        return self._rows(bases, self._changes(upto, limit))
+
+    def _rows(self, bases: dict[int, int], changes: list[str]) -> DataFrame | None:
+        """What the bases of some buckets hold, and all changes of the folders."""
+        paths = [f"{self.path}/base/upto={n:012d}/__bucket={b}" for b, n in sorted(bases.items())]
+        paths += [part for folder in changes for _, part in self._buckets(folder)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _buckets(self, folder: str) -> list[tuple[int, str]]:
+        found = files.folders(self.spark, f"{folder}/__bucket=*")
+        return sorted((int(part.rsplit("=", 1)[1]), part) for part in found)
+
+    def _manifest(self, limit: float) -> tuple[int, dict[int, int]]:
+        """The last batch and the bases by bucket of the newest compaction before a batch."""
+        found = files.listed(self.spark, f"{self.path}/manifests/upto=*.json")
+        numbers = sorted((int(f.rsplit("=", 1)[1].split(".")[0]), f) for f in found)
+        for number, file in reversed(numbers):
+            if number < limit:
+                bases = json.loads(files.read_text(self.spark, file) or "")["bases"]
+                return number, {int(b): n for b, n in bases.items()}
+        return -1, {}
+
+    def _changes(self, after: int, limit: float) -> list[str]:
+        return [
+            f
+            for n, f in self._named("changes/batch")
+            if after < n < limit and files.exists(self.spark, f"{f}/{files.MARKER}")
+        ]
+
+
 def merge_sql(
     target: str, source: str, keys: Sequence[str], columns: Sequence[str], order: str = "seq"
 ) -> str:
