@@ -19,11 +19,13 @@ from tidelog.operators.changes import retract_totals
 from tidelog.operators.debezium import (
     VIRTUAL_COLUMNS,
     append_log,
+    changes_of,
     decode,
     split_errors,
     split_schema_changes,
 )
 from tidelog.operators.ordered import running_by_key
+from tidelog.operators.schema_history import decode_as_of
 from tidelog.operators.windows import tumble, with_processing_time, word_counts
 from tidelog.plans import catalog, feeds, logs, revenue, streams
 from tidelog.session import scratch_dir
@@ -441,6 +443,16 @@ def _(spark, sf):
     )
 
 
+@register("cdc_schema_history", sql.schema_history())
+def _(spark, sf):
+    """Messages between schema changes, each read by the row type in force."""
+    decoded = decode_as_of(
+        rebuilt.with_schema_history(_events(spark, sf)), "id int, num string, note string",
+        dict(rebuilt.ROW_TYPES[0]), insert_snapshots=True,
+    )
+    return changes_of(decoded, keep=["schema_version"])
+
+
 _BROKEN = f"""WITH {sql.CHANGES}, judged AS (
   SELECT *, "offset" % 13 AS k, CASE "offset" % 13
     WHEN 2 THEN 'malformed message' WHEN 3 THEN 'malformed message'

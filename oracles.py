@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelog.sources.rebuilt import BROWSERS, METHODS, PATHS, STATUS_CODES
+from tidelog.sources.rebuilt import BROWSERS, METHODS, PATHS, ROW_TYPES, SCHEMA_EVERY, STATUS_CODES
 from tidelog.sources.synthetic import LOG_DIGITS
 
 
@@ -190,3 +190,19 @@ def words(value: str) -> str:
         f"CASE WHEN {value} = '' THEN [''] WHEN rtrim({value}, ' ') = '' THEN [] "
         f"ELSE string_split(rtrim({value}, ' '), ' ') END"
     )
+
+
+def schema_history() -> str:
+    """Changes by the row type in force: text of numbers keeps its zeros only where ``num`` is text."""
+    kept = lambda c: f"CASE WHEN kind_no = 3 THEN lpad(CAST({c} AS VARCHAR), 12, '0') ELSE CAST({c} AS VARCHAR) END"
+    return f"""WITH {CHANGES}, versioned AS (
+  SELECT *, CAST(sum(CASE WHEN "offset" % {SCHEMA_EVERY} = 0 THEN 1 ELSE 0 END) OVER (ORDER BY "offset") AS BIGINT) AS schema_version,
+    CASE WHEN any_value("offset") FILTER ("offset" % {SCHEMA_EVERY} = 0) OVER (ORDER BY "offset") IS NULL THEN 0
+      ELSE "offset" // {SCHEMA_EVERY} % {len(ROW_TYPES)} END AS kind_no FROM msgs),
+rows AS (SELECT *, CASE WHEN kind_no IN (1, 2) THEN 'n' || "offset" END AS note FROM versioned
+  WHERE "offset" % {SCHEMA_EVERY} <> 0)
+SELECT schema_version, 2 * "offset" + 1 AS seq, CASE op WHEN 'u' THEN '+U' ELSE '+I' END AS kind,
+  id, {kept('num')} AS num, note FROM rows WHERE op <> 'd'
+UNION ALL
+SELECT schema_version, 2 * "offset", CASE op WHEN 'u' THEN '-U' ELSE '-D' END,
+  id, {kept('old_num')}, note FROM rows WHERE op IN ('u', 'd')"""

@@ -94,17 +94,8 @@ def decode(
     ]
     before, after, op = (payload[n] for n in ("before", "after", "op"))
     corrupt = F.col("__m")[CORRUPT].isNotNull() | F.col("__m").isNull()
-    needs_after = ["c", "u", "r"] if insert_snapshots else ["c", "u"]
-    emits = ["d", *needs_after]
-
-    error = (
-        F.when(corrupt & (payload.isNull() | op.isNull()), "malformed message")
-        .when(payload.isNull(), "no payload")
-        .when(op.isNull(), "no op")
-        .when(op.isin("u", "d") & before.isNull(), "no before image")
-        .when(op.isin(needs_after) & after.isNull(), "no after image")
-        .when(~op.isin("c", "u", "d", "r"), "unknown op")
-    )
+    error = judged(corrupt, payload, op, before, after, insert_snapshots)
+    emits = ["c", "u", "d", *(["r"] if insert_snapshots else [])]
     if any(f.read is _source_time for f in wanted.values()):
         ms = map_value(payload["source"], "ts_ms")
         bad_ms = ms.isNotNull() & ms.try_cast("bigint").isNull()
@@ -123,6 +114,21 @@ def decode(
     )
 
 
+def judged(
+    corrupt: Column, payload: Column, op: Column, before: Column, after: Column, insert_snapshots: bool
+) -> Column:
+    """Why a message can't give a row, else NULL."""
+    needs_after = ["c", "u", "r"] if insert_snapshots else ["c", "u"]
+    return (
+        F.when(corrupt & (payload.isNull() | op.isNull()), "malformed message")
+        .when(payload.isNull(), "no payload")
+        .when(op.isNull(), "no op")
+        .when(op.isin("u", "d") & before.isNull(), "no before image")
+        .when(op.isin(needs_after) & after.isNull(), "no after image")
+        .when(~op.isin("c", "u", "d", "r"), "unknown op")
+    )
+
+
 def split_errors(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable messages, and a side output of those that can't give a row."""
     bad = F.col("decode_error").isNotNull()
@@ -210,6 +216,19 @@ def changelog(
         messages, physical, metadata,
         wrapped=wrapped, insert_snapshots=True, value=value, json_options=json_options,
     )
+    kept = [partition] if partition else []
+    return changes_of(decoded, list(_named(metadata)), order, on_error, value, kept)
+
+
+def changes_of(
+    decoded: DataFrame,
+    metadata: Sequence[str] = (),
+    order: str = "offset",
+    on_error: str = "fail",
+    value: str = "value",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The changelog of decoded messages, after the columns to ``keep``."""
     op, first = F.col("change.op"), F.col(order) * 2
 
     def entry(kind: str, image: str, seq: Column) -> Column:
@@ -222,11 +241,9 @@ def changelog(
         .when(op == "u", F.array(entry("-U", "before", first), entry("+U", "after", first + 1)))
         .when(op == "d", F.array(entry("-D", "before", first)))
     )
-    names = list(_named(metadata))
-    kept = [partition] if partition else []
     return decoded.select(
-        *kept, "change.meta", F.explode(_checked(entries, on_error, value)).alias("e")
-    ).select(*kept, "e.seq", "e.kind", "e.row.*", *[F.col(f"meta.{n}").alias(n) for n in names])
+        *keep, "change.meta", F.explode(_checked(entries, on_error, value)).alias("e")
+    ).select(*keep, "e.seq", "e.kind", "e.row.*", *[F.col(f"meta.{n}").alias(n) for n in metadata])
 
 
 def to_debezium_json(changes: DataFrame, columns: Sequence[str]) -> Column:

@@ -263,3 +263,39 @@ def with_schema_changes(events: DataFrame) -> DataFrame:
     return debezium_messages(events).withColumn(
         "value", F.when(F.col("offset") % 10 == 0, change).otherwise(F.col("value"))
     )
+
+
+# The row types that the schema changes go through, by turns.
+ROW_TYPES = (
+    (("id", "INT"), ("num", "INT")),
+    (("id", "INT"), ("num", "INT"), ("note", "VARCHAR(20)")),
+    (("id", "INT"), ("num", "BIGINT"), ("note", "VARCHAR(20)")),
+    (("id", "INT"), ("num", "VARCHAR(20)")),
+)
+SCHEMA_EVERY = 50
+
+
+def with_schema_history(events: DataFrame) -> DataFrame:
+    """The change messages, with a schema change in place of every 50th event id.
+
+    All rows have ``id``, ``num`` as text with zeros before it, and ``note``, whatever
+    the row type says.
+    """
+    turn = F.floor(F.col("offset") / SCHEMA_EVERY) % len(ROW_TYPES)
+    kinds = [
+        F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("typeName")) for n, t in kind])
+        for kind in ROW_TYPES
+    ]
+    columns = F.get(F.array(*kinds), turn.cast("int"))
+    table = F.struct(F.struct(columns.alias("columns")).alias("table"))
+    schema = F.to_json(F.struct(F.lit("ALTER TABLE test").alias("ddl"), F.array(table).alias("tableChanges")))
+
+    def image(name: str) -> Column:
+        row = F.col(name)
+        filled = F.lpad(row["num"].cast("string"), 12, "0").alias("num")
+        note = F.concat(F.lit("n"), F.col("offset").cast("string")).alias("note")
+        return F.when(row.isNotNull(), F.struct(row["id"].alias("id"), filled, note)).alias(name)
+
+    body = F.to_json(F.struct(image("before"), image("after"), "op", "ts_ms", "source"), {"ignoreNullFields": "false"})
+    value = F.when(F.col("offset") % SCHEMA_EVERY == 0, schema).otherwise(body)
+    return debezium_rows(events).select("offset", value.alias("value"))
