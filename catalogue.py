@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,7 @@ from tidelog.sources.topics import (
     recorded_topic,
 )
 from tidelog.streaming.clock import wait_until_closed
+from tidelog.streaming.committed import CommittedReader, send_to_files
 from tidelog.streaming.keyed import BucketedFiles, KeyedFiles
 from tidelog.streaming.late import kept_rows, late_rows
 from tidelog.streaming.run import run_to_end
@@ -833,6 +835,29 @@ def _(spark, sf):
     )
 
 
+@register("stream_committed_topic", ORACLES["stream_feed_to_topic"])
+def _(spark, sf):
+    """The feed passed on by attempts that fail after they have sent, read without repeats."""
+    root = scratch_dir(spark, "committed")
+    send, lost = send_to_files(f"{root}/data"), []
+
+    def fails_once(records: DataFrame) -> None:
+        send(records)
+        if not lost:
+            lost.append(True)
+            raise ConnectionError("lost after sending")
+
+    feed = _recorded_feed(spark, sf)
+    try:
+        streams.feed_to_committed_topic(feed, root, send=fails_once).awaitTermination()
+    except StreamingQueryException:
+        streams.feed_to_committed_topic(feed, root, send=fails_once).awaitTermination()
+    columns = "value string, headers array<struct<key:string,value:binary>>"
+    reader = CommittedReader(f"{root}/read", f"{root}/manifest")
+    run_to_end(spark.readStream.schema(columns).parquet(f"{root}/data"), f"{root}/read_checkpoint", each_batch=reader)
+    return reader.read(spark, columns).select(message_id().alias("message_id"), "value")
+
+
 @register("stream_cdc_append_log", _APPEND)
 def _(spark, sf):
     root = scratch_dir(spark, "append")

@@ -515,3 +515,23 @@ def test_lake_table_fits_its_merge_and_hides_removed_rows(spark, folder):
         assert [tuple(r) for r in LakeUpsert("keyed_lake", ["id"]).read(spark).collect()] == [(1, 2, None)]
     finally:
         catalog.drop_table(spark, "keyed_lake")
+
+
+def test_a_retraction_batch_is_read_once(spark, folder, monkeypatch):
+    """Of all that a batch starts, only what stores its columns reads the input."""
+    orders = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "a", 3)], "order_id bigint, name string, revenue bigint")
+    orders.write.parquet(f"{folder}/in")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    batch = spark.read.parquet(f"{folder}/in").withColumn("revenue", counted.asNondeterministic()("revenue"))
+    for compact in (False, True):
+        sink = RetractingSum(f"{folder}/{compact}", ["name"], "revenue", "order_id", "rev_sum", compact=compact, hot_rows=1)
+        before = seen.value
+        sink(batch, 0)
+        assert seen.value - before == 3
+        assert {r["name"]: r.rev_sum for r in KeyedFiles(spark, f"{folder}/{compact}/sums", ["name"]).read().collect()} == {"a": 4, "b": 2}

@@ -111,7 +111,7 @@ def _plain(kind: Column) -> Column:
 
 def _read(image: Column, field: T.StructField) -> tuple[Column, Column]:
     """A column of an image in the target's type, and whether its text doesn't fit."""
-    raw, kind = F.get(F.array(image[field.name]), F.lit(0)), F.col("__types")[field.name]
+    raw, kind = image[field.name], F.col("__types")[field.name]
     value = F.when(kind.isNull(), F.lit(None).cast(field.dataType))
     for reader, names in SQL_TYPES.items():
         if reader != "string":

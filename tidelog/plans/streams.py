@@ -11,7 +11,7 @@ the first batch after its window closed is still counted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from tidelog.functions import wall_clock, words
 from tidelog.operators.windows import slowest_watermark, window_bounds, with_event_time, word_counts
 from tidelog.plans import feeds, logs
 from tidelog.streaming.clock import ClockWindows, clock_counts
+from tidelog.streaming.committed import CommittedBatches, send_to_files, send_to_topic
 from tidelog.streaming.keyed import KeyedFiles
 from tidelog.streaming.late import LateGate
 from tidelog.streaming.retractions import RetractingSum
@@ -241,6 +242,23 @@ def feed_to_topic(
     return start(sent, f"{root}/checkpoint", interval=interval, **target)
 
 
+def feed_to_committed_topic(
+    messages: DataFrame,
+    root: str,
+    topic_options: dict[str, str] | None = None,
+    interval: str | None = None,
+    send: Callable[[DataFrame], None] | None = None,
+) -> StreamingQuery:
+    """Change messages passed on unchanged; `CommittedReader` gives each of them once."""
+    if send is None:
+        send = (
+            send_to_topic({**DURABLE_OPTIONS, **topic_options}) if topic_options else send_to_files(f"{root}/data")
+        )
+    sent = text_records(messages, message_id=["topic", "partition", "offset"])
+    sink = CommittedBatches(f"{root}/manifest", "feed", send)
+    return start(sent, f"{root}/checkpoint", each_batch=sink, interval=interval)
+
+
 def append_log(
     records: DataFrame, root: str, interval: str | None = None, **options
 ) -> StreamingQuery:

@@ -21,6 +21,9 @@ class RetractingSum:
     of that batch, so a replay computes and replaces the same files. Rows of a
     batch are taken in ``order``. Hot keys are cut into slices as in the batch
     operator; ``compact`` gives one change per key and batch instead of per row.
+
+    The batch is read once: its few columns are written under ``rows``, and everything
+    else is worked out from there, so a topic isn't fetched again for each step.
     """
 
     path: str
@@ -33,10 +36,13 @@ class RetractingSum:
     hot_rows: int = HOT_ROWS
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, stored = batch.sparkSession, f"{self.path}/rows/batch={batch_id:012d}"
+        batch.select(*self.keys, self.value, self.order).write.mode("overwrite").parquet(stored)
+        batch = spark.read.schema(batch.select(*self.keys, self.value, self.order).schema).parquet(stored)
         if batch.isEmpty():
             return
         sums = KeyedFiles(
-            batch.sparkSession, f"{self.path}/sums", self.keys, compact_every=self.compact_every
+            spark, f"{self.path}/sums", self.keys, compact_every=self.compact_every
         )
         opening = self._touched(sums.read(before_batch=batch_id), batch)
         if self.compact:
