@@ -48,6 +48,7 @@ from tidelog.streaming.clock import wait_until_closed
 from tidelog.streaming.committed import CommittedReader, send_to_files
 from tidelog.streaming.keyed import BucketedFiles, KeyedFiles
 from tidelog.streaming.late import kept_rows, late_rows
+from tidelog.streaming.packed import PackedTable
 from tidelog.streaming.run import run_to_end
 from tidelog.streaming.sinks import json_records, message_id
 
@@ -746,6 +747,27 @@ def _(spark, sf):
     )
 
 
+@register(
+    "stream_packed_counts",
+    sql.warehouse("5 seconds", sql.closed_windows("5 seconds", "0 seconds")),
+)
+def _(spark, sf):
+    """Counts of four batches by day; the days before the last are packed between them and after."""
+    root = scratch_dir(spark, "packed")
+    table = PackedTable(spark, f"{root}/table", WAREHOUSE_SCHEMA, "dt")
+    events = _events(spark, sf)
+    last = events.agg(F.max("event_id")).first()[0]
+    for number in range(4):
+        step = F.floor(F.col("event_id") * 4 / F.lit(last + 1)) == number
+        events.filter(step).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rebuilt.EVENTS_SCHEMA).parquet(f"{root}/in")
+        view = streams.timed_view(rebuilt.server_logs(stream))
+        streams.packed_counts(view, table, root).awaitTermination()
+        days = sorted(r.dt for r in table.read().select("dt").distinct().collect())
+        table.pack(lambda day, newest=days[-1:]: [day] != newest)
+    return table.read()
+
+
 @register("stream_distinct_ips", sql.distinct_ips("10 seconds", closed=_CLOSED_10S))
 def _(spark, sf):
     root = scratch_dir(spark, "distinct")

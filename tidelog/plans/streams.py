@@ -24,6 +24,7 @@ from tidelog.streaming.clock import ClockWindows, clock_counts
 from tidelog.streaming.committed import CommittedBatches, send_to_files, send_to_topic
 from tidelog.streaming.keyed import KeyedFiles
 from tidelog.streaming.late import LateGate
+from tidelog.streaming.packed import PackedTable
 from tidelog.streaming.retractions import RetractingSum
 from tidelog.streaming.run import LOG_INTERVAL, start
 from tidelog.streaming.sinks import (
@@ -142,6 +143,14 @@ def lake_counts(
     )
 
 
+def packed_counts(
+    view: DataFrame, table: PackedTable, root: str, size: str = "5 seconds", interval: str | None = None
+) -> StreamingQuery:
+    """Counts appended to a table by day whose closed days can be packed into few files."""
+    counts = logs.warehouse_columns(logs.status_counts(view, size))
+    return start(counts, f"{root}/checkpoint", each_batch=table, interval=interval)
+
+
 def two_sinks(
     log_stream: DataFrame, root: str, size: str = "1 minute", interval: str | None = None
 ) -> tuple[StreamingQuery, StreamingQuery]:

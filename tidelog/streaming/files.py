@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame, SparkSession
 
 MARKER = "_SUCCESS"
 
@@ -17,9 +22,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def address(spark: SparkSession, path: str) -> str:
+    """The whole address of a folder, as pyarrow reads it in tasks."""
+    fs, jvm_path = _open(spark, path)
+    whole = fs.makeQualified(jvm_path).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", whole)
+
+
+def touched(folders: DataFrame, path: str) -> DataFrame:
+    """``folder`` of each row of ``folders`` (below ``path``), after a task has put a marker into it."""
+    base = address(folders.sparkSession, path)
+
+    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = FileSystem.from_uri(base)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                store.open_output_stream(f"{place}/{folder}/{MARKER}").close()
+            yield batch
+
+    return folders.select("folder").mapInArrow(touch, "folder string")
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files in a folder and below it."""
     fs, jvm_path = _open(spark, path)
-    fs.create(jvm_path, True).close()
+    return fs.getContentSummary(jvm_path).getLength()
 
 
 def rename(spark: SparkSession, old: str, new: str) -> None:

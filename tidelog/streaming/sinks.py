@@ -7,11 +7,12 @@ that is replayed after a failure replaces what its first attempt wrote.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,9 +88,11 @@ class PartitionedJson:
     them when replayed; the marker goes out last.
 
     A partition is complete once the watermark has passed its end (plus ``delay``),
-    also when no more rows come. The watermark of a batch is in the query's
-    ``checkpoint``; without one, the latest window that closed stands for it.
-    ``writers`` tasks at most share a partition of one batch, so a minute with most of
+    also when no more rows come. The watermark of a batch is in the offset log of the
+    query's ``checkpoint``, an internal format of Spark that a test watches; without a
+    checkpoint, the latest window that closed stands for it. Open partitions are a table
+    under ``_open``, one state per batch, and tasks write the markers of those that close:
+    the driver sees the newest one only, however many minutes a batch closes. ``writers`` tasks at most share a partition of one batch, so a minute with most of
     the rows isn't one task's work.
 
     Names of partitions sort in time order. The newest complete one is remembered
@@ -105,16 +108,15 @@ class PartitionedJson:
     zone: str = "UTC"
     writers: int = 4
     checkpoint: str | None = None
-    _pending: set[str] | None = field(default=None, repr=False)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            rows = self.to_columns(batch)
+            rows, earlier = self.to_columns(batch), self._open(spark, batch_id)
             if not rows.isEmpty():
                 self._write(rows.drop("window"), batch_id)
-            self._mark(spark, rows, batch_id)
+            self._mark(spark, rows, earlier, batch_id)
         finally:
             batch.unpersist()
 
@@ -130,34 +132,50 @@ class PartitionedJson:
             .json(self.path)
         )
 
-    def _mark(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
-        """Metadata only: one entry per partition of the batch, never per row."""
-        if self._pending is None:
-            self._pending = self._unmarked(spark)
-        for row in rows.select(*self.partition_by).distinct().toLocalIterator():
-            self._pending.add("/".join(f"{p}={row[p]}" for p in self.partition_by))
+    def _mark(self, spark: SparkSession, rows: DataFrame, earlier: DataFrame, batch_id: int) -> None:
+        """Of the partitions open so far and those of the batch, markers for the closed ones."""
         until = self._watermark(spark, batch_id)
         if until is None:
             until = rows.agg(F.max(F.unix_millis(_instant("window.end")))).first()[0]
-        if until is None:
-            return
-        passed = datetime.fromtimestamp(until / 1000, timezone.utc)
-        done = sorted(f for f in self._pending if self._end(f) + self.delay <= passed)
-        for folder in done:
-            files.touch(spark, f"{self.path}/{folder}/{files.MARKER}")
-        if done:
-            files.write_text(spark, f"{self.path}/{_NEWEST}", done[-1])
-        self._pending -= set(done)
+        passed = None if until is None else datetime.fromtimestamp(until / 1000, timezone.utc)
+        name = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in self.partition_by])
+        open_ = rows.select(name.alias("folder")).unionByName(earlier).distinct()
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                folders = batch.column("folder").to_pylist()
+                closed = [passed is not None and self._end(f) + self.delay <= passed for f in folders]
+                yield pa.RecordBatch.from_arrays([batch.column("folder"), pa.array(closed, pa.bool_())], ["folder", "closed"])
+
+        state = self._state(batch_id)
+        judged = open_.mapInArrow(judge, "folder string, closed boolean")
+        judged.write.mode("overwrite").partitionBy("closed").parquet(state)
+        if files.exists(spark, f"{state}/closed=true"):
+            done = files.touched(spark.read.schema("folder string").parquet(f"{state}/closed=true"), self.path)
+            newest = done.agg(F.max("folder")).first()[0]
+            files.write_text(spark, f"{self.path}/{_NEWEST}", newest)
+
+    def _state(self, batch_id: int) -> str:
+        return f"{self.path}/_open/batch={batch_id:012d}"
+
+    def _open(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Partitions that were open before a batch; found by their markers if no batch before has said so."""
+        before = self._state(batch_id - 1)
+        if files.exists(spark, f"{before}/closed=false"):
+            return spark.read.schema("folder string").parquet(f"{before}/closed=false")
+        known = files.exists(spark, f"{before}/{files.MARKER}")
+        found = [] if known else sorted(self._unmarked(spark))
+        return spark.createDataFrame([(f,) for f in found], "folder string")
 
     def _watermark(self, spark: SparkSession, batch_id: int) -> int | None:
         """Milliseconds of the watermark by which the batch closed its windows."""
         if self.checkpoint is None:
             return None
-        planned = files.read_text(spark, f"{self.checkpoint}/offsets/{batch_id}") or ""
-        for line in planned.splitlines():
+        log = f"{self.checkpoint}/offsets/{batch_id}"
+        for line in (files.read_text(spark, log) or "").splitlines():
             if '"batchWatermarkMs"' in line:
                 return json.loads(line)["batchWatermarkMs"]
-        return None
+        raise ValueError(f"no batchWatermarkMs in {log}: this version of Spark writes its offset log otherwise")
 
     def _end(self, folder: str) -> datetime:
         values = dict(part.split("=", 1) for part in folder.split("/"))
