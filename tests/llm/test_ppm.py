@@ -14,29 +14,34 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 class Plain:
-    def __init__(self, texts):
-        self.followers = defaultdict(Counter)
+    """Update exclusion (a shorter context learns what the longer one hadn't seen), escapes of method D."""
+
+    def __init__(self, texts, order=4):
+        self.order, self.followers = order, defaultdict(Counter)
         for text in texts:
-            data = b"\xff" * 4 + text.encode() + b"\xff"
+            data = b"\xff" * 4 + text.encode().lower() + b"\xff"
             for i in range(4, len(data)):
-                for k in range(5):
-                    self.followers[data[i - k : i]][data[i]] += 1
+                for k in range(order, -1, -1):
+                    own = self.followers[data[i - k : i]]
+                    own[data[i]] += 1
+                    if own[data[i]] > 1:
+                        break
 
     def symbol(self, context, s):
         excluded, p = set(), 1.0
-        for k in range(4, -1, -1):
+        for k in range(self.order, -1, -1):
             own = {a: c for a, c in self.followers.get(context[4 - k :], {}).items() if a not in excluded}
             if not own:
                 continue
-            whole = sum(own.values()) + len(own)
+            whole = 2 * sum(own.values())
             if s in own:
-                return p * own[s] / whole
+                return p * (2 * own[s] - 1) / whole
             p *= len(own) / whole
             excluded |= set(own)
         return p / (256 - len(excluded))
 
     def score(self, text):
-        data = b"\xff" * 4 + text.encode() + b"\xff"
+        data = b"\xff" * 4 + text.encode().lower() + b"\xff"
         return sum(math.log10(self.symbol(data[i - 4 : i], data[i])) for i in range(4, len(data)))
 
 
@@ -88,5 +93,15 @@ def test_whole_table(spark):
     docs = [tuple(r) for r in queries.read(spark, SF, "documents").select("doc_id", "text").collect()]
     rows = queries.op2_ppm_scores(spark, SF).collect()
     check(docs, rows)
-    held = [r for r in rows if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    held = {r.doc_id: r for r in rows if r.held_out}
+    known = [t or "" for i, t in docs if i not in held]
+    for order in range(4):  # proper models of bytes, with less context
+        shorter = Plain(known, order)
+        assert sum(r.score for r in held.values()) > sum(shorter.score(t or "") for i, t in docs if i in held), order
+
+
+def test_capitals_and_repeated_rows(spark):
+    ids = [i for i in range(80) if zlib.crc32(str(i).encode()) % 7 != 2][:6]
+    docs = [(i, "The Cat SAT on the mat") for i in ids] + [(ids[0], "THE cat sat ON the mat")]
+    rows = ppm.held_out_scores(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert len(rows) == 7 and len({(r.score, r.base_score, r.n_known) for r in rows}) == 1

@@ -1,10 +1,12 @@
 """Language-model scores by prediction by partial matching (PPM).
 
 The model is a trie of byte contexts up to four bytes deep with the counts of what
-followed each in the training texts. A symbol is predicted from the longest context
-that saw it; each context that didn't costs an escape (method C: as many parts as the
-context has distinct followers), and its followers are excluded below it. A text ends
-with an end symbol, so the probabilities of all texts sum to at most one.
+followed each in the training texts, A-Z taken as a-z. A symbol is predicted from the
+longest context that saw it; each context that didn't costs an escape (method D: half a
+count for each distinct follower), and its followers are excluded below it. The counts of
+a shorter context are those of update exclusion: how many contexts of one byte more have
+seen the symbol. A text ends with an end symbol, so the probabilities of all texts sum
+to at most one.
 
 The trie is never in one place. Tables of five-byte paths, from all training texts,
 are dealt by the two bytes nearest to the predicted one, so that a task has every
@@ -20,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,8 @@ CHUNK_BYTES = 1 << 25
 END = 0xFF  # no byte of UTF-8: ends a text, and stands before it
 END_TOKEN = np.uint64(0)
 _PIECE = 1 << 22
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
 def paths(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -39,7 +43,7 @@ def paths(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     lengths = np.diff(offsets)
     padded = np.full(len(data) + (ORDER + 1) * len(lengths), END, np.uint64)
     starts = offsets[:-1] + (ORDER + 1) * np.arange(len(lengths)) + ORDER
-    padded[np.arange(len(data)) + np.repeat(starts - offsets[:-1], lengths)] = data
+    padded[np.arange(len(data)) + np.repeat(starts - offsets[:-1], lengths)] = _LOWER[data]
     code = np.zeros(len(padded) - ORDER, np.uint64)
     for k in range(ORDER + 1):
         code |= padded[k : len(padded) - ORDER + k] << np.uint64(8 * (ORDER - k))
@@ -130,7 +134,7 @@ def _level(context: np.ndarray, symbol_counts: np.ndarray, parents: np.ndarray)
 
 def _step(total: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 of the parts of a context and of its escape; a context without followers costs nothing."""
-    parts = np.log10(np.maximum(total + distinct, 1))
+    parts = np.log10(np.maximum(2 * total, 1))
     return parts, np.where(distinct > 0, np.log10(np.maximum(distinct, 1)) - parts, 0.0)
 
 
@@ -138,15 +142,16 @@ def code_lengths(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np
     """log10 probability of the last byte of each path after the four before it.
 
     ``codes`` are all paths of the same third and fourth byte with their training
-    counts, ``pairs`` the counts of each byte (column) after each other (row).
+    counts, ``pairs`` says after how many bytes before it each byte (row) was followed by
+    each (column).
     """
     codes = codes.astype(np.int64)
     symbol, counts = codes & 0xFF, counts.astype(np.float64)
     last = int(codes[0] >> 8) & 0xFF
-    c0, c1 = pairs.sum(0).astype(np.float64), pairs[last].astype(np.float64)
-    c2 = np.bincount(symbol, counts, 256)
+    c0, c1 = (pairs > 0).sum(0).astype(np.float64), pairs[last].astype(np.float64)
     key3, of3 = np.unique(codes & 0xFFFFFFFF, return_inverse=True)
-    c3 = np.bincount(of3, counts, len(key3))
+    c3 = np.bincount(of3, counts > 0, len(key3))
+    c2 = np.bincount(key3 & 0xFF, c3 > 0, 256)
     context3 = np.unique(key3 >> 8, return_inverse=True)[1]
     context4 = np.unique(codes >> 8, return_inverse=True)[1]
     total4, distinct4, shared4 = _level(context4, counts, c3[of3])
@@ -164,7 +169,7 @@ def code_lengths(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np
     score, open_ = np.zeros(len(codes)), np.ones(len(codes), bool)
     for own, (parts, escape) in zip((counts, c3[of3], c2[symbol], c1[symbol], c0[symbol]), steps, strict=True):
         hit = open_ & (own > 0)
-        gain = np.where(hit, np.log10(np.maximum(own, 1)) - parts, escape)
+        gain = np.where(hit, np.log10(np.maximum(2 * own - 1, 1)) - parts, escape)
         score += np.where(open_, gain, 0.0)
         open_ &= ~hit
     return score - np.where(open_, np.log10(max(1, 256 - int((c0 > 0).sum()))), 0.0)
@@ -172,8 +177,9 @@ def code_lengths(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np
 
 def _learned_paths(totals: DataFrame) -> DataFrame:
     """(key, value): the code length of every path that some text has."""
-    pair = F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("pair")
-    rows = totals.groupBy(pair).agg(F.sum("n").alias("n")).filter("n > 0").collect()  # 2^16 rows at most
+    pair = F.col("triple").bitwiseAND(F.lit(0xFFFF)).alias("pair")
+    triples = totals.filter("n > 0").select(F.col("key").bitwiseAND(F.lit(0xFFFFFF)).alias("triple")).distinct()
+    rows = triples.groupBy(pair).agg(F.count("*").alias("n")).collect()  # 2^16 rows at most
     counts = np.zeros((256, 256), np.int64)
     for row in rows:
         counts[row.pair >> 8, row.pair & 0xFF] = row.n
@@ -228,20 +234,15 @@ def _scored(table: DataFrame, answers: DataFrame, total: int, distinct: int) ->
 def score(docs: DataFrame) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text, learned): model and token scores, log10.
 
-    ``learned`` marks the training texts. A null or empty text is only its end. Tokens
+    ``learned`` marks the training texts. Both scores take A-Z as a-z. A null or empty text is only its end. Tokens
     are told apart by 64-bit hashes. Without training texts every symbol has the same
     probability. Repeated rows count, and are scored, each.
     """
     table = stored(_chunked(docs), "chunks")
-    every = Window.partitionBy("key")
-    found = _asked(table, lambda data, offsets: tokens(data, offsets)[0])
-    found = found.withColumns({
-        "value": F.sum("n").over(every), "first": F.row_number().over(every.orderBy("chunk")) == 1
-    })
-    found = stored(found, "tokens")
-    total, distinct = found.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("first") & (F.col("value") > 0), 1))
-    ).first()
+    own = stored(_asked(table, lambda data, offsets: tokens(data, offsets)[0]), "tokens")
+    counts = stored(own.groupBy("key").agg(F.sum("n").alias("value")), "counts")
+    total, distinct = counts.agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.when(F.col("value") > 0, 1))).first()
+    found = own.select("chunk", "key").join(counts, "key")
     asked = stored(_asked(table, paths), "paths")
     totals = stored(asked.groupBy("key").agg(F.sum("n").alias("n")), "totals")
     lengths = _learned_paths(totals)
