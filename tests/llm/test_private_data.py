@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import private_data, queries
 
@@ -118,3 +120,42 @@ def test_classifier_follows_targets():
     at = lambda v, k: sum(w * x for w, x in zip(weights, private_data._features(v, k)))
     assert at(yes, "secret") > 1 and at(no, "number") < -1
     assert private_data.fit_classifier([]) == pytest.approx([0.0] * len(weights))
+
+
+def timed(spark, texts):
+    begin = time.perf_counter()
+    rows = private_data.private_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    return time.perf_counter() - begin, rows
+
+
+def test_many_matches_in_one_text(spark):
+    """The time grows with the matches, not with their square; positions stay right."""
+    text = lambda n: " ".join(f"mail a{i}@b.example at +49 30 {i:07d}" for i in range(n))
+    timed(spark, [text(100)])
+    few, _ = timed(spark, [text(5_000)])
+    many, rows = timed(spark, [text(50_000)])
+    assert many < few + 25
+    assert rows[0].n_email == 50_000 and rows[0].n_phone == 50_000
+    last = [s for s in rows[0].spans.split(",") if s.startswith("email:")][-1].split(":")
+    assert text(50_000)[int(last[1]) : int(last[2])] == "a49999@b.example"
+
+
+def test_candidates_clear_of_base_spans(spark):
+    """Against all pairs, over spans that nest, touch and repeat."""
+    rng = random.Random(12)
+    rows = []
+    for n in range(60):
+        spans = lambda count: sorted((s, s + rng.randint(1, 12)) for s in (rng.randint(0, 300) for _ in range(count)))
+        rows.append((n, [(s, e, "t", "b") for s, e in spans(rng.choice([0, 1, 5, 40, 700]))], spans(rng.choice([0, 1, 5, 40]))))
+    df = spark.createDataFrame(rows, f"id int, candidates array<{private_data._SPAN}>, base array<struct<s:bigint,e:bigint>>")
+    found = df.withColumn("free", private_data.clear_of(F.col("candidates"), F.col("base"))).collect()
+    for (n, candidates, base), row in zip(rows, sorted(found, key=lambda r: r.id), strict=True):
+        want = [c[:2] for c in candidates if not any(s < c[1] and c[0] < e for s, e in base)]
+        assert sorted((c.s, c.e) for c in row.free) == sorted(want), n
+
+
+def test_counts_of_further_kinds(spark):
+    _, rows = timed(spark, ["write to jo (at) mail (dot) example or key = A1b2C3d4E5f6A1b2C3d4E5f6A1b2C3d4E5f6", None, ""] * 10)
+    kinds = lambda r, k: sum(s.startswith(k) for s in r.spans.split(","))
+    assert all((r.n_address, r.n_number, r.n_secret) == tuple(kinds(r, k) for k in ("address:", "number:", "secret:")) for r in rows)
+    assert any(r.n_secret for r in rows)

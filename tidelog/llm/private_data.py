@@ -68,25 +68,92 @@ VALID: Mapping[str, Callable[[Column], Column]] = {
 }
 
 
+PART = 256  # entries of an array that are worked through in one go
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(
+    items: Column, value: Callable[[Column], Column], join: Callable[[Column, Column], Column], start: int,
+    made: Callable[[Column, Column], Column], kind: str,
+) -> Column:
+    """``made(item, so far)`` for every entry: ``so far`` joins the values of the entries before it.
+
+    An array that grows by an entry is copied whole, so entries go through in parts of
+    ``PART``: the time grows with the array, not with its square.
+    """
+    zero, none = F.lit(start).cast("bigint"), F.array().cast(f"array<{kind}>")
+
+    def opened(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, zero, lambda held, x: join(held, value(x))))
+        begin = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("all"))
+        openings = F.aggregate(
+            totals, begin,
+            lambda held, t: F.struct(join(held["at"], t).alias("at"), F.concat(held["all"], F.array(held["at"])).alias("all")),
+            lambda held: held["all"],
+        )
+        return F.arrays_zip(parts.alias("part"), openings.alias("at"))
+
+    def worked(pair: Column) -> Column:
+        return F.aggregate(
+            pair["part"], F.struct(pair["at"].alias("at"), none.alias("all")),
+            lambda held, x: F.struct(
+                join(held["at"], value(x)).alias("at"), F.concat(held["all"], F.array(made(x, held["at"]))).alias("all")
+            ),
+            lambda held: held["all"],
+        )
+
+    def whole(entries: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(entries) / PART) - 1, F.lit(0)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(entries, k * PART + 1, F.lit(PART)))
+        return F.flatten(_bound(parts, lambda p: F.transform(opened(p), worked)))
+
+    return _bound(items, whole)
+
+
+_SPAN = "struct<s:bigint,e:bigint,text:string,before:string>"
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Matches from left to right: code points ``s`` to ``e``, the text, and what stands before it."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.arrays_zip(between.alias("gap"), found.alias("text"))
-    none = "array<struct<s:bigint,e:bigint,text:string,before:string>>"
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(none).alias("all"))
-
-    def add(held: Column, pair: Column) -> Column:
-        begin = held["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["text"])
-        one = F.struct(
-            begin.alias("s"), end.alias("e"), pair["text"].alias("text"),
-            F.lower(F.right(pair["gap"], F.lit(CONTEXT))).alias("before"),
-        )
-        return F.when(pair["text"].isNull(), held).otherwise(
-            F.struct(end.alias("at"), F.concat(held["all"], F.array(one)).alias("all"))
+
+    def span(pair: Column, at: Column) -> Column:
+        begin = at + F.length(pair["gap"])
+        return F.struct(
+            begin.cast("bigint").alias("s"), (begin + F.length(pair["text"])).cast("bigint").alias("e"),
+            pair["text"].alias("text"), F.lower(F.right(pair["gap"], F.lit(CONTEXT))).alias("before"),
         )
 
-    return F.aggregate(pairs, start, add, lambda held: held["all"])
+    length = lambda pair: (F.length(pair["gap"]) + F.coalesce(F.length(pair["text"]), F.lit(0))).cast("bigint")
+    # What follows the last match has no text.
+    return F.filter(running(pairs, length, lambda a, b: a + b, 0, span, _SPAN), lambda m: m["text"].isNotNull())
+
+
+_FAR = 1 << 60
+
+
+def clear_of(candidates: Column, base: Column) -> Column:
+    """The candidates that touch no base span, in order: each looks at the spans before and after it, not at all."""
+    event = "struct<s:bigint,e:bigint,own:int,i:int>"
+    own = F.transform(candidates, lambda c, i: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.lit(1).alias("own"), i.alias("i")))
+    others = F.transform(base, lambda b: F.struct(b["s"].alias("s"), b["e"].alias("e"), F.lit(0).alias("own"), F.lit(-1).alias("i")))
+    events = F.array_sort(F.concat(others, own).cast(f"array<{event}>"))  # a span that begins with a candidate comes before it
+    never = lambda x, touched: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(touched, 2).otherwise(x["own"]).alias("own"), x["i"].alias("i"))
+    before = running(
+        events, lambda x: F.when(x["own"] == 0, x["e"]).otherwise(F.lit(-1).cast("bigint")), F.greatest, -1,
+        lambda x, end: never(x, (x["own"] == 1) & (end > x["s"])), event,
+    )
+    after = running(
+        F.reverse(before), lambda x: F.when(x["own"] == 0, x["s"]).otherwise(F.lit(_FAR).cast("bigint")), F.least, _FAR,
+        lambda x, begin: never(x, (x["own"] == 1) & (begin < x["e"])), event,
+    )
+    free = F.filter(F.reverse(after), lambda x: x["own"] == 1)
+    return F.transform(free, lambda x: F.get(candidates, x["i"]))
 
 
 def _when(test: Column, spans: Column) -> Column:
@@ -249,7 +316,7 @@ def _of_kind(spans: Column, kind: str) -> Column:
 
 
 def private_spans(docs: DataFrame) -> DataFrame:
-    """One row per document: counts of base spans, their digest, and all spans as text.
+    """One row per document: counts of base spans, their digest, all spans as text, and counts of the further kinds.
 
     Spans are code points, end exclusive; a candidate that touches a base span is left
     to it. A null or empty text has no spans. Repeated rows have a row each; other
@@ -258,15 +325,14 @@ def private_spans(docs: DataFrame) -> DataFrame:
     found = stored(found_spans(docs), "spans")
     weights = learn(found)
     base = F.concat(*[F.col(k) for k in BASE])
-    accepted = F.filter(
-        "candidates",
-        lambda c: (_score(c, weights) >= 0.5) & ~F.exists(F.col("base"), lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])),
-    )
-    rows = found.withColumn("base", base).withColumn("accepted", accepted)
+    likely = F.filter("candidates", lambda c: _score(c, weights) >= 0.5)
+    free = F.when(F.size("likely") > 0, clear_of(F.col("likely"), F.col("base"))).otherwise(F.col("likely"))
+    rows = stored(found.withColumn("base", base).withColumn("likely", likely), "likely").withColumn("accepted", free)
     written = F.concat(*[_written(k, F.col(k)) for k in BASE])
     further = F.concat(*[_written(k, _of_kind(F.col("accepted"), k)) for k in EXTRA])
     return rows.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(F.array_join(written, ","), 256).alias("base_sha256"),
         F.array_join(F.concat(written, further), ",").alias("spans"),
+        *[F.size(_of_kind(F.col("accepted"), k)).cast("long").alias(f"n_{k}") for k in EXTRA],
     )
