@@ -94,3 +94,11 @@ def test_decontaminate_keeps_columns_and_clean_rows(spark):
     kept = decontaminate.decontaminate(docs, items)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def test_clashing_names(spark):
+    rows = [(1, "one two three", "a", "b", "c", "d"), (2, "nothing here", "e", "f", "g", "h"), (None, None, "i", "j", "k", "l"), (2, "nothing here", "e", "f", "g", "h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `__words` string, `__spans` string, `__items` string, c0 string")
+    kept = decontaminate.decontaminate(docs, spark.createDataFrame([(1, "two three")], "item_id bigint, text string"))
+    assert kept.dtypes == docs.dtypes and sorted(map(tuple, kept.collect()), key=str) == sorted(rows[1:], key=str)
+    assert decontaminate.decontaminate(docs.limit(0), docs.selectExpr("doc_id AS item_id", "text")).collect() == []

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.texts import NOT_ALPHANUMERIC, Words, pieces, text_buffer
+from tidelog.llm.texts import NOT_ALPHANUMERIC, Words, pieces, renamed, text_buffer
 from tidelog.session import scratch_dir
 
 WINDOW = 13
@@ -364,9 +364,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") ->
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents; all other rows and columns as they are."""
-    columns = docs.columns
-    found = find_spans(docs, benchmark)
-    return found.filter(~((_hits() > 0) & (20 * _hits() >= F.col("__words")))).select(
-        *[F.col(f"`{c}`") for c in columns]
-    )
+    """``docs`` without contaminated documents; all other rows and columns as they are, whatever their names.
+
+    A null or empty text has no words and stays; so do null ids. Repeated rows go or stay
+    together. Without items, or in an empty table, nothing goes.
+    """
+    own, back = renamed(docs, "text")
+    found = find_spans(own, benchmark)
+    return found.filter(~((_hits() > 0) & (20 * _hits() >= F.col("__words")))).select(*back)
