@@ -22,6 +22,7 @@ from tidelog.streaming.sinks import (
 
 
 def test_inline_rows_three_ways(spark, capsys):
+    # The inline rows, and the names of tables below.
     orders = from_rows(
         spark,
         [("Jack", "FRANCE", 10), ("Rose", "ENGLAND", 30), ("Jack", "FRANCE", 20)],
