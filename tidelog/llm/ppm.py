@@ -240,9 +240,9 @@ def score(docs: DataFrame) -> DataFrame:
     """
     table = stored(_chunked(docs), "chunks")
     own = stored(_asked(table, lambda data, offsets: tokens(data, offsets)[0]), "tokens")
-    counts = stored(own.groupBy("key").agg(F.sum("n").alias("value")), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.when(F.col("value") > 0, 1))).first()
-    found = own.select("chunk", "key").join(counts, "key")
+    total = own.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    distinct = own.filter("n > 0").select("key").distinct().count()
+    found = own.select("chunk", "key").join(own.groupBy("key").agg(F.sum("n").alias("value")), "key")
     asked = stored(_asked(table, paths), "paths")
     totals = stored(asked.groupBy("key").agg(F.sum("n").alias("n")), "totals")
     lengths = _learned_paths(totals)
