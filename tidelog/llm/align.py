@@ -154,21 +154,20 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, spans: np.ndarray) -> tu
     ``spans`` is (first, last) of A and of B: tokens whose ends are common. Each level
     hops once over every group that it completes, and halves every span.
     """
-    found_a, found_b = [spans[:, 1]], [spans[:, 3]]
+    cuts_a, cuts_b = np.zeros(len(ends_a), bool), np.zeros(len(ends_b), bool)
+    cuts_a[spans[:, 1]] = cuts_b[spans[:, 3]] = True
     while len(spans):
         spans = spans[(spans[:, 1] - spans[:, 0] > 1) & (spans[:, 3] - spans[:, 2] > 1)]
         middle = (spans[:, 0] + spans[:, 1]) // 2
         after_a, after_b = _hop(ends_a, ends_b, middle, "left", 0)
         before_a, before_b = _hop(ends_a, ends_b, middle, "right", -1)
-        lower = before_a > spans[:, 0]
-        upper = after_a < spans[:, 1]
-        found_a += [before_a[lower], after_a[upper & (after_a != before_a)]]
-        found_b += [before_b[lower], after_b[upper & (after_a != before_a)]]
-        spans = np.concatenate([
-            np.stack([spans[:, 0], before_a, spans[:, 2], before_b], 1)[lower],
-            np.stack([after_a, spans[:, 1], after_b, spans[:, 3]], 1)[upper],
-        ])
-    return np.sort(np.concatenate(found_a)), np.sort(np.concatenate(found_b))
+        lower, upper = before_a > spans[:, 0], after_a < spans[:, 1]
+        cuts_a[before_a[lower]] = cuts_a[after_a[upper]] = True
+        cuts_b[before_b[lower]] = cuts_b[after_b[upper]] = True
+        halves = np.stack([spans[:, 0], before_a, spans[:, 2], before_b, after_a, spans[:, 1], after_b, spans[:, 3]], 1)
+        # Both halves of a span side by side: spans stay in the order of the text, and so near in memory.
+        spans = halves.reshape(-1, 4)[np.stack([lower, upper], 1).reshape(-1)]
+    return np.flatnonzero(cuts_a), np.flatnonzero(cuts_b)
 
 
 def _hop(ends_a: np.ndarray, ends_b: np.ndarray, start: np.ndarray, side: str, shift: int) -> tuple[np.ndarray, np.ndarray]:
