@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import hilbert, queries
 
@@ -76,3 +77,22 @@ def test_clashing_names(spark):
 def test_very_long_texts(spark):
     df = spark.createDataFrame([(i, "x" * 300_000 if i % 2 else "y", "en", "s") for i in range(9)], "doc_id bigint, text string, lang string, source string")
     laws_hold(hilbert.layout(df).collect(), [(i, "x" * 300_000 if i % 2 else "y") for i in range(9)], 40)
+
+
+def test_equal_rows_are_dealt_over_ranges(spark):
+    """A third of all rows are one row: no range has them all."""
+    from tidelog.llm import ranks
+
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        rows = spark.range(0, 30_000, 1, 4).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS id")
+        tied = rows.withColumn("__tie", F.monotonically_increasing_id())
+        parts = tied.repartitionByRange(12, "id", "__tie").groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.when(F.col("id") == 7, 1)).alias("n"))
+        assert max(r.n for r in parts.collect()) < 5_000
+        placed, total = ranks.ranked(rows, F.col("id"))
+        found = placed.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert total == 30_000 and sorted(r["rank"] for r in found) == list(range(30_000))
+    assert [r.id for r in sorted(found, key=lambda r: r["rank"])] == sorted(r.id for r in found)
+    assert placed.columns == ["id", "rank"]

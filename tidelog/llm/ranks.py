@@ -12,11 +12,13 @@ def ranked(df: DataFrame, *order: Column, name: str = "rank") -> tuple[DataFrame
     """``df`` with its 0-based place in ``order``, and its number of rows.
 
     Range partitions are sorted and written with places of their own; only their row
-    counts, one per partition, come to the driver.
+    counts, one per partition, come to the driver. Ties go by where a row was read, so
+    ever so many equal rows are cut into ranges like any others.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "ranks")
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    placed = tied.repartitionByRange(*order, "__tie").sortWithinPartitions(*order, "__tie").drop("__tie")
     placed.withColumn("__place", F.monotonically_increasing_id()).write.parquet(path)
     placed = spark.read.parquet(path)
     part = F.shiftright("__place", 33)
