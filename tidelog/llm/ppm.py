@@ -31,6 +31,7 @@ from tidelog.llm.texts import Words, key_crc, pieces, text_buffer
 
 ORDER = 4
 CHUNK_BYTES = 1 << 25
+SPREAD, MOST_PARTS = 32, 4096  # partitions for each chunk, and for few chunks together
 END = 0xFF  # no byte of UTF-8: ends a text, and stands before it
 END_TOKEN = np.uint64(0)
 _PIECE = 1 << 22
@@ -227,8 +228,13 @@ def _scored(table: DataFrame, answers: DataFrame, total: int, distinct: int) ->
         )
 
     kept = [f for f in table.schema.fields if f.name in names]
-    added = T._parse_datatype_string("n_tokens bigint, n_known bigint, base_score double, score double").fields
-    return table.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, T.StructType(kept + added))
+    added = T.StructType.fromDDL("n_tokens bigint, n_known bigint, base_score double, score double").fields
+    # A chunk is a few seconds' work: with many more partitions than chunks no task has several.
+    chunks = table.select("chunk").distinct().count()
+    usual = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(min(SPREAD * chunks, max(usual, MOST_PARTS)), 1)
+    texts, known = table.repartition(parts, "chunk"), answers.repartition(parts, "chunk")
+    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, T.StructType(kept + added))
 
 
 def score(docs: DataFrame) -> DataFrame:
