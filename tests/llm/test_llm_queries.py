@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_is_registered():
     found = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
-    assert [sum(n.startswith(f"op{k}_") for n in found) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in found) for k in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
