@@ -7,6 +7,7 @@ import pytest
 
 from tidelog.plans import streams
 from tidelog.streaming import clock
+from tidelog.streaming.run import ROCKSDB
 
 SCHEMA = "k string, v string"
 FIRST = [("a", "x"), ("a", "y"), ("b", "x"), (None, None), ("a", "x"), ("b", None)]
@@ -87,3 +88,43 @@ def test_waiting_ends(spark, folder):
             clock.wait_until_closed(query, len(FIRST), seconds=8)
     finally:
         query.stop()
+
+
+@pytest.mark.parametrize("kind", ["ips"])
+def test_sessions_need_no_setting_for_the_state(spark, folder, kind):
+    """Spark's default store can't hold timers; the jobs bring their own and leave the session as it was."""
+    rows = [("10.0.0.1", "a b"), ("10.0.0.1", "a"), (None, None)]
+    spark.createDataFrame(rows, "client_ip string, value string").coalesce(1).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("client_ip string, value string").parquet(f"{folder}/in")
+    (name, value), = ROCKSDB.items()
+    heap = value.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider")
+    spark.conf.set(name, heap)
+    try:
+        job = streams.clock_words if kind == "words" else streams.clock_distinct_ips
+        query = job(stream, folder, size="2 seconds", interval="1 second")
+        assert spark.conf.get(name) == heap
+        try:
+            clock.wait_until_closed(query, len(rows))
+        finally:
+            query.stop()
+    finally:
+        spark.conf.set(name, value)
+    found = [tuple(r) for r in spark.read.parquet(f"{folder}/data").select(*(["word"] if kind == "words" else []), "n").collect()]
+    assert sorted(found) == ([("a", 2), ("b", 1)] if kind == "words" else [(1,)])
+
+
+def test_a_long_batch_is_not_waiting():
+    """The time runs only while nothing new is being read."""
+    begun = time.monotonic()
+    state = [{"numRowsTotal": 0}]
+    done = {"batchId": 0, "numInputRows": 5, "stateOperators": state}
+    idle = {"batchId": 1, "numInputRows": 0, "stateOperators": state}
+
+    class Query:
+        status = property(lambda self: dict.fromkeys(("isTriggerActive", "isDataAvailable"), time.monotonic() < begun + 2))
+        recentProgress = property(lambda self: [] if time.monotonic() < begun + 2 else [done, idle])
+        lastProgress = property(lambda self: next(reversed(self.recentProgress), None))
+        exception = lambda self: None
+
+    clock.wait_until_closed(Query(), 5, seconds=1)
+    assert time.monotonic() >= begun + 2

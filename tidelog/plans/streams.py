@@ -26,7 +26,7 @@ from tidelog.streaming.keyed import KeyedFiles
 from tidelog.streaming.late import LateGate
 from tidelog.streaming.packed import PackedTable
 from tidelog.streaming.retractions import RetractingSum
-from tidelog.streaming.run import LOG_INTERVAL, start
+from tidelog.streaming.run import LOG_INTERVAL, ROCKSDB, start
 from tidelog.streaming.sinks import (
     DURABLE_OPTIONS,
     JdbcUpsert,
@@ -194,7 +194,8 @@ def clock_distinct_ips(
 ) -> StreamingQuery:
     """Distinct addresses per window of processing time, which closes by the clock."""
     counts = clock_counts(log_stream.select("client_ip"), [], size, distinct="client_ip")
-    return start(counts, f"{root}/checkpoint", each_batch=ClockWindows(f"{root}/data", []), interval=interval)
+    sink = ClockWindows(f"{root}/data", [])
+    return start(counts, f"{root}/checkpoint", each_batch=sink, interval=interval, conf=ROCKSDB)
 
 
 def clock_words(

@@ -152,11 +152,18 @@ class ClockWindows:
 
 
 def wait_until_closed(query: StreamingQuery, rows: int, seconds: float = 300) -> None:
-    """Waits until the query has read so many rows and holds no open window any more."""
+    """Waits until the query has read so many rows and holds no open window any more.
+
+    ``seconds`` is for waiting: they begin anew while a micro-batch works on new rows,
+    however long that takes.
+    """
     until, read, seen = time.monotonic() + seconds, 0, -1
     while time.monotonic() < until:
         if query.exception():
             raise query.exception()
+        status = query.status
+        if status["isTriggerActive"] and status["isDataAvailable"]:
+            until = time.monotonic() + seconds
         for progress in query.recentProgress:
             if progress["batchId"] > seen:
                 seen, read = progress["batchId"], read + progress["numInputRows"]

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +14,14 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 LOG_INTERVAL = "65 seconds"
 FEED_INTERVAL = "10 seconds"
 
+# For `start`: state in RocksDB, also in a session whose default keeps it on the heap.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+}
+_STARTING = threading.Lock()
+
 
 class LateRowsError(RuntimeError):
     """A bounded run lost rows: its files came in an order that its watermark doesn't allow."""
@@ -105,6 +114,23 @@ class BoundedRun(ServiceRun):
         return done
 
 
+@contextmanager
+def _settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings while a query starts, which keeps those it started with."""
+    if not conf:
+        yield
+        return
+    with _STARTING:
+        before = {name: spark.conf.get(name, None) for name in conf}
+        try:
+            for name, value in conf.items():
+                spark.conf.set(name, value)
+            yield
+        finally:
+            for name, value in before.items():
+                spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def start(
     df: DataFrame,
     checkpoint: str,
@@ -118,6 +144,7 @@ def start(
     interval: str | None = None,
     name: str | None = None,
     options: dict[str, str] | None = None,
+    conf: Mapping[str, str] | None = None,
 ) -> ServiceRun | BoundedRun:
     """Start a stream into ``each_batch``, a table, or a plain sink.
 
@@ -126,7 +153,8 @@ def start(
     or ``json`` with a path, ``kafka``, ``console``, ``noop``, ``memory``.
 
     State has as many partitions as ``spark.sql.shuffle.partitions`` says when a
-    checkpoint is new, and keeps them: choose it for the largest state to come.
+    checkpoint is new, and keeps them: choose it for the largest state to come. ``conf`` has
+    settings for this query only, such as `ROCKSDB`.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if interval is None:
@@ -152,7 +180,8 @@ def start(
 
     dropped = _Dropped(df.sparkSession)
     try:
-        query = begin()
+        with _settings(df.sparkSession, conf or {}):
+            query = begin()
     except BaseException:
         dropped.leave()
         raise
