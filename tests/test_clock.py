@@ -90,7 +90,7 @@ def test_waiting_ends(spark, folder):
         query.stop()
 
 
-@pytest.mark.parametrize("kind", ["ips"])
+@pytest.mark.parametrize("kind", ["words", "ips"])
 def test_sessions_need_no_setting_for_the_state(spark, folder, kind):
     """Spark's default store can't hold timers; the jobs bring their own and leave the session as it was."""
     rows = [("10.0.0.1", "a b"), ("10.0.0.1", "a"), (None, None)]

@@ -204,7 +204,8 @@ def clock_words(
     """Words per window of processing time, which closes by the clock."""
     ones = lines.select(F.explode(words(value)).alias("word"))
     sink = ClockWindows(f"{root}/data", ["word"])
-    return start(clock_counts(ones, ["word"], size), f"{root}/checkpoint", each_batch=sink, interval=interval)
+    counts = clock_counts(ones, ["word"], size)
+    return start(counts, f"{root}/checkpoint", each_batch=sink, interval=interval, conf=ROCKSDB)
 
 
 def live_counter(
