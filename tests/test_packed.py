@@ -2,11 +2,13 @@
 
 import glob
 import os
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidelog.sources.files import read_partitioned_json
 from tidelog.streaming import files
 from tidelog.streaming.packed import PackedTable
 from tidelog.streaming.sinks import PartitionedJson
@@ -139,3 +141,75 @@ def test_the_offset_log_has_the_watermark(spark, folder):
     with pytest.raises(ValueError, match="batchWatermarkMs"):
         sink._watermark(spark, 999)
     assert timedelta(minutes=1) == sink.partition_size
+
+
+def minute_rows(spark, rows):
+    """So many rows in each of the minutes 0, 1, ..., as a batch of closed windows."""
+    data = [(datetime(2024, 1, 1, 0, m), n) for m, count in enumerate(rows) for n in range(count)]
+    return spark.createDataFrame(data, "at timestamp, n int").repartition(5)
+
+
+def minute_sink(folder, **options):
+    def columns(rows):
+        named = {"dt": "yyyy-MM-dd", "hour": "HH", "minute": "mm"}
+        parts = [F.date_format("at", f).alias(c) for c, f in named.items()]
+        return rows.select(F.col("n").alias("requests"), *parts, F.window("at", "1 minute").alias("window"))
+
+    return PartitionedJson(folder, columns, **options)
+
+
+def json_files(folder):
+    names = glob.glob(f"{folder}/dt=*/hour=*/minute=*/batch=*/*")
+    return Counter(n.split("minute=")[1][:2] for n in names)
+
+
+def test_a_minute_is_one_file_unless_it_has_many_rows(spark, folder):
+    sink = minute_sink(folder, writers=3, file_rows=100)
+    sink(minute_rows(spark, [30, 100, 101, 1]), 0)
+    assert json_files(folder) == {"00": 1, "01": 1, "02": 3, "03": 1}
+    stored = read_partitioned_json(spark, folder, "requests int, dt string, hour string, minute string")
+    assert Counter(r.minute for r in stored.collect()) == {"00": 30, "01": 100, "02": 101, "03": 1}
+    assert {f"{r.dt} {r.hour}" for r in stored.collect()} == {"2024-01-01 00"}
+
+
+def test_a_replay_leaves_nothing_of_an_attempt_that_wrote_otherwise(spark, folder):
+    rows = minute_rows(spark, [50, 300])
+    minute_sink(folder)(minute_rows(spark, [2]), 0)
+    minute_sink(folder, writers=7, file_rows=10)(rows, 1)
+    place = f"{folder}/dt=2024-01-01/hour=00/minute=01/batch={1:012d}"
+    open(f"{place}/_half", "w").close()  # of a task that died
+    with open(f"{place}/part-00000-of-spark.json", "w") as f:
+        f.write('{"requests": 1}\n')  # of a writer with other names
+    again = minute_sink(folder)
+    for _ in range(2):
+        again(rows, 1)
+        assert json_files(folder) == {"00": 2, "01": 1}  # batch 0 has its own
+        stored = read_partitioned_json(spark, folder, "requests int, dt string, hour string, minute string")
+        assert Counter(r.minute for r in stored.collect()) == {"00": 52, "01": 300}
+
+
+def test_folders_are_named_as_spark_names_them(spark, folder):
+    rows = spark.createDataFrame([("a/b:c", "x=%y", 1), (None, "", 2), ("Ä [d]^{e}", "q?*'\"#\\ &|<>", 3)], "p string, q string, n int")
+    rows.write.partitionBy("p", "q").json(f"{folder}/spark")
+    lines = rows.select("p", "q", F.to_json(F.struct("n")).alias("line"), F.lit(0).alias("share"))
+    os.makedirs(f"{folder}/ours")
+    assert files.write_lines(lines, f"{folder}/ours", ["p", "q"], "batch=1", "json") == 3
+
+    def named(place, depth):
+        return sorted(os.path.relpath(p, place) for p in glob.glob(f"{place}/{'/'.join(['*'] * depth)}") if os.path.isdir(p))
+
+    assert [n.removesuffix("/batch=1") for n in named(f"{folder}/ours", 3)] == named(f"{folder}/spark", 2)
+
+
+def test_days_of_minutes_are_listed_in_one_job(spark, folder):
+    at = F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(mins=F.col("id").cast("int"))
+    sink = minute_sink(folder)
+    sink(spark.range(0, 2 * 1440, 1, 4).select(at.alias("at"), F.lit(1).alias("n")), 0)
+    tracker, group = spark.sparkContext.statusTracker(), f"list {folder}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        stored = read_partitioned_json(spark, folder, "requests int, dt string, hour string, minute string")
+        assert len(tracker.getJobIdsForGroup(group)) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stored.count() == 2 * 1440

@@ -1,15 +1,20 @@
-"""Folder metadata of sinks: listings and marker files, never data."""
+"""Folders of sinks: listings, marker files, and small files that tasks write in place."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MARKER = "_SUCCESS"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def _open(spark: SparkSession, path: str):
@@ -43,6 +48,58 @@ def touched(folders: DataFrame, path: str) -> DataFrame:
     return folders.select("folder").mapInArrow(touch, "folder string")
 
 
+def folder_name(names: Sequence[str], values: Sequence[str | None]) -> str:
+    """Folders ``name=value`` as Spark's writers name them."""
+    shown = [_ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", v) if v else NO_VALUE for v in values]
+    return "/".join(f"{n}={v}" for n, v in zip(names, shown, strict=True))
+
+
+def write_lines(lines: DataFrame, path: str, names: Sequence[str], below: str, ending: str) -> int:
+    """Puts ``line`` of each row into files under folders by ``names`` (text) and ``below``; how many files.
+
+    A file holds the rows of a folder and ``share``, and has its name from these, so another
+    attempt replaces it. It gets the name when it is whole. Tasks write into the folders
+    themselves: with a folder or two per second of input, moving files there when all
+    are written would be the longest part, and the driver's.
+    """
+    base, keys = address(lines.sparkSession, path), [*names, "share"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = FileSystem.from_uri(base)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        count = 0
+        for (*values, share), found in groupby(rows, lambda row: row[:-1]):
+            folder, name = f"{place}/{folder_name(names, values)}/{below}", f"part-{share:05d}.{ending}"
+            staged = f"{folder}/_{uuid.uuid4().hex}"
+            store.create_dir(folder)
+            with store.open_output_stream(staged) as out:
+                for *_, line in found:
+                    out.write(f"{line}\n".encode())
+            store.move(staged, f"{folder}/{name}")
+            count += 1
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["files"])
+
+    dealt = lines.select(*keys, "line").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(write, "files bigint").agg(F.sum("files")).first()[0] or 0
+
+
+def remove_folders(rows: DataFrame, path: str, names: Sequence[str], below: str) -> None:
+    """Removes the folders that `write_lines` would put the rows into, in tasks."""
+    base = address(rows.sparkSession, path)
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = FileSystem.from_uri(base)
+        for batch in batches:
+            for values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                folder = f"{place}/{folder_name(names, values)}/{below}"
+                if store.get_file_info(folder).type != FileType.NotFound:
+                    store.delete_dir(folder)
+            yield batch
+
+    found = rows.select(*names).distinct()
+    found.mapInArrow(remove, found.schema).count()
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of the files in a folder and below it."""
     fs, jvm_path = _open(spark, path)
@@ -99,6 +156,12 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in _matches(spark, pattern) if s.isFile()]
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a glob pattern."""
+    fs, jvm_path = _open(spark, pattern)
+    return len(fs.globStatus(jvm_path) or []) > 0
+
+
 def _matches(spark: SparkSession, pattern: str) -> list:
     fs, jvm_path = _open(spark, pattern)
     return list(fs.globStatus(jvm_path) or [])

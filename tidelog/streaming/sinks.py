@@ -84,16 +84,18 @@ class PartitionedJson:
 
     Input: an append-mode window count, so each window arrives in one batch, after
     the watermark passed its end. ``to_columns`` gives the table's columns and
-    keeps ``window``. A batch owns the subfolders ``batch=<id>`` and overwrites
-    them when replayed; the marker goes out last.
+    keeps ``window``. A batch owns the subfolders ``batch=<id>`` and replaces
+    them when replayed; the marker goes out last. Tasks write the files in place
+    (`files.write_lines`), one for a partition of up to ``file_rows`` rows.
 
     A partition is complete once the watermark has passed its end (plus ``delay``),
     also when no more rows come. The watermark of a batch is in the offset log of the
     query's ``checkpoint``, an internal format of Spark that a test watches; without a
     checkpoint, the latest window that closed stands for it. Open partitions are a table
     under ``_open``, one state per batch, and tasks write the markers of those that close:
-    the driver sees the newest one only, however many minutes a batch closes. ``writers`` tasks at most share a partition of one batch, so a minute with most of
-    the rows isn't one task's work.
+    the driver sees the newest one only, however many minutes a batch closes. Up to ``writers``
+    tasks share a partition of more than ``file_rows`` rows in one batch, so a minute with
+    most of the rows isn't one task's work.
 
     Names of partitions sort in time order. The newest complete one is remembered
     next to the data, so that a start looks at later folders only.
@@ -108,29 +110,41 @@ class PartitionedJson:
     zone: str = "UTC"
     writers: int = 4
     checkpoint: str | None = None
+    file_rows: int = 10_000
+    _last: int | None = field(default=None, init=False, repr=False)  # batch that was begun last
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        again = self._last is None or batch_id != self._last + 1  # it may be a replay
+        self._last = batch_id
         batch.persist()
         try:
             rows, earlier = self.to_columns(batch), self._open(spark, batch_id)
             if not rows.isEmpty():
-                self._write(rows.drop("window"), batch_id)
+                self._write(rows.drop("window"), batch_id, again and files.exists(spark, self.path))
             self._mark(spark, rows, earlier, batch_id)
         finally:
             batch.unpersist()
 
-    def _write(self, rows: DataFrame, batch_id: int) -> None:
-        values = [c for c in rows.columns if c not in self.partition_by]
-        share = F.pmod(F.xxhash64(*values), F.lit(self.writers))
-        (
-            rows.withColumn("batch", F.lit(f"{batch_id:012d}"))
-            .repartition(*self.partition_by, share)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.partition_by, "batch")
-            .json(self.path)
-        )
+    def _write(self, rows: DataFrame, batch_id: int, again: bool) -> None:
+        names, below = list(self.partition_by), f"batch={batch_id:012d}"
+        line = F.to_json(F.struct(*[c for c in rows.columns if c not in names])).alias("line")
+        lines = rows.select(*[F.col(c).cast("string").alias(c) for c in names], line)
+        if again:
+            files.remove_folders(lines, self.path, names, below)
+        files.write_lines(self._shared(lines, names), self.path, names, below, "json")
+
+    def _shared(self, lines: DataFrame, names: list[str]) -> DataFrame:
+        """With the ``share`` of each row: 0, but in partitions of many rows by the hash of the line."""
+        if self.writers == 1:
+            return lines.withColumn("share", F.lit(0))
+        # At most a row for each ``file_rows`` of the batch goes out to the tasks.
+        many = lines.groupBy(*names).agg(F.count("*").alias("rows")).filter(F.col("rows") > self.file_rows)
+        key = F.xxhash64(*[F.coalesce(c, F.lit("")) for c in names])
+        many = many.select(key.alias("__key")).distinct().withColumn("__many", F.lit(True))
+        dealt = F.when(F.col("__many"), F.pmod(F.xxhash64("line"), F.lit(self.writers))).otherwise(0)
+        joined = lines.withColumn("__key", key).join(F.broadcast(many), "__key", "left")
+        return joined.withColumn("share", dealt.cast("int")).drop("__key", "__many")
 
     def _mark(self, spark: SparkSession, rows: DataFrame, earlier: DataFrame, batch_id: int) -> None:
         """Of the partitions open so far and those of the batch, markers for the closed ones."""
