@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.windows import slowest_watermark
 from tidelog.plans import logs, streams
-from tidelog.sources import rebuilt
-from tidelog.sources.topics import Topic, json_rows, record_partitions, recorded_partitions, recorded_topic
+from tidelog.sources import rebuilt, topics
+from tidelog.sources.topics import RECORD_SCHEMA, Topic, json_rows, record_partitions, recorded_partitions, recorded_topic
 from tidelog.streaming import late
 from tidelog.streaming.run import LateRowsError, ServiceRun, run_to_end
 
@@ -51,6 +51,22 @@ def test_a_lagging_partition_loses_nothing(spark, folder):
     assert rows(found) == rows(batch.select("browser", "window.start", "cnt_browser")) and found.count() > 100
 
 
+def test_a_recorded_topic_is_sorted_by_many_tasks(spark, folder, monkeypatch):
+    """Its files grow in number with its records, not in size."""
+    monkeypatch.setattr(topics, "FILE_ROWS", 100)
+    records = lagging(spark).filter("offset < 450")
+    record_partitions(records, f"{folder}/topic")
+    sizes, found = [], spark.read.schema(RECORD_SCHEMA).parquet(f"{folder}/topic")
+    for part in (0, 1):
+        at = f"{folder}/topic/partition={part}"
+        sizes += [spark.read.parquet(f"{at}/{n}").count() for n in os.listdir(at) if n.endswith(".parquet")]
+    assert len(sizes) >= 14 and max(sizes) <= 200 and sum(sizes) == 900
+    assert rows(found.select("partition", "offset", "value")) == rows(records.select("partition", "offset", "value"))
+    ranges = found.groupBy(F.input_file_name(), "partition").agg(F.min("offset").alias("a"), F.max("offset").alias("b")).collect()
+    ends = {p: sorted((r.a, r.b) for r in ranges if r.partition == p) for p in (0, 1)}
+    assert all(x[1] < y[0] for p in ends for x, y in zip(ends[p], ends[p][1:]))
+
+
 def test_one_stream_over_both_partitions_is_refused(spark, folder):
     records = lagging(spark)
     for n in range(6):  # the files of both partitions, by turns

@@ -20,6 +20,7 @@ RECORD_SCHEMA = (
     " timestamp timestamp"
 )
 _CORRUPT = "_corrupt_record"
+FILE_ROWS = 200_000  # of a recorded topic, which a task sorts
 
 
 @dataclass(frozen=True)
@@ -85,8 +86,14 @@ def recorded_topic(
     return reader.parquet(path)
 
 
-def record_partitions(records: DataFrame, path: str, files: int = 1) -> None:
-    """Records a topic with a folder for each partition, in about ``files`` files each, by offset."""
+def record_partitions(records: DataFrame, path: str, files: int | None = None) -> None:
+    """Records a topic with a folder for each partition, in about ``files`` files each, by offset.
+
+    Without a number there is one for every `FILE_ROWS` records of the topic. A task sorts
+    the records of its range of offsets.
+    """
+    if files is None:
+        files = 1 + records.count() // FILE_ROWS
     spread = records.repartitionByRange(files, "offset").sortWithinPartitions("partition", "offset")
     spread.write.partitionBy("partition").parquet(path)
 
