@@ -423,6 +423,16 @@ def test_two_sinks_hold_the_same_requests(spark, split_events, folder):
     assert spark.read.text(f"{folder}/topic/data").count() > stored.count()
 
 
+def test_two_sinks_write_one_file_for_a_minute(spark, folder):
+    """However many counts it has; they were dealt over four files."""
+    stream = rebuilt.dense_logs(rebuilt.stream_table(spark, f"{SF}/events.parquet", rebuilt.EVENTS_SCHEMA))
+    for query in streams.two_sinks(stream, folder):
+        query.awaitTermination()
+    written = [p for p, _, names in os.walk(f"{folder}/files/data") for n in names if n.endswith(".json")]
+    minutes = spark.read.json(f"{folder}/files/data").groupBy("dt", "hour", "minute").count().collect()
+    assert len(written) == len(set(written)) == len(minutes) and min(r["count"] for r in minutes) > 4
+
+
 def test_word_count_of_text_files_in_processing_time(spark, folder):
     os.makedirs(f"{folder}/in", exist_ok=True)
     for n, text in enumerate(["a b a\n\n  \n", "b  c \n"]):
