@@ -708,7 +708,7 @@ def _(spark, sf):
 
 
 def _warehouse_rows(spark: SparkSession, path: str) -> DataFrame:
-    return read_partitioned_json(spark, path, WAREHOUSE_SCHEMA).select(
+    return read_partitioned_json(spark, path, WAREHOUSE_SCHEMA, many=True).select(
         "browser", "status_code", "dt", "hour", "minute", "requests"
     )
 

@@ -213,3 +213,18 @@ def test_days_of_minutes_are_listed_in_one_job(spark, folder):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert stored.count() == 2 * 1440
+
+
+def test_folders_give_the_values_that_spark_finds(spark, folder):
+    """Also odd ones, read from the path of the file."""
+    rows = spark.createDataFrame([("a/b c+d", "05", 1), (None, "%2F", 2), ("Ä [d]", "6", 3)], "p string, q string, n int")
+    rows.write.partitionBy("p", "q").json(f"{folder}/dt=x")
+    schema = "n int, p string, q string"
+    found = read_partitioned_json(spark, f"{folder}/dt=x", schema, many=True)
+    assert "PartitionFilters: []" in found.filter("q = '6'")._jdf.queryExecution().executedPlan().toString()
+    theirs = spark.read.schema(schema).json(f"{folder}/dt=x")
+    assert found.schema == theirs.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, theirs.collect())) == sorted(map(str, rows.select("n", "p", "q").collect()))
+    some = found.filter("p = 'Ä [d]'")
+    assert [r.n for r in some.collect()] == [3]
+    assert read_partitioned_json(spark, f"{folder}/dt=x", "n int, q bigint", many=True).filter("n = 3").first().q == 6

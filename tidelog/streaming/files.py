@@ -156,10 +156,11 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in _matches(spark, pattern) if s.isFile()]
 
 
-def matches(spark: SparkSession, pattern: str) -> bool:
-    """Whether anything matches a glob pattern."""
+def first_folder(spark: SparkSession, pattern: str) -> str | None:
+    """A folder that matches a glob pattern, if there is one."""
     fs, jvm_path = _open(spark, pattern)
-    return len(fs.globStatus(jvm_path) or []) > 0
+    found = next((s for s in fs.globStatus(jvm_path) or [] if s.isDirectory()), None)
+    return found and found.getPath().toString()
 
 
 def _matches(spark: SparkSession, pattern: str) -> list:
