@@ -433,6 +433,29 @@ def test_two_sinks_write_one_file_for_a_minute(spark, folder):
     assert len(written) == len(set(written)) == len(minutes) and min(r["count"] for r in minutes) > 4
 
 
+def test_the_files_sink_computes_a_batch_once(spark, folder):
+    """It took its partitions of many rows, and those to mark, from further runs."""
+    stream = rebuilt.dense_logs(rebuilt.stream_table(spark, f"{SF}/events.parquet", rebuilt.EVENTS_SCHEMA))
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(minute):
+        computed.add(1)
+        return minute
+
+    class Columns:
+        def __call__(self, batch):
+            return logs.warehouse_columns(batch, keep_window=True).withColumn("minute", seen("minute"))
+
+        def __reduce__(self):  # the tasks that mark get the sink, and can't have the accumulator
+            return str, ()
+
+    sink = PartitionedJson(f"{folder}/data", Columns(), checkpoint=f"{folder}/checkpoint", file_rows=10)
+    counts = logs.status_counts(streams.timed_view(stream), "1 minute")
+    run_to_end(counts, f"{folder}/checkpoint", each_batch=sink)
+    assert spark.read.json(f"{folder}/data").count() == computed.value > 0
+
+
 def test_word_count_of_text_files_in_processing_time(spark, folder):
     os.makedirs(f"{folder}/in", exist_ok=True)
     for n, text in enumerate(["a b a\n\n  \n", "b  c \n"]):

@@ -33,7 +33,10 @@ def read_partitioned_json(spark: SparkSession, path: str, schema: str, many: boo
     parts = [f for n in names for f in fields if f.name == n]
     stored = T.StructType([f for f in fields if f.name not in names])
     rows = reader.schema(stored).option("recursiveFileLookup", "true").json(place)
-    return rows.select(*stored.names, *[_of_path(f.name).cast(f.dataType).alias(f.name) for f in parts])
+    found = rows.select(*stored.names, *[_of_path(f.name).cast(f.dataType).alias(f.name) for f in parts])
+    # Spark would give each task 32 small files, whatever the cores.
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return found.coalesce(max(shuffles, 8 * spark.sparkContext.defaultParallelism))
 
 
 def _folder_names(spark: SparkSession, path: str) -> list[str]:

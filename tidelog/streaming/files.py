@@ -54,13 +54,15 @@ def folder_name(names: Sequence[str], values: Sequence[str | None]) -> str:
     return "/".join(f"{n}={v}" for n, v in zip(names, shown, strict=True))
 
 
-def write_lines(lines: DataFrame, path: str, names: Sequence[str], below: str, ending: str) -> int:
+def write_lines(
+    lines: DataFrame, path: str, names: Sequence[str], below: str, ending: str, tasks: int | None = None
+) -> int:
     """Puts ``line`` of each row into files under folders by ``names`` (text) and ``below``; how many files.
 
     A file holds the rows of a folder and ``share``, and has its name from these, so another
     attempt replaces it. It gets the name when it is whole. Tasks write into the folders
     themselves: with a folder or two per second of input, moving files there when all
-    are written would be the longest part, and the driver's.
+    are written would be the longest part, and the driver's. ``tasks`` says how many tasks.
     """
     base, keys = address(lines.sparkSession, path), [*names, "share"]
 
@@ -79,7 +81,7 @@ def write_lines(lines: DataFrame, path: str, names: Sequence[str], below: str, e
             count += 1
         yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["files"])
 
-    dealt = lines.select(*keys, "line").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = lines.select(*keys, "line").repartition(*[tasks] if tasks else [], *keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(write, "files bigint").agg(F.sum("files")).first()[0] or 0
 
 
